@@ -73,3 +73,169 @@ def p1_feature_all(spark: SparkSession, d: str) -> DataFrame:
 @register("p2_sort_log", O.sql("select timestamp, action_type, prod_no, search_keyword, m_id from useraction"))
 def p2_sort_log(spark: SparkSession, d: str) -> DataFrame:
     return sort_log(fx.useraction(spark, d, with_event_id=False), S.TIMESTAMP)
+
+
+# ---------------------------------------------------------------- P5 metadata, quality, F6/F8/I1/I2
+
+from ..functions.codes import CODE_ALPHABET, CODE_SPACE, affine_key  # noqa: E402
+from ..operators import filters as flt  # noqa: E402
+from ..operators import quality as Q  # noqa: E402
+from ..operators.indexing import assign_codes, dense_index  # noqa: E402
+from .metadata import (prepare_category, prepare_deal_item, prepare_prod_category,  # noqa: E402
+                       prepare_product, prepare_user)
+
+CODE_SEED = 7
+
+_PRODUCT_ORACLE_CTES = """
+prod AS (select prod_no, sale_price, sale_start_dt, sale_end_dt, prod_nm, deal_construction from product_raw
+         where prod_no in (select deal_prod_no from valid_prods)),
+tags AS (select prod_no, unnest(string_split(deal_construction, ',')) as tag from prod),
+kept AS (select prod_no, string_agg(distinct tag, ',' order by tag) as k from tags
+         where tag in (select word from search_words) and tag not in ('old', 'PROMO') group by prod_no),
+prepared_product AS (
+  select p.prod_no, p.sale_price, p.sale_start_dt, p.sale_end_dt, p.prod_nm,
+    case when p.deal_construction is null then null else coalesce(k.k, '') end as deal_construction
+  from prod p left join kept k on p.prod_no = k.prod_no)"""
+
+
+def _prepared_product(spark: SparkSession, d: str) -> DataFrame:
+    return prepare_product(fx.product_raw(spark, d), fx.valid_products(spark, d), fx.search_words(spark, d),
+                           fx.TEST_FILTER_WORDS)
+
+
+@register("p5_product", O.sql("select * from prepared_product", _PRODUCT_ORACLE_CTES))
+def p5_product(spark: SparkSession, d: str) -> DataFrame:
+    """F5 -> F9 -> F13 on the product table."""
+    return _prepared_product(spark, d)
+
+
+@register("p5_category", O.sql("select * from category"))
+def p5_category(spark: SparkSession, d: str) -> DataFrame:
+    """F11 + F12: leaf category ids."""
+    return prepare_category(fx.category_raw(spark, d))
+
+
+@register("p5_deal_item", O.sql("""select deal_no, prod_no as item_no from deal_item_raw
+  where prod_no in (select prod_no from prepared_product) and deal_no in (select prod_no from prepared_product)""",
+                                 _PRODUCT_ORACLE_CTES))
+def p5_deal_item(spark: SparkSession, d: str) -> DataFrame:
+    return prepare_deal_item(fx.deal_item_raw(spark, d), _prepared_product(spark, d))
+
+
+@register("p5_prod_category", O.sql("select * from prod_category where prod_no in (select prod_no from prepared_product)",
+                                     _PRODUCT_ORACLE_CTES))
+def p5_prod_category(spark: SparkSession, d: str) -> DataFrame:
+    return prepare_prod_category(fx.prod_category(spark, d), _prepared_product(spark, d))
+
+
+@register("p5_user_mapping", O.sql("select r.sex, r.age, r.m_id, u.comp_mid from raw_users r join users u on r.m_id = u.m_id"))
+def p5_user_mapping(spark: SparkSession, d: str) -> DataFrame:
+    """Reuse an existing member-code mapping; unmapped members are dropped."""
+    return prepare_user(fx.raw_users(spark, d), mapping=fx.comp_mid_mapping(spark, d))
+
+
+def _code_oracle() -> str:
+    a, b = affine_key(CODE_SEED)
+    digits = ", ".join(
+        f"substr('{CODE_ALPHABET}', cast((n // {36 ** k}) % 36 as int) + 1, 1)" for k in range(4, -1, -1))
+    return O.sql(f"select r.sex, r.age, r.m_id, concat({digits}) as comp_mid from raw_users r join coded c on r.m_id = c.m_id",
+                 f"""ranked AS (select m_id, row_number() over (order by m_id) - 1 as idx from (select distinct m_id from raw_users)),
+coded AS (select m_id, ({a} * idx + {b}) % {CODE_SPACE} as n from ranked)""")
+
+
+@register("i2_member_codes", _code_oracle())
+def i2_member_codes(spark: SparkSession, d: str) -> DataFrame:
+    """New pseudo-random unique 5-character codes for every member."""
+    return prepare_user(fx.raw_users(spark, d), seed=CODE_SEED)
+
+
+_BLACKLIST_WHERE = " or ".join(f"prod_nm glob '{p}'" for p in fx.TEST_BLACKLIST)
+
+
+def _orders_after_blacklist(spark: SparkSession, d: str) -> DataFrame:
+    return flt.filter_blacklist(fx.behaviours(spark, d, "O"), fx.TEST_BLACKLIST)
+
+
+@register("f6_blacklist", O.sql(f"""select comp_mid, timestamp, prod_no, event_id from behaviours
+  where action_type = 'O' and not coalesce({_BLACKLIST_WHERE}, false)"""))
+def f6_blacklist(spark: SparkSession, d: str) -> DataFrame:
+    """orders whose product name matches none of the blacklist globs."""
+    return _orders_after_blacklist(spark, d)
+
+
+@register("f6_blacklist_order_log", O.sql(f"""select comp_mid, timestamp, prod_no from order_log
+  where not coalesce({_BLACKLIST_WHERE}, false)"""))
+def f6_blacklist_order_log(spark: SparkSession, d: str) -> DataFrame:
+    return flt.filter_blacklist(fx.order_log(spark, d), fx.TEST_BLACKLIST)
+
+
+_F6_CTE = f"""kept_orders AS (select comp_mid, timestamp, prod_no from behaviours
+  where action_type = 'O' and not coalesce({_BLACKLIST_WHERE}, false))"""
+
+
+@register("f8_items", O.sql("select prod_no from kept_orders group by prod_no having count(*) >= 2", _F6_CTE))
+def f8_items(spark: SparkSession, d: str) -> DataFrame:
+    """F8: items ordered at least ``item_cut`` (2) times."""
+    return flt.ids_with_min_count(_orders_after_blacklist(spark, d), S.PRODUCT_NO, 2)
+
+
+@register("f8_users", O.sql("select comp_mid from kept_orders group by comp_mid having count(*) >= 5", _F6_CTE))
+def f8_users(spark: SparkSession, d: str) -> DataFrame:
+    """F8: users with at least ``min_orders + 1`` (5) orders."""
+    return flt.ids_with_min_count(_orders_after_blacklist(spark, d), S.COMP_MEMBER_ID, 5)
+
+
+@register("a2_value_counts", O.sql("select prod_no, count(*) as n from order_log group by prod_no"))
+def a2_value_counts(spark: SparkSession, d: str) -> DataFrame:
+    """A1/A2: occurrences per item in the order log."""
+    return fx.order_log(spark, d).groupBy(S.PRODUCT_NO).agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("i1_user_index", O.sql("""select comp_mid, cast(row_number() over (order by comp_mid) - 1 as int) as user_idx
+  from (select distinct comp_mid from order_log)"""))
+def i1_user_index(spark: SparkSession, d: str) -> DataFrame:
+    """A3 + I1: dense 0..n-1 index of the sorted distinct users of the order log."""
+    return dense_index(fx.order_log(spark, d), S.COMP_MEMBER_ID, S.USER_IDX)
+
+
+@register("i1_item_index", O.sql("""select prod_no, cast(row_number() over (order by prod_no) - 1 as int) as prod_idx
+  from (select distinct prod_no from order_log)"""))
+def i1_item_index(spark: SparkSession, d: str) -> DataFrame:
+    return dense_index(fx.order_log(spark, d), S.PRODUCT_NO, S.PROD_IDX)
+
+
+def _quality_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    product = _prepared_product(spark, d)
+    return {"user": fx.users(spark, d), "product": product, "category": prepare_category(fx.category_raw(spark, d)),
+            "deal_item": fx.deal_item_raw(spark, d).withColumnRenamed(S.PRODUCT_NO, S.ITEM_NO),
+            "prod_category": fx.prod_category(spark, d)}
+
+
+def _quality_oracle() -> str:
+    src = {"user": "users", "product": "prepared_product", "category": "category",
+           "deal_item": "(select deal_no, prod_no as item_no from deal_item_raw)", "prod_category": "prod_category"}
+    parts = []
+    for t, key in Q.PRIMARY_KEYS.items():
+        parts.append(f"""select '{t}' as "table", '{key}' as "column", 'duplicate_key' as rule,
+          cast(coalesce(sum(n), 0) as bigint) as violations
+          from (select {key}, count(*) as n from {src[t]} group by {key}) where {key} is not null and n > 1""")
+        parts.append(f"""select '{t}', '{key}', 'null_key', cast(count(*) filter (where {key} is null) as bigint) from {src[t]}""")
+        for c in Q.NOT_NULL.get(t, []):
+            parts.append(f"select '{t}', '{c}', 'not_null', cast(count(*) filter (where {c} is null) as bigint) from {src[t]}")
+    for t in Q.RANGES.keys() | Q.MAX_LENGTHS.keys():
+        for c, (lo, hi) in Q.RANGES.get(t, []):
+            parts.append(f"""select '{t}', '{c}', 'range {lo}..{hi}',
+              cast(count(*) filter (where {c} is not null and not ({c} between {lo} and {hi})) as bigint) from {src[t]}""")
+        for c, n in Q.MAX_LENGTHS.get(t, []):
+            parts.append(f"""select '{t}', '{c}', 'length <= {n}',
+              cast(count(*) filter (where length({c}) > {n}) as bigint) from {src[t]}""")
+    for child, col, parent, pcol in Q.FOREIGN_KEYS:
+        parts.append(f"""select '{child}', '{col}', 'references {parent}.{pcol}', cast(count(*) as bigint)
+          from {src[child]} x where x.{col} is not null and x.{col} not in (select {pcol} from {src[parent]} where {pcol} is not null)""")
+    return O.sql("\nunion all\n".join(parts), _PRODUCT_ORACLE_CTES)
+
+
+@register("q_constraints", _quality_oracle())
+def q_constraints(spark: SparkSession, d: str) -> DataFrame:
+    """Q1-Q3: key, not-null, foreign-key, range and length violations per table and rule."""
+    return Q.all_violations(_quality_tables(spark, d))
