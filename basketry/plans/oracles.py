@@ -65,7 +65,7 @@ order_log AS (
     cast(l_partkey as int) as prod_no, p_name as prod_nm
   from lineitem join orders on l_orderkey=o_orderkey join part on l_partkey=p_partkey),
 item_vectors AS (
-  select cast(vec_id as int) as prod_no, list_transform(embedding, x -> cast(x as double)) as vector from embeddings)
+  select cast(vec_id as int) as prod_no, list_transform(embedding, lambda x: cast(x as double)) as vector from embeddings)
 """
 
 

@@ -239,3 +239,177 @@ def _quality_oracle() -> str:
 def q_constraints(spark: SparkSession, d: str) -> DataFrame:
     """Q1-Q3: key, not-null, foreign-key, range and length violations per table and rule."""
     return Q.all_violations(_quality_tables(spark, d))
+
+
+# ---------------------------------------------------------------- P3 / P4 sequences
+
+from ..functions.arrays import join_ints  # noqa: E402
+from ..operators.categories import item_categories  # noqa: E402
+from ..operators.sequences import attach_yesterday_clicks, daily_last_clicks  # noqa: E402
+from .behaviour import aggregate_log  # noqa: E402
+from .instances import build_instances, instance_stats, item_table  # noqa: E402
+
+
+def _pad_sql(expr: str, width: int) -> str:
+    return f"array_to_string(list_concat(list_transform(range({width} - len({expr})), lambda x: -1), {expr}), ',')"
+
+
+def _yday_sql(ts: str) -> str:
+    return (f"floor(({ts} + 18000) / 86400.0) - case when floor((({ts} + 18000) % 86400) / 3600.0) = 4 "
+            f"then 2 else 1 end")
+
+
+_SPLIT_SQL = "case when timestamp < {v} then 'training' when timestamp < {t} then 'validation' else 'test' end"
+
+
+@register("p3_behaviour_order_log", O.sql("""select comp_mid, timestamp, prod_no, prod_nm from w2
+  where prev is null or prev <> prod_no""", """w1 AS (select * from (select *, row_number() over
+    (partition by comp_mid, timestamp order by prod_no, prod_nm nulls first) as r from order_log) where r = 1),
+w2 AS (select *, lag(prod_no) over (partition by comp_mid order by timestamp) as prev from w1)"""))
+def p3_behaviour_order_log(spark: SparkSession, d: str) -> DataFrame:
+    """W1 + W2 + sort on the order log (many same-time rows per order)."""
+    return aggregate_log(fx.order_log(spark, d))
+
+
+_FEATURE_REST = [c for c in S.FEATURE_COLUMNS if c not in (S.COMP_MEMBER_ID, S.TIMESTAMP, S.PRODUCT_NO)]
+
+
+def _p3_features_oracle() -> str:
+    lo, hi = date_range_bounds("2024-01-01", "2024-01-30")
+    feat = O.FEATURE_SELECT.format(action="", lo=lo, hi=hi)
+    order = ", ".join(f"{c} nulls first" for c in [S.PRODUCT_NO, *_FEATURE_REST])
+    return O.sql("select * exclude (r, prev) from w2 where prev is null or prev <> prod_no", f"""
+feat AS ({feat}),
+w1 AS (select * from (select *, row_number() over (partition by comp_mid, timestamp order by {order}) as r
+  from feat) where r = 1),
+w2 AS (select *, lag(prod_no) over (partition by comp_mid order by timestamp) as prev from w1)""")
+
+
+@register("p3_behaviour_features", _p3_features_oracle())
+def p3_behaviour_features(spark: SparkSession, d: str) -> DataFrame:
+    """P3 on the P1 output (all actions, no threshold): category fan-out makes same-time rows."""
+    feats = _features(spark, d, "all", "2024-01-01", "2024-01-30", 0)
+    return aggregate_log(feats)
+
+
+def _order_log_instances(spark: SparkSession, d: str):
+    log = aggregate_log(fx.order_log(spark, d), sort=False)
+    return build_instances(log, None, fx.TEST_BLACKLIST, *fx.ORDER_LOG_SPLITS)
+
+
+def _w3_oracle() -> str:
+    v, t = fx.ORDER_LOG_SPLITS
+    return O.sql(f"""select cast(user_idx as int) as user_idx, timestamp, cast(pos as bigint) as position,
+        {_pad_sql('coalesce(hist, [])', 8)} as orders, cast(prod_idx as int) as label, {_SPLIT_SQL.format(v=v, t=t)} as split
+      from seq where pos >= 4""", f"""
+w1 AS (select * from (select *, row_number() over
+    (partition by comp_mid, timestamp order by prod_no, prod_nm nulls first) as r from order_log) where r = 1),
+w2 AS (select * from (select *, lag(prod_no) over (partition by comp_mid order by timestamp) as prev from w1)
+  where prev is null or prev <> prod_no),
+kept AS (select * from w2 where not coalesce({_BLACKLIST_WHERE}, false)),
+items AS (select prod_no, row_number() over (order by prod_no) - 1 as prod_idx
+  from (select prod_no from kept group by prod_no having count(*) >= 1)),
+usrs AS (select comp_mid, row_number() over (order by comp_mid) - 1 as user_idx
+  from (select comp_mid from kept group by comp_mid having count(*) >= 5)),
+oidx AS (select u.user_idx, i.prod_idx, k.timestamp from kept k join usrs u on k.comp_mid = u.comp_mid
+  join items i on k.prod_no = i.prod_no),
+seq AS (select *, row_number() over (partition by user_idx order by timestamp) - 1 as pos,
+  list(prod_idx) over (partition by user_idx order by timestamp rows between 8 preceding and 1 preceding) as hist
+  from oidx)""")
+
+
+@register("w3_order_instances", _w3_oracle())
+def w3_order_instances(spark: SparkSession, d: str) -> DataFrame:
+    """W3/W4/W8 on the aggregated order log: position >= 4, 8 previous orders, 3 splits."""
+    inst = _order_log_instances(spark, d).instances
+    return inst.withColumn("orders", join_ints("orders"))
+
+
+_EVENT_INSTANCE_CTES = f"""
+kept_o AS (select comp_mid, timestamp, prod_no, event_id from behaviours
+  where action_type = 'O' and not coalesce({_BLACKLIST_WHERE}, false)),
+kept_c AS (select comp_mid, timestamp, prod_no, event_id from behaviours
+  where action_type = 'C' and not coalesce({_BLACKLIST_WHERE}, false)),
+items AS (select prod_no, cast(row_number() over (order by prod_no) - 1 as int) as prod_idx
+  from (select prod_no from kept_o group by prod_no having count(*) >= 1)),
+usrs AS (select comp_mid, cast(row_number() over (order by comp_mid) - 1 as int) as user_idx
+  from (select comp_mid from kept_o group by comp_mid having count(*) >= 5)),
+oidx AS (select u.user_idx, i.prod_idx, k.timestamp, k.event_id from kept_o k
+  join usrs u on k.comp_mid = u.comp_mid join items i on k.prod_no = i.prod_no),
+cidx AS (select u.user_idx, i.prod_idx, k.timestamp, k.event_id from kept_c k
+  join usrs u on k.comp_mid = u.comp_mid join items i on k.prod_no = i.prod_no),
+seq AS (select *, row_number() over (partition by user_idx order by timestamp, event_id) - 1 as pos,
+  list(prod_idx) over (partition by user_idx order by timestamp, event_id rows between 8 preceding and 1 preceding) as hist
+  from oidx),
+inst AS (select user_idx, timestamp, pos, coalesce(hist, []) as hist, prod_idx as label,
+  {_SPLIT_SQL.format(v=fx.EVENT_SPLITS[0], t=fx.EVENT_SPLITS[1])} as split from seq where pos >= 4),
+ctop AS (select user_idx, prod_idx, floor((timestamp + 32400) / 86400.0) as d,
+  row_number() over (partition by user_idx, floor((timestamp + 32400) / 86400.0) order by timestamp desc, event_id) as r
+  from cidx),
+carr AS (select user_idx, d, list(prod_idx order by r desc) as cl from ctop where r <= 16 group by user_idx, d),
+full_inst AS (select i.user_idx, i.timestamp, cast(i.pos as bigint) as position, {_pad_sql('i.hist', 8)} as orders,
+  {_pad_sql('coalesce(c.cl, [])', 16)} as clicks, i.label, i.split
+  from inst i left join carr c on i.user_idx = c.user_idx and {_yday_sql('i.timestamp')} = c.d)"""
+
+
+def _event_instances(spark: SparkSession, d: str):
+    return build_instances(fx.behaviours(spark, d, "O"), fx.behaviours(spark, d, "C"), fx.TEST_BLACKLIST,
+                           *fx.EVENT_SPLITS, tiebreak=("event_id",))
+
+
+@register("p4_instances", O.sql("select * from full_inst", _EVENT_INSTANCE_CTES))
+def p4_instances(spark: SparkSession, d: str) -> DataFrame:
+    """Instances with order history and yesterday's last 16 clicks, split by time."""
+    inst = _event_instances(spark, d).instances
+    return inst.withColumn("orders", join_ints("orders")).withColumn("clicks", join_ints("clicks"))
+
+
+@register("k6_instance_stats", O.sql("""select 'instances ' || split as name, cast(count(*) as bigint) as value
+    from full_inst group by split
+  union all select 'users', cast(count(*) as bigint) from usrs
+  union all select 'items', cast(count(*) as bigint) from items""", _EVENT_INSTANCE_CTES))
+def k6_instance_stats(spark: SparkSession, d: str) -> DataFrame:
+    """K6: instance counts per split, valid users, target items."""
+    return instance_stats(_event_instances(spark, d))
+
+
+@register("j6_yesterday_clicks", O.sql(f"""select o.comp_mid, o.timestamp, o.prod_no, o.event_id,
+    {_pad_sql('coalesce(c.cl, [])', 2)} as clicks
+  from (select * from behaviours where action_type = 'O') o left join carr c
+    on o.comp_mid = c.comp_mid and {_yday_sql('o.timestamp')} = c.d""", """
+ctop AS (select comp_mid, prod_no, floor((timestamp + 32400) / 86400.0) as d,
+  row_number() over (partition by comp_mid, floor((timestamp + 32400) / 86400.0) order by timestamp desc, event_id) as r
+  from behaviours where action_type = 'C'),
+carr AS (select comp_mid, d, list(prod_no order by r desc) as cl from ctop where r <= 2 group by comp_mid, d)"""))
+def j6_yesterday_clicks(spark: SparkSession, d: str) -> DataFrame:
+    """W5 + J6 on raw ids: every purchase with the last 2 clicks of its "yesterday"."""
+    orders = fx.behaviours(spark, d, "O").drop(S.PRODUCT_NAME)
+    clicks = fx.behaviours(spark, d, "C")
+    daily = daily_last_clicks(clicks, 2, user=S.COMP_MEMBER_ID, item=S.PRODUCT_NO, tiebreak=["event_id"])
+    out = attach_yesterday_clicks(orders, daily, 2, user=S.COMP_MEMBER_ID)
+    return out.withColumn("clicks", join_ints("clicks"))
+
+
+@register("a4_item_categories", O.sql("""select i.prod_idx, coalesce(array_to_string(c.cats, ','), '') as categories
+  from items i left join (select l.prod_idx, list(distinct ci.cidx order by ci.cidx) as cats from links l
+    join cindex ci on l.gnb_category_id = ci.gnb_category_id group by l.prod_idx) c on i.prod_idx = c.prod_idx""",
+                                       _EVENT_INSTANCE_CTES + """,
+links AS (select i.prod_idx, pc.gnb_category_id from prod_category pc join items i on pc.prod_no = i.prod_no),
+cindex AS (select gnb_category_id, row_number() over (order by gnb_category_id) - 1 as cidx
+  from (select distinct gnb_category_id from links))"""))
+def a4_item_categories(spark: SparkSession, d: str) -> DataFrame:
+    """A4: sorted category indices per target item (categories of used items only)."""
+    items = _event_instances(spark, d).items
+    cats, _ = item_categories(items, fx.prod_category(spark, d))
+    return cats.withColumn("categories", join_ints("categories"))
+
+
+@register("k5_items", O.sql("""select i.prod_no, i.prod_idx, p.prod_nm as title,
+    array_to_string(list_transform(v.vector, lambda x: printf('%.6f', x)), ',') as vector
+  from items i left join product_raw p on i.prod_no = p.prod_no left join item_vectors v on i.prod_no = v.prod_no""",
+                             _EVENT_INSTANCE_CTES))
+def k5_items(spark: SparkSession, d: str) -> DataFrame:
+    """K5: the item table (index, id, title, vector) of the target items."""
+    t = _event_instances(spark, d)
+    items = item_table(t.items, fx.titles(spark, d), fx.item_vectors(spark, d))
+    return items.withColumn("vector", F.array_join(F.transform("vector", lambda x: F.format_string("%.6f", x)), ","))
