@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from .. import schemas as S
 from ..functions.codes import CODE_SPACE, code_of_index
+from ..session import materialize
 
 _ROW_BITS = 33  # monotonically_increasing_id = partition id << 33 | row number in partition
 
@@ -20,15 +21,19 @@ def dense_index(df: DataFrame, column: str, index_col: str, partitions: int | No
     The distinct values are range-partitioned and sorted within partitions;
     ``monotonically_increasing_id`` then carries (partition, row in partition)
     in sorted order, and per-partition counts (one row per partition, so a
-    table bounded by the partition count) give each partition's offset. No
-    step puts all values into one task.
+    table bounded by the partition count) give each partition's offset. The
+    numbered ids are checkpointed so counts and rows share one partitioning.
+    No step puts all values into one task.
     """
     n = _partitions(df, partitions)
     ids = df.select(column).where(F.col(column).isNotNull()).distinct()
     ranked = (ids.repartitionByRange(n, F.col(column)).sortWithinPartitions(column)
               .withColumn("_mid", F.monotonically_increasing_id())
               .withColumn("_pid", F.shiftright(F.col("_mid"), _ROW_BITS))
-              .withColumn("_rn", F.col("_mid") - F.shiftleft(F.col("_pid"), _ROW_BITS)))
+              .withColumn("_rn", F.col("_mid") - F.shiftleft(F.col("_pid"), _ROW_BITS))
+              .drop("_mid"))
+    # counts and numbering must come from the same partitioning: materialise once
+    ranked = materialize(ranked)
     offsets = (ranked.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
                .withColumn("_off", F.coalesce(
                    F.sum("_cnt").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),

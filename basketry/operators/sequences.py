@@ -22,6 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .. import schemas as S
+from ..session import materialize
 from ..functions.arrays import PAD, left_pad
 from ..functions.time import KST_OFFSET, DAY_SPLIT_OFFSET, LATE_HOUR, click_day, yesterday_day
 
@@ -71,23 +72,22 @@ def sequence_context(df: DataFrame, key: str, order: Sequence[str], value: str |
     n = _partitions(df, partitions)
     ranged = (df.repartitionByRange(n, *_cols([key, *order]))
               .withColumn("_pid", F.spark_partition_id()))
-    group = Window.partitionBy("_pid", key)
-    ordered = group.orderBy(*_cols(order))
-    local = (ranged.withColumn("_rn", F.row_number().over(ordered) - 1)
-             .withColumn("_gn", F.count(F.lit(1)).over(group)))
+    ordered = Window.partitionBy("_pid", key).orderBy(*_cols(order))
     tail_len = max(history, 0)
+    local = (ranged.withColumn("_rn", F.row_number().over(ordered) - 1)
+             .withColumn("_end", F.lead(F.lit(1), 1).over(ordered).isNull()))
     if tail_len:
         # collect structs: collect_list skips nulls, a wrapped null value is kept
         local = local.withColumn("_lh", F.transform(
             F.collect_list(F.struct(F.col(value).alias("_v"))).over(ordered.rowsBetween(-tail_len, -1)),
             lambda s: s["_v"]))
-        tail_rows = local.where(F.col("_rn") >= F.col("_gn") - tail_len)
-        summary = tail_rows.groupBy("_pid", key).agg(
-            F.max("_gn").alias("_gn"),
-            F.transform(F.array_sort(F.collect_list(F.struct("_rn", F.col(value).alias("_v")))),
-                        lambda s: s["_v"]).alias("_tail"))
-    else:
-        summary = local.where(F.col("_rn") == 0).select("_pid", key, "_gn")
+    # Both the summary and the main branch read this one materialised copy, so
+    # they agree on partition ids whatever the shuffle order was.
+    local = materialize(local)
+    last = local.where(F.col("_end"))
+    summary = last.select("_pid", key, (F.col("_rn") + 1).alias("_gn"),
+                          *([_last(F.concat("_lh", F.array(F.col(value))), tail_len).alias("_tail")]
+                            if tail_len else []))
     by_key = Window.partitionBy(key).orderBy("_pid")
     carry = summary.withColumn("_off", F.sum("_gn").over(by_key.rowsBetween(Window.unboundedPreceding, -1)))
     if tail_len:
@@ -95,15 +95,18 @@ def sequence_context(df: DataFrame, key: str, order: Sequence[str], value: str |
         carry = carry.withColumn(
             "_carry", _last(F.flatten(F.collect_list("_tail").over(by_key.rowsBetween(-tail_len, -1))), tail_len))
     carry = carry.where(F.col("_off").isNotNull()).drop("_gn", "_tail")
-    # only the first group of a partition can continue a key from an earlier
-    # partition: `carry` has fewer rows than there are partitions.
-    out = local.join(F.broadcast(carry), on=["_pid", key], how="left")
+    # Only the first group of a partition can continue a key from an earlier
+    # partition, so `carry` has fewer rows than there are partitions and its
+    # broadcast is bounded. Null-safe key equality infers no extra filters.
+    c = carry.withColumnRenamed("_pid", "_cpid").withColumnRenamed(key, "_ckey")
+    cond = (local["_pid"] == c["_cpid"]) & local[key].eqNullSafe(c["_ckey"])
+    out = local.join(F.broadcast(c), on=cond, how="left").drop("_cpid", "_ckey")
     out = out.withColumn(pos_col, (F.col("_rn") + F.coalesce(F.col("_off"), F.lit(0))).cast("long"))
     if tail_len:
-        joined = F.concat(F.coalesce(F.col("_carry"), F.array().cast(f"array<{df.schema[value].dataType.simpleString()}>")),
-                          F.col("_lh"))
+        vtype = df.schema[value].dataType.simpleString()
+        joined = F.concat(F.coalesce(F.col("_carry"), F.array().cast(f"array<{vtype}>")), F.col("_lh"))
         out = out.withColumn(history_col, _last(joined, tail_len))
-    return out.drop("_pid", "_rn", "_gn", "_lh", "_off", "_carry")
+    return out.drop("_pid", "_rn", "_end", "_lh", "_off", "_carry")
 
 
 def remove_repeats(df: DataFrame, key: str, order: Sequence[str], value: str,

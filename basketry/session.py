@@ -44,3 +44,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def materialize(df):
+    """Write ``df`` to the reliable checkpoint folder and continue from the copy.
+
+    Used where two branches of a plan must see the very same rows and
+    partition ids (a recomputation could sample different range bounds), and
+    to cut long lineages. Survives executor loss, unlike a local checkpoint.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
