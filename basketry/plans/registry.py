@@ -413,3 +413,156 @@ def k5_items(spark: SparkSession, d: str) -> DataFrame:
     t = _event_instances(spark, d)
     items = item_table(t.items, fx.titles(spark, d), fx.item_vectors(spark, d))
     return items.withColumn("vector", F.array_join(F.transform("vector", lambda x: F.format_string("%.6f", x)), ","))
+
+
+# ---------------------------------------------------------------- P7 recommend + evaluate, T4
+
+from ..operators import evaluation as EV  # noqa: E402
+from .recommend import evaluate, prediction_report, recommend, similar_items, with_instance_id  # noqa: E402
+
+RANK_DECIMALS = 6
+TOP_K = 10
+
+
+def _event_item_vectors(spark: SparkSession, d: str, t) -> DataFrame:
+    return t.items.join(fx.item_vectors(spark, d), on=S.PRODUCT_NO).select(S.PROD_IDX, "vector")
+
+
+def _topk_query(mode: str) -> Query:
+    def q(spark: SparkSession, d: str) -> DataFrame:
+        t = _event_instances(spark, d)
+        rec = recommend(with_instance_id(t.instances), _event_item_vectors(spark, d, t), mode, TOP_K, RANK_DECIMALS)
+        return rec.scores.top.withColumn("score", F.round("score", RANK_DECIMALS))
+    q.__doc__ = f"T5-T8/J8/W6: top-{TOP_K} items per instance for the '{mode}' session vector."
+    return q
+
+
+_P7_CTES = _EVENT_INSTANCE_CTES + """,
+inst_id AS (select (cast(user_idx as bigint) << 32) + pos as instance_id, * from inst),
+ivec AS (select i.prod_idx, v.vector from items i join item_vectors v on i.prod_no = v.prod_no),
+hp AS (select instance_id, unnest(hist) as prod_idx, unnest(range(len(hist))) as p from inst_id),
+hv AS (select h.instance_id, h.p, v.vector from hp h join ivec v on h.prod_idx = v.prod_idx),
+sess_last AS (select instance_id, arg_max(vector, p) as session from hv group by instance_id),
+dims AS (select instance_id, unnest(range(len(vector))) as d, unnest(vector) as x from hv),
+sums AS (select instance_id, list(s order by d) as total
+  from (select instance_id, d, sum(x) as s from dims group by instance_id, d) group by instance_id),
+cnt AS (select instance_id, count(*) filter (where list_max(list_transform(vector, lambda x: abs(x))) > 0) as n
+  from hv group by instance_id),
+sess_average AS (select s.instance_id, list_transform(s.total, lambda x: x / c.n) as session
+  from sums s join cnt c on s.instance_id = c.instance_id where c.n > 0),
+att_s AS (select h.instance_id, h.p, h.vector, list_dot_product(h.vector, l.session) as s
+  from hv h join sess_last l on h.instance_id = l.instance_id),
+att_e AS (select instance_id, p, vector, exp(s - max(s) over (partition by instance_id)) as e from att_s),
+att_w AS (select instance_id, p, vector, e / sum(e) over (partition by instance_id) as w from att_e),
+att_dims AS (select instance_id, w, unnest(range(len(vector))) as d, unnest(vector) as x from att_w),
+sess_attention AS (select instance_id, list(s order by d) as session
+  from (select instance_id, d, sum(w * x) as s from att_dims group by instance_id, d) group by instance_id)"""
+
+
+def _scores_cte(mode: str) -> str:
+    return f""",
+sc AS (select s.instance_id, v.prod_idx, list_dot_product(s.session, v.vector) as score
+  from sess_{mode} s cross join ivec v),
+rk AS (select *, row_number() over (partition by instance_id order by round(score, 6) desc, prod_idx) as rank from sc),
+lse AS (select instance_id, max(mx) + ln(sum(exp(score - mx))) as lse
+  from (select *, max(score) over (partition by instance_id) as mx from sc) group by instance_id),
+hit AS (select i.instance_id, i.split,
+  cast(max(case when r.prod_idx = i.label then 1 else 0 end) as int) as hit
+  from inst_id i join rk r on i.instance_id = r.instance_id where r.rank <= {TOP_K} group by i.instance_id, i.split),
+loss AS (select i.instance_id, i.split, l.lse - list_dot_product(s.session, v.vector) as loss
+  from inst_id i join lse l on i.instance_id = l.instance_id join sess_{mode} s on i.instance_id = s.instance_id
+  join ivec v on i.label = v.prod_idx)"""
+
+
+def _topk_oracle(mode: str) -> str:
+    return O.sql(f"""select instance_id, cast(prod_idx as int) as prod_idx, round(score, 6) as score,
+      cast(rank as int) as rank from rk where rank <= {TOP_K}""", _P7_CTES + _scores_cte(mode))
+
+
+for _mode in ("last", "average", "attention"):
+    register(f"t5_topk_{_mode}", _topk_oracle(_mode))(_topk_query(_mode))
+
+
+@register("t7_topk_click_attention")
+def t7_topk_click_attention(spark: SparkSession, d: str) -> DataFrame:
+    """Click-keyed attention session vector -> top-10 (rows-only check)."""
+    return _topk_query("click_attention")(spark, d)
+
+
+def _eval_oracle() -> str:
+    parts = []
+    for mode in ("last", "average"):
+        parts.append(f"""{mode}_sum AS (select '{mode}' as scorer, h.split, cast(count(*) as bigint) as instances,
+          round(avg(h.hit) * 100, 6) as hit_rate, round(max(lo.loss), 6) as loss
+          from {mode}_hit h left join (select split, avg(loss) as loss from {mode}_loss group by split) lo
+            on h.split = lo.split group by h.split)""")
+    ctes = _P7_CTES
+    for mode in ("last", "average"):
+        block = _scores_cte(mode).replace("sc AS", f"{mode}_sc AS").replace("from sc", f"from {mode}_sc") \
+            .replace("rk AS", f"{mode}_rk AS").replace("join rk r", f"join {mode}_rk r") \
+            .replace("lse AS", f"{mode}_lse AS").replace("join lse l", f"join {mode}_lse l") \
+            .replace("hit AS", f"{mode}_hit AS").replace("loss AS", f"{mode}_loss AS")
+        ctes += block
+    ctes += ",\n" + ",\n".join(parts)
+    return O.sql("select * from last_sum union all select * from average_sum", ctes)
+
+
+@register("t9_evaluation", _eval_oracle())
+def t9_evaluation(spark: SparkSession, d: str) -> DataFrame:
+    """Hit-rate@10 (A9) and mean cross-entropy (A10) per scorer and split."""
+    t = _event_instances(spark, d)
+    out = evaluate(with_instance_id(t.instances), _event_item_vectors(spark, d, t), ("last", "average"),
+                   TOP_K, RANK_DECIMALS)
+    return out.select("scorer", "split", F.col("instances").cast("long").alias("instances"),
+                      F.round("hit_rate", 6).alias("hit_rate"), F.round("loss", 6).alias("loss"))
+
+
+def _report_oracle() -> str:
+    return O.sql("""select outcome, cast(case_no as int) as case_no, instance_id,
+      concat_ws(chr(10) || chr(10), coalesce(orders_text, ''), answer, preds) as text from numbered n
+      left join (select instance_id, string_agg(printf('[ORDER %02d] %s', p + 1, coalesce(t.title, '')), chr(10) order by p) as orders_text
+        from hp h left join titles t on h.prod_idx = t.prod_idx group by instance_id) o using (instance_id)
+      join (select i.instance_id, printf('[ANSWER] %s', coalesce(t.title, '')) as answer
+        from inst_id i left join titles t on i.label = t.prod_idx) a using (instance_id)
+      join (select r.instance_id, string_agg(printf('[%6.3f] %s', r.score, coalesce(t.title, '')), chr(10) order by r.rank) as preds
+        from rk r left join titles t on r.prod_idx = t.prod_idx where r.rank <= 10 group by r.instance_id) pr using (instance_id)
+      where (outcome = 'positives' and case_no <= 5) or (outcome = 'negatives' and case_no <= 50)""",
+                 _P7_CTES + _scores_cte("last") + """,
+titles AS (select i.prod_idx, p.prod_nm as title from items i join product_raw p on i.prod_no = p.prod_no),
+numbered AS (select instance_id, case when hit = 1 then 'positives' else 'negatives' end as outcome,
+  row_number() over (partition by hit order by instance_id) as case_no from hit)""")
+
+
+@register("k7_case_report", _report_oracle())
+def k7_case_report(spark: SparkSession, d: str) -> DataFrame:
+    """Case texts of the 'last' scorer, 5 positives and 50 negatives."""
+    t = _event_instances(spark, d)
+    titles = t.items.join(fx.titles(spark, d), on=S.PRODUCT_NO).select(S.PROD_IDX, F.col(S.PRODUCT_NAME).alias("title"))
+    return prediction_report(with_instance_id(t.instances), _event_item_vectors(spark, d, t), titles, "last", TOP_K,
+                             RANK_DECIMALS, positive_cases=5, negative_cases=50)
+
+
+@register("t4_similar_items", O.sql("""select cast(query_item as bigint) as query_item, cast(prod_idx as int) as prod_idx,
+    round(sim, 6) as similarity, cast(rank as int) as rank from (select *, row_number() over
+    (partition by query_item order by round(sim, 6) desc, prod_idx) as rank from
+    (select a.prod_no as query_item, b.prod_no as prod_idx, list_cosine_similarity(a.vector, b.vector) as sim
+     from item_vectors a cross join item_vectors b)) where rank <= 11"""))
+def t4_similar_items(spark: SparkSession, d: str) -> DataFrame:
+    """T4: the 11 most cosine-similar items of every item vector (itself included)."""
+    vecs = fx.item_vectors(spark, d).withColumnRenamed(S.PRODUCT_NO, S.PROD_IDX)
+    return similar_items(vecs, 11, rank_decimals=RANK_DECIMALS).withColumn(
+        "similarity", F.round("similarity", RANK_DECIMALS))
+
+
+@register("j8_dot_topk", O.sql("""select cast(query_item as bigint) as instance_id, cast(prod_idx as int) as prod_idx,
+    round(score, 6) as score, cast(rank as int) as rank from (select *, row_number() over
+    (partition by query_item order by round(score, 6) desc, prod_idx) as rank from
+    (select a.prod_no as query_item, b.prod_no as prod_idx, list_dot_product(a.vector, b.vector) as score
+     from item_vectors a cross join item_vectors b)) where rank <= 10"""))
+def j8_dot_topk(spark: SparkSession, d: str) -> DataFrame:
+    """Top-10 items by dot product for every item vector as a query."""
+    from ..operators.scoring import top_k_scores
+    vecs = fx.item_vectors(spark, d).withColumnRenamed(S.PRODUCT_NO, S.PROD_IDX)
+    queries = vecs.select(F.col(S.PROD_IDX).cast("long").alias("instance_id"), F.col("vector").alias("session"))
+    res = top_k_scores(queries, vecs, TOP_K, rank_decimals=RANK_DECIMALS)
+    return res.top.withColumn("score", F.round("score", RANK_DECIMALS))
