@@ -74,8 +74,9 @@ def top_k_scores(queries: DataFrame, items: DataFrame, k: int, id_col: str = "in
     go to the lower item index), which makes rankings reproducible across
     engines; ``None`` ranks on exact scores.
     """
-    q = queries.select(F.col(id_col).cast("long").alias(id_col), F.col(query_vec).alias("_vec")) \
-        .where(F.col("_vec").isNotNull())
+    # the query side is sized and then blocked: materialise it so its lineage runs once
+    q = materialize(queries.select(F.col(id_col).cast("long").alias(id_col), F.col(query_vec).alias("_vec"))
+                    .where(F.col("_vec").isNotNull()))
     it = items.select(F.col(item_col).cast("int").alias(item_col), F.col(item_vec).alias("_vec")) \
         .where(F.col("_vec").isNotNull())
     nq, ni = q.count(), it.count()

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from .. import schemas as S
 from ..operators.sequences import aggregate_behaviour
-from .feature import sort_by
+from ..operators.ordering import sort_by
 
 
 def aggregate_log(df: DataFrame, user: str = S.COMP_MEMBER_ID, ts: str = S.TIMESTAMP, item: str = S.PRODUCT_NO,

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from .. import schemas as S
 from ..operators import filters as flt
 from ..operators.joins import join_using, product_dimension
+from ..operators.ordering import sort_by
 
 
 def generate_features(useraction: DataFrame, user: DataFrame, product: DataFrame, prod_category: DataFrame,
@@ -34,11 +35,6 @@ def generate_features(useraction: DataFrame, user: DataFrame, product: DataFrame
     return sort_by(kept, S.TIMESTAMP, [S.COMP_MEMBER_ID, S.PRODUCT_NO, S.CATEGORY_NO])
 
 
-def sort_by(df: DataFrame, column: str, tiebreak: list[str] | None = None) -> DataFrame:
-    """O1: global sort by ``column`` (then ``tiebreak``), as range partitions."""
-    return df.orderBy(F.col(column), *[F.col(c) for c in (tiebreak or [])])
-
-
 def sort_log(useraction: DataFrame, column: str) -> DataFrame:
     """The whole log sorted by one named column (rest of the row breaks ties)."""
     if column not in useraction.columns:

@@ -32,9 +32,12 @@ def _item_number(props: str = "props"):
     return F.get_json_object(F.col(props), "$.k").cast("int")
 
 
-def useraction(spark: SparkSession, sf_dir: str, with_event_id: bool = True) -> DataFrame:
+def useraction(spark: SparkSession, sf_dir: str, with_event_id: bool = True,
+               with_file_size: bool = False) -> DataFrame:
     """The user-action log: purchases are orders 'O', clicks and views are clicks 'C'."""
     ev = table(spark, sf_dir, "events")
+    if with_file_size:
+        ev = ev.withColumn("file_size", F.col("_metadata.file_size"))
     k = _item_number()
     et = F.col("event_type")
     action = (F.when(et == "purchase", F.lit("O")).when(et.isin("click", "view"), F.lit("C"))
@@ -48,6 +51,8 @@ def useraction(spark: SparkSession, sf_dir: str, with_event_id: bool = True) ->
             keyword.alias(S.SEARCH_KEYWORD), member.alias(S.MEMBER_ID)]
     if with_event_id:
         cols.append(F.col("event_id"))
+    if with_file_size:
+        cols.append(F.col("file_size"))
     return ev.select(*cols)
 
 

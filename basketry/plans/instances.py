@@ -13,6 +13,7 @@ from ..operators import filters as flt
 from ..operators.categories import item_categories
 from ..operators.indexing import dense_index
 from ..operators.joins import to_index
+from ..session import materialize
 from ..operators.sequences import (TEST, TRAINING, VALIDATION, attach_yesterday_clicks, daily_last_clicks,
                                    order_instances)
 
@@ -40,7 +41,9 @@ def build_instances(orders: DataFrame, clicks: DataFrame | None, blacklist: list
     ``min_orders + 1`` orders, both counted on the orders left after the
     blacklist; clicks are converted with the same indices.
     """
-    kept = flt.filter_blacklist(orders, blacklist)
+    # counted twice and indexed once: materialise the filtered orders so the
+    # upstream scan/joins run once
+    kept = materialize(flt.filter_blacklist(orders, blacklist))
     items = dense_index(flt.ids_with_min_count(kept, S.PRODUCT_NO, item_cut), S.PRODUCT_NO, S.PROD_IDX)
     users = dense_index(flt.ids_with_min_count(kept, S.COMP_MEMBER_ID, min_orders + 1), S.COMP_MEMBER_ID, S.USER_IDX)
     indexed = to_index(kept, users, items)

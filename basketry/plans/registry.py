@@ -418,6 +418,7 @@ def k5_items(spark: SparkSession, d: str) -> DataFrame:
 # ---------------------------------------------------------------- P7 recommend + evaluate, T4
 
 from ..operators import evaluation as EV  # noqa: E402
+from ..session import materialize  # noqa: E402
 from .recommend import evaluate, prediction_report, recommend, similar_items, with_instance_id  # noqa: E402
 
 RANK_DECIMALS = 6
@@ -428,10 +429,15 @@ def _event_item_vectors(spark: SparkSession, d: str, t) -> DataFrame:
     return t.items.join(fx.item_vectors(spark, d), on=S.PRODUCT_NO).select(S.PROD_IDX, "vector")
 
 
+def _saved_instances(t) -> DataFrame:
+    """The instance table as a recommender reads it back (materialised once)."""
+    return materialize(with_instance_id(t.instances))
+
+
 def _topk_query(mode: str) -> Query:
     def q(spark: SparkSession, d: str) -> DataFrame:
         t = _event_instances(spark, d)
-        rec = recommend(with_instance_id(t.instances), _event_item_vectors(spark, d, t), mode, TOP_K, RANK_DECIMALS)
+        rec = recommend(_saved_instances(t), _event_item_vectors(spark, d, t), mode, TOP_K, RANK_DECIMALS)
         return rec.scores.top.withColumn("score", F.round("score", RANK_DECIMALS))
     q.__doc__ = f"T5-T8/J8/W6: top-{TOP_K} items per instance for the '{mode}' session vector."
     return q
@@ -511,7 +517,7 @@ def _eval_oracle() -> str:
 def t9_evaluation(spark: SparkSession, d: str) -> DataFrame:
     """Hit-rate@10 (A9) and mean cross-entropy (A10) per scorer and split."""
     t = _event_instances(spark, d)
-    out = evaluate(with_instance_id(t.instances), _event_item_vectors(spark, d, t), ("last", "average"),
+    out = evaluate(_saved_instances(t), _event_item_vectors(spark, d, t), ("last", "average"),
                    TOP_K, RANK_DECIMALS)
     return out.select("scorer", "split", F.col("instances").cast("long").alias("instances"),
                       F.round("hit_rate", 6).alias("hit_rate"), F.round("loss", 6).alias("loss"))
@@ -538,7 +544,7 @@ def k7_case_report(spark: SparkSession, d: str) -> DataFrame:
     """Case texts of the 'last' scorer, 5 positives and 50 negatives."""
     t = _event_instances(spark, d)
     titles = t.items.join(fx.titles(spark, d), on=S.PRODUCT_NO).select(S.PROD_IDX, F.col(S.PRODUCT_NAME).alias("title"))
-    return prediction_report(with_instance_id(t.instances), _event_item_vectors(spark, d, t), titles, "last", TOP_K,
+    return prediction_report(_saved_instances(t), _event_item_vectors(spark, d, t), titles, "last", TOP_K,
                              RANK_DECIMALS, positive_cases=5, negative_cases=50)
 
 
@@ -566,3 +572,105 @@ def j8_dot_topk(spark: SparkSession, d: str) -> DataFrame:
     queries = vecs.select(F.col(S.PROD_IDX).cast("long").alias("instance_id"), F.col("vector").alias("session"))
     res = top_k_scores(queries, vecs, TOP_K, rank_decimals=RANK_DECIMALS)
     return res.top.withColumn("score", F.round("score", RANK_DECIMALS))
+
+
+# ---------------------------------------------------------------- T1-T3/P6, T10, A5, J9, S5, S6, O5
+
+from ..functions.arrays import drop_pads, right_pad  # noqa: E402
+from ..operators.categories import dense_categories, with_category_features  # noqa: E402
+from ..operators.ordering import shuffle_rows  # noqa: E402
+from ..operators.text import tokenize  # noqa: E402
+from ..sources.readers import extract_orders, extract_search_words  # noqa: E402
+from .titles import item_title_vectors, title_neighbours  # noqa: E402
+
+
+@register("t1_title_tokens", O.sql(r"""select prod_no, array_to_string(regexp_extract_all(lower(prod_nm), '[\p{L}\p{N}]+'), ' ')
+  as tokens from product_raw"""))
+def t1_title_tokens(spark: SparkSession, d: str) -> DataFrame:
+    """Product titles as token lists (letters/digits runs, lower case)."""
+    docs = tokenize(fx.product_raw(spark, d).select(S.PRODUCT_NO, S.PRODUCT_NAME))
+    return docs.select(S.PRODUCT_NO, F.array_join("tokens", " ").alias("tokens"))
+
+
+@register("t2_title_vectors")
+def t2_title_vectors(spark: SparkSession, d: str) -> DataFrame:
+    """Word2Vec title vectors for every product (rows-only check)."""
+    return item_title_vectors(fx.product_raw(spark, d)).select(S.PRODUCT_NO, "vector")
+
+
+@register("p6_title_neighbours")
+def p6_title_neighbours(spark: SparkSession, d: str) -> DataFrame:
+    """11 nearest titles of every product by learned title vector (rows-only check)."""
+    return title_neighbours(item_title_vectors(fx.product_raw(spark, d)).select(S.PRODUCT_NO, "vector"))
+
+
+@register("t10_padded_histories", O.sql("""select instance_id,
+    array_to_string(list_concat(hist, list_transform(range(mx - len(hist)), lambda x: 0)), ',') as sequence, label
+  from inst_id, (select max(len(hist)) as mx from inst_id)""", _P7_CTES))
+def t10_padded_histories(spark: SparkSession, d: str) -> DataFrame:
+    """A8 + T10: order histories without pads, right-padded with 0 to the longest one."""
+    inst = with_instance_id(_event_instances(spark, d).instances)
+    seq = inst.select("instance_id", drop_pads("orders").alias("_s"), "label")
+    longest = seq.agg(F.max(F.size("_s"))).first()[0] or 0  # A8: one number to the driver
+    return seq.select("instance_id", join_ints(right_pad("_s", longest, 0)).alias("sequence"), "label")
+
+
+def _item_cats(spark: SparkSession, d: str):
+    t = _event_instances(spark, d)
+    cats, index = item_categories(t.items, fx.prod_category(spark, d))
+    return t, cats, index.count()
+
+
+_CAT_CTES = _P7_CTES + """,
+links AS (select i.prod_idx, pc.gnb_category_id from prod_category pc join items i on pc.prod_no = i.prod_no),
+cindex AS (select gnb_category_id, row_number() over (order by gnb_category_id) - 1 as cidx
+  from (select distinct gnb_category_id from links)),
+icat AS (select i.prod_idx, coalesce(c.cats, []) as cats from items i left join
+  (select l.prod_idx, list(distinct ci.cidx) as cats from links l join cindex ci using (gnb_category_id) group by l.prod_idx) c
+  on i.prod_idx = c.prod_idx),
+dense AS (select prod_idx, list_transform(range((select count(*) from cindex)),
+  lambda j: case when list_contains(cats, j) then 1 else 0 end) as hot from icat)"""
+
+
+@register("a5_normalised_categories", O.sql("""select prod_idx, array_to_string(list_transform(hot,
+    lambda x: printf('%.6f', x / case when list_sum(hot) > 0 then list_sum(hot) else 1 end)), ',') as category_vector
+  from dense""", _CAT_CTES))
+def a5_normalised_categories(spark: SparkSession, d: str) -> DataFrame:
+    """A4 dense + A5: multi-hot category vectors divided by their row sums."""
+    _, cats, n = _item_cats(spark, d)
+    out = dense_categories(cats, n, normalise=True)
+    return out.select(S.PROD_IDX, F.array_join(F.transform("category_vector", lambda x: F.format_string("%.6f", x)),
+                                               ",").alias("category_vector"))
+
+
+@register("j9_item_category_vectors", O.sql("""select d.prod_idx, array_to_string(list_transform(
+    list_concat(v.vector, list_transform(d.hot, lambda x: cast(x as double))), lambda x: printf('%.6f', x)), ',') as vector
+  from dense d join ivec v on d.prod_idx = v.prod_idx""", _CAT_CTES))
+def j9_item_category_vectors(spark: SparkSession, d: str) -> DataFrame:
+    """Item vectors concatenated with their multi-hot category vectors."""
+    t, cats, n = _item_cats(spark, d)
+    out = with_category_features(_event_item_vectors(spark, d, t), cats, n)
+    return out.select(S.PROD_IDX, F.array_join(F.transform("vector", lambda x: F.format_string("%.6f", x)),
+                                               ",").alias("vector"))
+
+
+@register("s5_order_extract", O.sql("""select timestamp, action_type, prod_no, search_keyword, m_id, event_id
+  from useraction where action_type like 'O%'"""))
+def s5_order_extract(spark: SparkSession, d: str) -> DataFrame:
+    """Order rows of log files within a size band (here: up to 1 GiB)."""
+    log = fx.useraction(spark, d, with_file_size=True)
+    return extract_orders(log, 0, 1 << 30, size_col="file_size")
+
+
+@register("s6_search_words", O.sql("select word from search_words"))
+def s6_search_words(spark: SparkSession, d: str) -> DataFrame:
+    """Distinct non-empty search keywords of the log."""
+    return extract_search_words(fx.useraction(spark, d, with_event_id=False))
+
+
+@register("o5_shuffled_instances")
+def o5_shuffled_instances(spark: SparkSession, d: str) -> DataFrame:
+    """Instances in a repeatable random order (rows-only check)."""
+    inst = with_instance_id(_event_instances(spark, d).instances)
+    return shuffle_rows(inst.select("instance_id", join_ints("orders").alias("orders"), "label", "split"), 7,
+                        ["instance_id"])
