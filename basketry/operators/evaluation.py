@@ -48,7 +48,10 @@ def case_report(instances: DataFrame, top: DataFrame, hit_rows: DataFrame, title
     t = titles.select(item_col, title_col)
     numbered = hit_rows.withColumn("outcome", F.when(F.col("hit") == 1, F.lit("positives")).otherwise(F.lit("negatives")))
     w = Window.partitionBy("outcome").orderBy(id_col)
-    numbered = numbered.withColumn("case_no", F.row_number().over(w)).where(
+    # the plain `case_no <= max cap` filter lets Spark cut each outcome map-side
+    # (partial WindowGroupLimit) before the per-outcome shuffle
+    numbered = numbered.withColumn("case_no", F.row_number().over(w)) \
+        .where(F.col("case_no") <= max(positive_cases, negative_cases)).where(
         ((F.col("outcome") == "positives") & (F.col("case_no") <= positive_cases))
         | ((F.col("outcome") == "negatives") & (F.col("case_no") <= negative_cases)))
     hist = (instances.select(id_col, F.posexplode("orders").alias("_p", item_col)).where(F.col(item_col) != PAD)

@@ -1,0 +1,6 @@
+"""Streaming operators.
+
+The pipelines this package rebuilds are batch only: they read whole log and
+metadata exports and contain no stream sources, watermarks or stateful
+operators, so nothing is defined here.
+"""
