@@ -33,6 +33,24 @@ class ScoreResult:
     lse: DataFrame  # id, lse: log(sum(exp(score))) over all items
 
 
+def _top_positions(key: np.ndarray, k: int) -> np.ndarray:
+    """Column positions of the ``k`` largest values per row, best first; among
+    equal values the lower position (= lower item index) comes first."""
+    rows, m = key.shape
+    if k >= m:
+        return np.argsort(-key, axis=1, kind="stable")
+    cand = np.argpartition(-key, k - 1, axis=1)[:, :k]
+    cand_key = np.take_along_axis(key, cand, 1)
+    thr = cand_key.min(axis=1)
+    # argpartition picks arbitrarily among values equal to the k-th: redo those rows exactly
+    tied = (key >= thr[:, None]).sum(axis=1) > k
+    order = np.lexsort((cand, -cand_key), axis=1)
+    best = np.take_along_axis(cand, order, 1)
+    if tied.any():
+        best[tied] = np.argsort(-key[tied], axis=1, kind="stable")[:, :k]
+    return best
+
+
 def _block_scorer(id_col: str, item_col: str, k: int, decimals: int | None, chunk: int):
     def score(q: pd.DataFrame, it: pd.DataFrame) -> pd.DataFrame:
         cols = [id_col, item_col, "score", "blk_max", "blk_sumexp"]
@@ -48,14 +66,11 @@ def _block_scorer(id_col: str, item_col: str, k: int, decimals: int | None, chun
         parts = []
         for lo in range(0, len(qids), chunk):
             s = qmat[lo:lo + chunk] @ imat.T
-            key = np.round(s, decimals) if decimals is not None else s
-            # stable sort on -key keeps the lower item index first among ties
-            best = np.argsort(-key, axis=1, kind="stable")[:, :kk]
-            rows = np.arange(s.shape[0])[:, None]
+            best = _top_positions(np.round(s, decimals) if decimals is not None else s, kk)
             m = s.max(axis=1)
             parts.append(pd.DataFrame({
                 id_col: np.repeat(qids[lo:lo + chunk], kk), item_col: items[best].ravel(),
-                "score": s[rows, best].ravel(), "blk_max": np.nan, "blk_sumexp": np.nan}))
+                "score": np.take_along_axis(s, best, 1).ravel(), "blk_max": np.nan, "blk_sumexp": np.nan}))
             parts.append(pd.DataFrame({
                 id_col: qids[lo:lo + chunk], item_col: np.int32(-1), "score": np.nan,
                 "blk_max": m, "blk_sumexp": np.exp(s - m[:, None]).sum(axis=1)}))
@@ -66,13 +81,17 @@ def _block_scorer(id_col: str, item_col: str, k: int, decimals: int | None, chun
 
 def top_k_scores(queries: DataFrame, items: DataFrame, k: int, id_col: str = "instance_id",
                  query_vec: str = "session", item_col: str = "prod_idx", item_vec: str = "vector",
-                 rank_decimals: int | None = None, query_block: int = 2048, item_block: int = 8192,
-                 chunk: int = 512) -> ScoreResult:
+                 rank_decimals: int | None = None, query_block: int = 32768, item_block: int = 32768,
+                 chunk: int = 256) -> ScoreResult:
     """Top-``k`` items by dot product for every query, plus each query's log-sum-exp.
 
     ``rank_decimals`` ranks on scores rounded to that many decimals (ties then
     go to the lower item index), which makes rankings reproducible across
     engines; ``None`` ranks on exact scores.
+
+    Block sizes bound the memory of one group (32k x 32k blocks at dim 64:
+    16 MB per side, a 64 MB score chunk); the shuffle volume is about
+    |queries| x item blocks + |items| x query blocks rows.
     """
     # the query side is sized and then blocked: materialise it so its lineage runs once
     q = materialize(queries.select(F.col(id_col).cast("long").alias(id_col), F.col(query_vec).alias("_vec"))

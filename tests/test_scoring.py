@@ -10,6 +10,8 @@ def test_blocked_topk_equals_brute_force(spark):
     q = rng.normal(size=(37, 5)).round(2)
     it = rng.normal(size=(53, 5)).round(2)
     it[10] = it[3]                      # exact tie: lower index must win
+    it[40:50] = 0.0                     # many ties (zero vectors) around the cut
+    q[5] = 0.0                          # a query whose scores are all equal
     qdf = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(q)], "instance_id long, session array<double>")
     idf = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(it)], "prod_idx int, vector array<double>")
     # tiny blocks: 4 query blocks x 6 item blocks
@@ -40,3 +42,10 @@ def test_session_modes(spark):
     assert np.allclose(att[1], w[0] * np.array([1, 0]) + w[1] * np.array([0, 2]))
     ca = {r.instance_id: r.session for r in session_vectors(inst, vecs, "click_attention").collect()}
     assert np.allclose(ca[1], att[1])      # click key [0,0] is all-zero -> falls back to the last order
+
+
+def test_top_positions_ties():
+    from basketry.operators.scoring import _top_positions
+    key = np.array([[1.0, 3.0, 3.0, 2.0, 3.0], [0.0, 0.0, 0.0, 0.0, 0.0], [5.0, 4.0, 3.0, 2.0, 1.0]])
+    assert _top_positions(key, 2).tolist() == [[1, 2], [0, 1], [0, 1]]
+    assert _top_positions(key, 5).tolist()[0] == [1, 2, 4, 3, 0]
