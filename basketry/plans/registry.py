@@ -462,7 +462,26 @@ att_e AS (select instance_id, p, vector, exp(s - max(s) over (partition by insta
 att_w AS (select instance_id, p, vector, e / sum(e) over (partition by instance_id) as w from att_e),
 att_dims AS (select instance_id, w, unnest(range(len(vector))) as d, unnest(vector) as x from att_w),
 sess_attention AS (select instance_id, list(s order by d) as session
-  from (select instance_id, d, sum(w * x) as s from att_dims group by instance_id, d) group by instance_id)"""
+  from (select instance_id, d, sum(w * x) as s from att_dims group by instance_id, d) group by instance_id),
+inst_clicks AS (select (cast(i.user_idx as bigint) << 32) + i.pos as instance_id, coalesce(c.cl, []) as cl
+  from inst i left join carr c on i.user_idx = c.user_idx and """ + _yday_sql("i.timestamp") + """ = c.d),
+cv AS (select c.instance_id, v.vector from (select instance_id, unnest(cl) as prod_idx from inst_clicks) c
+  join ivec v on c.prod_idx = v.prod_idx),
+cdims AS (select instance_id, unnest(range(len(vector))) as d, unnest(vector) as x from cv),
+csum AS (select instance_id, list(s order by d) as total
+  from (select instance_id, d, sum(x) as s from cdims group by instance_id, d) group by instance_id),
+ccnt AS (select instance_id, count(*) filter (where list_max(list_transform(vector, lambda x: abs(x))) > 0) as n
+  from cv group by instance_id),
+ckey AS (select s.instance_id, list_transform(s.total, lambda x: x / c.n) as k
+  from csum s join ccnt c on s.instance_id = c.instance_id where c.n > 0),
+akey AS (select l.instance_id, coalesce(k.k, l.session) as k from sess_last l left join ckey k on l.instance_id = k.instance_id),
+catt_e AS (select h.instance_id, h.vector, exp(list_dot_product(h.vector, a.k)
+    - max(list_dot_product(h.vector, a.k)) over (partition by h.instance_id)) as e
+  from hv h join akey a on h.instance_id = a.instance_id),
+catt_dims AS (select instance_id, e / sum(e) over (partition by instance_id) as w,
+  unnest(range(len(vector))) as d, unnest(vector) as x from catt_e),
+sess_click_attention AS (select instance_id, list(s order by d) as session
+  from (select instance_id, d, sum(w * x) as s from catt_dims group by instance_id, d) group by instance_id)"""
 
 
 def _scores_cte(mode: str) -> str:
@@ -489,9 +508,9 @@ for _mode in ("last", "average", "attention"):
     register(f"t5_topk_{_mode}", _topk_oracle(_mode))(_topk_query(_mode))
 
 
-@register("t7_topk_click_attention")
+@register("t7_topk_click_attention", _topk_oracle("click_attention"))
 def t7_topk_click_attention(spark: SparkSession, d: str) -> DataFrame:
-    """Click-keyed attention session vector -> top-10 (rows-only check)."""
+    """Attention keyed by the mean click vector (last order when no clicks) -> top-10."""
     return _topk_query("click_attention")(spark, d)
 
 
@@ -668,9 +687,10 @@ def s6_search_words(spark: SparkSession, d: str) -> DataFrame:
     return extract_search_words(fx.useraction(spark, d, with_event_id=False))
 
 
-@register("o5_shuffled_instances")
+@register("o5_shuffled_instances", O.sql(f"""select instance_id, {_pad_sql('hist', 8)} as orders, label, split
+  from inst_id""", _P7_CTES))
 def o5_shuffled_instances(spark: SparkSession, d: str) -> DataFrame:
-    """Instances in a repeatable random order (rows-only check)."""
+    """Instances in a repeatable random order (checked as the same rows)."""
     inst = with_instance_id(_event_instances(spark, d).instances)
     return shuffle_rows(inst.select("instance_id", join_ints("orders").alias("orders"), "label", "split"), 7,
                         ["instance_id"])
