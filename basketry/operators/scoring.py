@@ -18,14 +18,20 @@ the log-sum-exp parts merge associatively.
 from __future__ import annotations
 
 import math
+import sys
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import materialize
 
+# The block scorer runs in Python workers that need not have this package
+# installed: ship this module's functions by value with the task.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 @dataclass
 class ScoreResult:
@@ -100,10 +106,12 @@ def top_k_scores(queries: DataFrame, items: DataFrame, k: int, id_col: str = "in
         .where(F.col("_vec").isNotNull())
     nq, ni = q.count(), it.count()
     qb, ib = max(1, math.ceil(nq / query_block)), max(1, math.ceil(ni / item_block))
-    qrep = q.withColumn("_qb", F.pmod(F.xxhash64(id_col), F.lit(qb))) \
-        .withColumn("_ib", F.explode(F.sequence(F.lit(0), F.lit(ib - 1))))
-    irep = it.withColumn("_ib", F.pmod(F.xxhash64(item_col), F.lit(ib))) \
-        .withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(qb - 1))))
+    # block keys must have identical types on both sides: cogroup does not
+    # coerce them, and an int and a long 0 hash to different partitions
+    qrep = q.withColumn("_qb", F.pmod(F.xxhash64(id_col), F.lit(qb)).cast("int")) \
+        .withColumn("_ib", F.explode(F.sequence(F.lit(0), F.lit(ib - 1)).cast("array<int>")))
+    irep = it.withColumn("_ib", F.pmod(F.xxhash64(item_col), F.lit(ib)).cast("int")) \
+        .withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(qb - 1)).cast("array<int>")))
     schema = f"{id_col} long, {item_col} int, score double, blk_max double, blk_sumexp double"
     blocks = (qrep.groupBy("_qb", "_ib").cogroup(irep.groupBy("_qb", "_ib"))
               .applyInPandas(_block_scorer(id_col, item_col, k, rank_decimals, chunk), schema))

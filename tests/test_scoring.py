@@ -49,3 +49,21 @@ def test_top_positions_ties():
     key = np.array([[1.0, 3.0, 3.0, 2.0, 3.0], [0.0, 0.0, 0.0, 0.0, 0.0], [5.0, 4.0, 3.0, 2.0, 1.0]])
     assert _top_positions(key, 2).tolist() == [[1, 2], [0, 1], [0, 1]]
     assert _top_positions(key, 5).tolist()[0] == [1, 2, 4, 3, 0]
+
+
+def test_blocks_meet_without_coalescing(spark):
+    """Block keys of both sides must land in the same partitions (typed alike)."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        rng = np.random.default_rng(1)
+        it = rng.normal(size=(30, 4))
+        idf = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(it)],
+                                    "prod_idx int, vector array<double>")
+        qdf = idf.select(F.col("prod_idx").cast("long").alias("instance_id"), F.col("vector").alias("session"))
+        for qb, ib in ((100, 100), (7, 11)):
+            res = top_k_scores(qdf, idf, 3, query_block=qb, item_block=ib)
+            assert res.top.count() == 90 and res.lse.count() == 30
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
