@@ -43,7 +43,7 @@ def filter_null_member_id(df: DataFrame, column: str = S.MEMBER_ID) -> DataFrame
 
 def filter_by_action_type(df: DataFrame, action: str, column: str = S.ACTION_TYPE) -> DataFrame:
     """keep one action type; 'A' keeps everything. Accepts aliases like 'click'."""
-    code = action_type_code(action) if len(action) != 1 or action.upper() not in "OCA" else action.upper()
+    code = action_type_code(action)
     return df if code == "A" else df.where(F.col(column) == F.lit(code))
 
 

@@ -117,8 +117,7 @@ def category(spark: SparkSession, sf_dir: str) -> DataFrame:
 def prod_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     su = table(spark, sf_dir, "supplier")
-    j = li.where((F.col("l_quantity") > 49) & (F.col("l_partkey") < 100)) \
-        .join(su, li["l_suppkey"] == su["s_suppkey"])
+    j = li.where(F.col("l_quantity") > 49).join(su, li["l_suppkey"] == su["s_suppkey"])
     cat = F.when(F.col("s_nationkey") == 0, F.lit(100)).otherwise(F.col("s_nationkey")).cast("int")
     return j.select(F.col("l_partkey").cast("int").alias(S.PRODUCT_NO), cat.alias(S.CATEGORY_NO)).distinct()
 

@@ -49,7 +49,7 @@ category AS (
 prod_category AS (
   select distinct cast(l_partkey as int) as prod_no,
     cast(case when s_nationkey=0 then 100 else s_nationkey end as int) as gnb_category_id
-  from lineitem join supplier on l_suppkey=s_suppkey where l_quantity>49 and l_partkey<100),
+  from lineitem join supplier on l_suppkey=s_suppkey where l_quantity>49),
 deal_item_raw AS (
   select distinct cast(l_suppkey*37 as int) as deal_no, cast(l_partkey as int) as prod_no
   from lineitem where l_linenumber=1),

@@ -30,8 +30,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only when the session has none (local tests) a private scratch folder is
-    created and registered; on a cluster the configured shared folder is used.
+    Only a local-mode session without one (tests) gets a private scratch
+    folder; on a cluster the setting is required, since executors must all
+    reach the folder.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -40,6 +41,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage")
     path = tempfile.mkdtemp(prefix="basketry-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
