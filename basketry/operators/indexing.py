@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from .. import schemas as S
 from ..functions.codes import CODE_SPACE, code_of_index
@@ -20,27 +20,30 @@ def dense_index(df: DataFrame, column: str, index_col: str, partitions: int | No
 
     The distinct values are range-partitioned and sorted within partitions;
     ``monotonically_increasing_id`` then carries (partition, row in partition)
-    in sorted order, and per-partition counts (one row per partition, so a
-    table bounded by the partition count) give each partition's offset. The
-    numbered ids are checkpointed so counts and rows share one partitioning.
-    No step puts all values into one task.
+    in sorted order, and the per-partition counts (one number per partition,
+    collected to the driver) give each partition's offset, applied as an
+    array literal. The numbered ids are checkpointed so counts and rows share
+    one partitioning. No step puts all values into one task.
     """
     n = _partitions(df, partitions)
     ids = df.select(column).where(F.col(column).isNotNull()).distinct()
     ranked = (ids.repartitionByRange(n, F.col(column)).sortWithinPartitions(column)
               .withColumn("_mid", F.monotonically_increasing_id())
-              .withColumn("_pid", F.shiftright(F.col("_mid"), _ROW_BITS))
-              .withColumn("_rn", F.col("_mid") - F.shiftleft(F.col("_pid"), _ROW_BITS))
+              .withColumn("_pid", F.shiftright(F.col("_mid"), _ROW_BITS).cast("int"))
+              .withColumn("_rn", F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), _ROW_BITS))
               .drop("_mid"))
     # counts and numbering must come from the same partitioning: materialise once
     ranked = materialize(ranked)
-    offsets = (ranked.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
-               .withColumn("_off", F.coalesce(
-                   F.sum("_cnt").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0))))
-    # offsets holds one row per range partition: broadcasting it is bounded by construction.
-    return (ranked.join(F.broadcast(offsets.select("_pid", "_off")), on="_pid")
-            .select(column, (F.col("_off") + F.col("_rn")).cast("int").alias(index_col)))
+    # one count per range partition (bounded by the partition count) -> offsets
+    counts = dict(ranked.groupBy("_pid").count().collect())
+    offsets, total = [], 0
+    for pid in range(max(counts, default=-1) + 1):
+        offsets.append(total)
+        total += counts.get(pid, 0)
+    if not offsets:
+        return ranked.select(column, F.lit(None).cast("int").alias(index_col))
+    off = F.element_at(F.lit(offsets).cast("array<long>"), F.col("_pid") + 1)
+    return ranked.select(column, (off + F.col("_rn")).cast("int").alias(index_col))
 
 
 def assign_codes(df: DataFrame, seed: int, key: str = S.MEMBER_ID, code_col: str = S.COMP_MEMBER_ID,
