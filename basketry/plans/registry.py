@@ -13,10 +13,28 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import schemas as S
+from ..functions.arrays import drop_pads, join_ints, right_pad
+from ..functions.codes import CODE_ALPHABET, CODE_SPACE, affine_key
 from ..functions.time import date_range_bounds
+from ..operators import filters as flt
+from ..operators import quality as Q
+from ..operators.categories import dense_categories, item_categories, with_category_features
+from ..operators.indexing import dense_index
+from ..operators.ordering import shuffle_rows
+from ..operators.scoring import top_k_scores
+from ..operators.sequences import attach_yesterday_clicks, daily_last_clicks
+from ..operators.text import tokenize
+from ..session import materialize
+from ..sources.readers import extract_orders, extract_search_words
 from . import fixtures as fx
 from . import oracles as O
+from .behaviour import aggregate_log
 from .feature import generate_features, sort_log
+from .instances import build_instances, instance_stats, item_table
+from .metadata import (prepare_category, prepare_deal_item, prepare_prod_category,
+                       prepare_product, prepare_user)
+from .recommend import evaluate, prediction_report, recommend, similar_items, with_instance_id
+from .titles import item_title_vectors, title_neighbours
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -77,12 +95,6 @@ def p2_sort_log(spark: SparkSession, d: str) -> DataFrame:
 
 # ---------------------------------------------------------------- P5 metadata, quality, F6/F8/I1/I2
 
-from ..functions.codes import CODE_ALPHABET, CODE_SPACE, affine_key  # noqa: E402
-from ..operators import filters as flt  # noqa: E402
-from ..operators import quality as Q  # noqa: E402
-from ..operators.indexing import assign_codes, dense_index  # noqa: E402
-from .metadata import (prepare_category, prepare_deal_item, prepare_prod_category,  # noqa: E402
-                       prepare_product, prepare_user)
 
 CODE_SEED = 7
 
@@ -243,12 +255,6 @@ def q_constraints(spark: SparkSession, d: str) -> DataFrame:
 
 # ---------------------------------------------------------------- P3 / P4 sequences
 
-from ..functions.arrays import join_ints  # noqa: E402
-from ..operators.categories import item_categories  # noqa: E402
-from ..operators.sequences import attach_yesterday_clicks, daily_last_clicks  # noqa: E402
-from .behaviour import aggregate_log  # noqa: E402
-from .instances import build_instances, instance_stats, item_table  # noqa: E402
-
 
 def _pad_sql(expr: str, width: int) -> str:
     return f"array_to_string(list_concat(list_transform(range({width} - len({expr})), lambda x: -1), {expr}), ',')"
@@ -417,9 +423,6 @@ def k5_items(spark: SparkSession, d: str) -> DataFrame:
 
 # ---------------------------------------------------------------- P7 recommend + evaluate, T4
 
-from ..operators import evaluation as EV  # noqa: E402
-from ..session import materialize  # noqa: E402
-from .recommend import evaluate, prediction_report, recommend, similar_items, with_instance_id  # noqa: E402
 
 RANK_DECIMALS = 6
 TOP_K = 10
@@ -586,7 +589,6 @@ def t4_similar_items(spark: SparkSession, d: str) -> DataFrame:
      from item_vectors a cross join item_vectors b)) where rank <= 10"""))
 def j8_dot_topk(spark: SparkSession, d: str) -> DataFrame:
     """Top-10 items by dot product for every item vector as a query."""
-    from ..operators.scoring import top_k_scores
     vecs = fx.item_vectors(spark, d).withColumnRenamed(S.PRODUCT_NO, S.PROD_IDX)
     queries = vecs.select(F.col(S.PROD_IDX).cast("long").alias("instance_id"), F.col("vector").alias("session"))
     res = top_k_scores(queries, vecs, TOP_K, rank_decimals=RANK_DECIMALS)
@@ -595,13 +597,6 @@ def j8_dot_topk(spark: SparkSession, d: str) -> DataFrame:
 
 # ---------------------------------------------------------------- T1-T3/P6, T10, A5, J9, S5, S6, O5
 
-from ..functions.arrays import drop_pads, right_pad  # noqa: E402
-from ..operators.categories import dense_categories, with_category_features  # noqa: E402
-from ..operators.ordering import shuffle_rows  # noqa: E402
-from ..operators.text import tokenize  # noqa: E402
-from ..sources.readers import extract_orders, extract_search_words  # noqa: E402
-from .titles import item_title_vectors, title_neighbours  # noqa: E402
-
 
 @register("t1_title_tokens", O.sql(r"""select prod_no, array_to_string(regexp_extract_all(lower(prod_nm), '[\p{L}\p{N}]+'), ' ')
   as tokens from product_raw"""))
