@@ -13,12 +13,11 @@ ORDER_LINE, ANSWER_LINE, SCORE_LINE = "[ORDER %02d] %s", "[ANSWER] %s", "[%6.3f]
 
 
 def hits(top: DataFrame, labels: DataFrame, id_col: str = "instance_id", item_col: str = S.PROD_IDX,
-         label_col: str = "label") -> DataFrame:
-    """Per scored instance: 1 when its label is among its top-k items, else 0."""
+         label_col: str = "label", group_cols: tuple[str, ...] = ()) -> DataFrame:
+    """Per scored instance (and scorer): 1 when its label is among its top-k items, else 0."""
     lab = labels.select(id_col, label_col)
-    found = top.join(lab, on=id_col).groupBy(id_col).agg(
+    return top.join(lab, on=id_col).groupBy(*group_cols, id_col).agg(
         F.max((F.col(item_col) == F.col(label_col)).cast("int")).alias("hit"))
-    return found
 
 
 def hit_rate(hit_rows: DataFrame, group_cols: list[str]) -> DataFrame:
@@ -28,12 +27,14 @@ def hit_rate(hit_rows: DataFrame, group_cols: list[str]) -> DataFrame:
 
 
 def cross_entropy(lse: DataFrame, sessions: DataFrame, labels: DataFrame, item_vectors: DataFrame,
-                  id_col: str = "instance_id", label_col: str = "label", item_col: str = S.PROD_IDX) -> DataFrame:
-    """A10 per instance: log-sum-exp of all scores minus the label's score."""
+                  id_col: str = "instance_id", label_col: str = "label", item_col: str = S.PROD_IDX,
+                  session_col: str = "session", group_cols: tuple[str, ...] = ()) -> DataFrame:
+    """A10 per instance (and scorer): log-sum-exp of all scores minus the label's score."""
+    keys = [id_col, *group_cols]
     lab = labels.select(id_col, F.col(label_col).alias(item_col)) \
         .join(item_vectors.select(item_col, F.col("vector").alias("_lv")), on=item_col)
-    return (lse.join(sessions.select(id_col, "session"), on=id_col).join(lab, on=id_col)
-            .select(id_col, (F.col("lse") - dot("session", "_lv")).alias("loss")))
+    return (lse.join(sessions.select(*keys, F.col(session_col).alias("_sv")), on=keys).join(lab, on=id_col)
+            .select(*keys, (F.col("lse") - dot("_sv", "_lv")).alias("loss")))
 
 
 def case_report(instances: DataFrame, top: DataFrame, hit_rows: DataFrame, titles: DataFrame,

@@ -35,8 +35,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 @dataclass
 class ScoreResult:
-    top: DataFrame  # id, item, score, rank (1 = best)
-    lse: DataFrame  # id, lse: log(sum(exp(score))) over all items
+    top: DataFrame      # id, [group], item, score, rank (1 = best)
+    lse: DataFrame      # id, [group], lse: log(sum(exp(score))) over all items
+    queries: DataFrame  # id, [group], _vec: the scored query vectors (materialised)
 
 
 def _top_positions(key: np.ndarray, k: int) -> np.ndarray:
@@ -57,30 +58,39 @@ def _top_positions(key: np.ndarray, k: int) -> np.ndarray:
     return best
 
 
-def _block_scorer(id_col: str, item_col: str, k: int, decimals: int | None, chunk: int):
+def _block_scorer(id_col: str, item_col: str, k: int, decimals: int | None, chunk: int,
+                  group_col: str | None):
+    keys = [id_col] + ([group_col] if group_col else [])
+
     def score(q: pd.DataFrame, it: pd.DataFrame) -> pd.DataFrame:
-        cols = [id_col, item_col, "score", "blk_max", "blk_sumexp"]
+        cols = keys + [item_col, "score", "blk_max", "blk_sumexp"]
         if q.empty or it.empty:
-            return pd.DataFrame({c: pd.Series(dtype="float64") for c in cols}).astype(
-                {id_col: "int64", item_col: "int32"})
+            return pd.DataFrame({c: pd.Series(dtype="object" if c == group_col else "float64") for c in cols}) \
+                .astype({id_col: "int64", item_col: "int32"})
         it = it.sort_values(item_col, kind="stable")
         items = it[item_col].to_numpy(dtype=np.int32)
         imat = np.vstack(it["_vec"].to_numpy()).astype(np.float64)
-        qids = q[id_col].to_numpy(dtype=np.int64)
+        qkeys = q[keys].reset_index(drop=True)
         qmat = np.vstack(q["_vec"].to_numpy()).astype(np.float64)
         kk = min(k, len(items))
         parts = []
-        for lo in range(0, len(qids), chunk):
+        for lo in range(0, len(qkeys), chunk):
             s = qmat[lo:lo + chunk] @ imat.T
             best = _top_positions(np.round(s, decimals) if decimals is not None else s, kk)
             m = s.max(axis=1)
-            parts.append(pd.DataFrame({
-                id_col: np.repeat(qids[lo:lo + chunk], kk), item_col: items[best].ravel(),
-                "score": np.take_along_axis(s, best, 1).ravel(), "blk_max": np.nan, "blk_sumexp": np.nan}))
-            parts.append(pd.DataFrame({
-                id_col: qids[lo:lo + chunk], item_col: np.int32(-1), "score": np.nan,
-                "blk_max": m, "blk_sumexp": np.exp(s - m[:, None]).sum(axis=1)}))
-        out = pd.concat(parts, ignore_index=True)
+            chunk_keys = qkeys.iloc[lo:lo + chunk]
+            top = chunk_keys.loc[chunk_keys.index.repeat(kk)].reset_index(drop=True)
+            top[item_col] = items[best].ravel()
+            top["score"] = np.take_along_axis(s, best, 1).ravel()
+            top["blk_max"] = np.nan
+            top["blk_sumexp"] = np.nan
+            part = chunk_keys.reset_index(drop=True)
+            part[item_col] = np.int32(-1)
+            part["score"] = np.nan
+            part["blk_max"] = m
+            part["blk_sumexp"] = np.exp(s - m[:, None]).sum(axis=1)
+            parts += [top, part]
+        out = pd.concat(parts, ignore_index=True)[cols]
         return out.astype({id_col: "int64", item_col: "int32"})
     return score
 
@@ -88,7 +98,7 @@ def _block_scorer(id_col: str, item_col: str, k: int, decimals: int | None, chun
 def top_k_scores(queries: DataFrame, items: DataFrame, k: int, id_col: str = "instance_id",
                  query_vec: str = "session", item_col: str = "prod_idx", item_vec: str = "vector",
                  rank_decimals: int | None = None, query_block: int = 32768, item_block: int = 32768,
-                 chunk: int = 256) -> ScoreResult:
+                 chunk: int = 256, group_col: str | None = None) -> ScoreResult:
     """Top-``k`` items by dot product for every query, plus each query's log-sum-exp.
 
     ``rank_decimals`` ranks on scores rounded to that many decimals (ties then
@@ -97,10 +107,14 @@ def top_k_scores(queries: DataFrame, items: DataFrame, k: int, id_col: str = "in
 
     Block sizes bound the memory of one group (32k x 32k blocks at dim 64:
     16 MB per side, a 64 MB score chunk); the shuffle volume is about
-    |queries| x item blocks + |items| x query blocks rows.
+    |queries| x item blocks + |items| x query blocks rows. With ``group_col``
+    (e.g. the scorer name) a query is identified by (group, id), so several
+    kinds of query vectors share one pass over the items.
     """
     # the query side is sized and then blocked: materialise it so its lineage runs once
-    q = materialize(queries.select(F.col(id_col).cast("long").alias(id_col), F.col(query_vec).alias("_vec"))
+    gcols = [F.col(group_col)] if group_col else []
+    keys = [id_col] + ([group_col] if group_col else [])
+    q = materialize(queries.select(F.col(id_col).cast("long").alias(id_col), *gcols, F.col(query_vec).alias("_vec"))
                     .where(F.col("_vec").isNotNull()))
     it = items.select(F.col(item_col).cast("int").alias(item_col), F.col(item_vec).alias("_vec")) \
         .where(F.col("_vec").isNotNull())
@@ -112,20 +126,21 @@ def top_k_scores(queries: DataFrame, items: DataFrame, k: int, id_col: str = "in
         .withColumn("_ib", F.explode(F.sequence(F.lit(0), F.lit(ib - 1)).cast("array<int>")))
     irep = it.withColumn("_ib", F.pmod(F.xxhash64(item_col), F.lit(ib)).cast("int")) \
         .withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(qb - 1)).cast("array<int>")))
-    schema = f"{id_col} long, {item_col} int, score double, blk_max double, blk_sumexp double"
+    gtype = f", {group_col} {q.schema[group_col].dataType.simpleString()}" if group_col else ""
+    schema = f"{id_col} long{gtype}, {item_col} int, score double, blk_max double, blk_sumexp double"
     blocks = (qrep.groupBy("_qb", "_ib").cogroup(irep.groupBy("_qb", "_ib"))
-              .applyInPandas(_block_scorer(id_col, item_col, k, rank_decimals, chunk), schema))
+              .applyInPandas(_block_scorer(id_col, item_col, k, rank_decimals, chunk, group_col), schema))
     # both results below read the block output: materialise it once
     blocks = materialize(blocks)
     cand = blocks.where(F.col("blk_max").isNull())
     rank_key = F.round("score", rank_decimals) if rank_decimals is not None else F.col("score")
-    w = Window.partitionBy(id_col).orderBy(rank_key.desc(), F.col(item_col).asc())
+    w = Window.partitionBy(*keys).orderBy(rank_key.desc(), F.col(item_col).asc())
     top = cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k) \
-        .select(id_col, item_col, "score", "rank")
+        .select(*keys, item_col, "score", "rank")
     parts = blocks.where(F.col("blk_max").isNotNull())
-    mx = Window.partitionBy(id_col)
+    mx = Window.partitionBy(*keys)
     lse = (parts.withColumn("_m", F.max("blk_max").over(mx))
-           .groupBy(id_col).agg(F.first("_m").alias("_m"),
-                                F.sum(F.col("blk_sumexp") * F.exp(F.col("blk_max") - F.col("_m"))).alias("_s"))
-           .select(id_col, (F.col("_m") + F.log("_s")).alias("lse")))
-    return ScoreResult(top, lse)
+           .groupBy(*keys).agg(F.first("_m").alias("_m"),
+                               F.sum(F.col("blk_sumexp") * F.exp(F.col("blk_max") - F.col("_m"))).alias("_s"))
+           .select(*keys, (F.col("_m") + F.log("_s")).alias("lse")))
+    return ScoreResult(top, lse, q)

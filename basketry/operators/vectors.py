@@ -48,10 +48,39 @@ def attention_pool(vecs: Column, key: Column) -> Column:
     return _weighted_sum(vecs, weights)
 
 
+def _session_exprs(modes: tuple[str, ...]) -> dict[str, tuple]:
+    """Per mode: (session vector, optional [context, last] concatenation) over ``_ov``/``_cv``."""
+    last = F.element_at("_ov", -1)
+    out = {}
+    for mode in modes:
+        if mode == "last":
+            out[mode] = (last, None)
+        elif mode == "average":
+            out[mode] = (_mean(F.col("_ov")), None)
+        elif mode == "attention":
+            ctx = attention_pool(F.col("_ov"), last)
+            out[mode] = (ctx, F.concat(ctx, last))
+        elif mode == "click_attention":
+            ctx = attention_pool(F.col("_ov"), F.coalesce(_mean(F.col("_cv")), last))
+            out[mode] = (ctx, F.concat(ctx, last))
+        else:
+            raise ValueError(f"unknown session mode {mode}")
+    return out
+
+
+def _sequences(instances: DataFrame, vectors: DataFrame, modes: tuple[str, ...], id_col: str,
+               orders_col: str, clicks_col: str, item_col: str) -> DataFrame:
+    seq = sequence_vectors(instances, vectors, id_col, orders_col, "_ov", item_col)
+    if "click_attention" in modes:
+        clicks = sequence_vectors(instances, vectors, id_col, clicks_col, "_cv", item_col)
+        seq = seq.join(clicks, on=id_col, how="left")
+    return seq
+
+
 def session_vectors(instances: DataFrame, vectors: DataFrame, mode: str, id_col: str = "instance_id",
                     orders_col: str = "orders", clicks_col: str = "clicks",
                     item_col: str = S.PROD_IDX) -> DataFrame:
-    """One query vector per instance, ``(id_col, session)``.
+    """One query vector per instance, ``(id_col, session[, session_concat])``.
 
     * ``last``: vector of the most recent ordered item;
     * ``average``: mean of the ordered items' vectors (A6/A7);
@@ -62,19 +91,19 @@ def session_vectors(instances: DataFrame, vectors: DataFrame, mode: str, id_col:
 
     Instances without any order vector get no row (they are not scored).
     """
-    if mode not in SESSION_MODES:
-        raise ValueError(f"unknown session mode {mode}")
-    seq = sequence_vectors(instances, vectors, id_col, orders_col, "_ov", item_col)
-    last = F.element_at("_ov", -1)
-    if mode == "last":
-        return seq.select(id_col, last.alias("session"))
-    if mode == "average":
-        return seq.select(id_col, _mean(F.col("_ov")).alias("session")).where(F.col("session").isNotNull())
-    if mode == "attention":
-        ctx = attention_pool(F.col("_ov"), last)
-        return seq.select(id_col, ctx.alias("session"), F.concat(ctx, last).alias("session_concat"))
-    clicks = sequence_vectors(instances, vectors, id_col, clicks_col, "_cv", item_col)
-    both = seq.join(clicks, on=id_col, how="left")
-    key = F.coalesce(_mean(F.col("_cv")), last)
-    ctx = attention_pool(F.col("_ov"), key)
-    return both.select(id_col, ctx.alias("session"), F.concat(ctx, last).alias("session_concat"))
+    vec, concat = _session_exprs((mode,))[mode]
+    seq = _sequences(instances, vectors, (mode,), id_col, orders_col, clicks_col, item_col)
+    cols = [F.col(id_col), vec.alias("session")] + ([concat.alias("session_concat")] if concat is not None else [])
+    return seq.select(*cols).where(F.col("session").isNotNull())
+
+
+def session_vectors_by_mode(instances: DataFrame, vectors: DataFrame, modes: tuple[str, ...],
+                            id_col: str = "instance_id", orders_col: str = "orders", clicks_col: str = "clicks",
+                            item_col: str = S.PROD_IDX) -> DataFrame:
+    """Several scorers at once, ``(id_col, scorer, session)``: the vector lookups
+    (J7) run once and each instance yields one row per scorer."""
+    exprs = _session_exprs(tuple(modes))
+    seq = _sequences(instances, vectors, tuple(modes), id_col, orders_col, clicks_col, item_col)
+    per_mode = F.array(*[F.struct(F.lit(m).alias("scorer"), exprs[m][0].alias("session")) for m in modes])
+    return (seq.select(id_col, F.explode(per_mode).alias("_s"))
+            .select(id_col, "_s.scorer", "_s.session").where(F.col("session").isNotNull()))

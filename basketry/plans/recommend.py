@@ -3,14 +3,12 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
-
 from pyspark.sql import DataFrame, functions as F
 
 from .. import schemas as S
 from ..operators import evaluation as ev
 from ..operators.scoring import ScoreResult, top_k_scores
-from ..operators.vectors import session_vectors
+from ..operators.vectors import session_vectors, session_vectors_by_mode
 
 DEFAULT_TOP_K = 10
 
@@ -35,17 +33,21 @@ def recommend(instances: DataFrame, item_vectors: DataFrame, mode: str, k: int =
 
 def evaluate(instances: DataFrame, item_vectors: DataFrame, modes: tuple[str, ...] = ("last", "average"),
              k: int = DEFAULT_TOP_K, rank_decimals: int | None = None, id_col: str = "instance_id") -> DataFrame:
-    """Per scorer and split the scored instances, hit-rate@k (A9) and mean loss (A10)."""
-    rows = []
+    """Per scorer and split the scored instances, hit-rate@k (A9) and mean loss (A10).
+
+    All scorers share one vector lookup and one blocked scoring pass, keyed
+    by (scorer, instance).
+    """
     labels = instances.select(id_col, "label", "split")
-    for mode in modes:
-        rec = recommend(instances, item_vectors, mode, k, rank_decimals, id_col)
-        h = ev.hits(rec.scores.top, labels, id_col).join(labels.select(id_col, "split"), on=id_col)
-        rate = ev.hit_rate(h, ["split"])
-        loss = ev.cross_entropy(rec.scores.lse, rec.sessions, labels, item_vectors, id_col) \
-            .join(labels.select(id_col, "split"), on=id_col).groupBy("split").agg(F.avg("loss").alias("loss"))
-        rows.append(rate.join(loss, on="split", how="left").withColumn("scorer", F.lit(mode)))
-    return reduce(DataFrame.unionByName, rows).select("scorer", "split", "instances", "hit_rate", "loss")
+    sess = session_vectors_by_mode(instances, item_vectors, tuple(modes), id_col)
+    res = top_k_scores(sess, item_vectors, k, id_col, rank_decimals=rank_decimals, group_col="scorer")
+    h = ev.hits(res.top, labels, id_col, group_cols=("scorer",)).join(labels.select(id_col, "split"), on=id_col)
+    rate = ev.hit_rate(h, ["scorer", "split"])
+    loss = (ev.cross_entropy(res.lse, res.queries, labels, item_vectors, id_col, session_col="_vec",
+                             group_cols=("scorer",))
+            .join(labels.select(id_col, "split"), on=id_col)
+            .groupBy("scorer", "split").agg(F.avg("loss").alias("loss")))
+    return rate.join(loss, on=["scorer", "split"], how="left").select("scorer", "split", "instances", "hit_rate", "loss")
 
 
 def prediction_report(instances: DataFrame, item_vectors: DataFrame, titles: DataFrame, mode: str = "last",
