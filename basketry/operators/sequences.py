@@ -145,7 +145,8 @@ def order_instances(orders: DataFrame, ts_val: int, ts_test: int, min_orders: in
     """
     if min_orders > max_orders:
         raise ValueError("min_orders must not exceed max_orders")
-    ctx = sequence_context(orders, user, [ts, *tiebreak], item, history=max_orders, pos_col="_pos",
+    # the item closes the order: equal (time, tiebreak) rows still get one fixed order
+    ctx = sequence_context(orders, user, [ts, *tiebreak, item], item, history=max_orders, pos_col="_pos",
                            history_col="_hist", partitions=partitions)
     split = (F.when(F.col(ts) < ts_val, F.lit(TRAINING))
              .when(F.col(ts) < ts_test, F.lit(VALIDATION)).otherwise(F.lit(TEST)))
@@ -163,7 +164,7 @@ def daily_last_clicks(clicks: DataFrame, max_clicks: int = 16, user: str = S.USE
     in the reverse of the selection order. Returns ``(user, click_day, clicks)``.
     """
     day = clicks.withColumn("click_day", click_day(ts, bounds_offset))
-    w = Window.partitionBy(user, "click_day").orderBy(F.col(ts).desc(), *_cols(tiebreak))
+    w = Window.partitionBy(user, "click_day").orderBy(F.col(ts).desc(), *_cols(tiebreak), F.col(item))
     top = day.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= max_clicks)
     newest_first = F.array_sort(F.collect_list(F.struct("_r", F.col(item).alias("_i"))))
     return top.groupBy(user, "click_day").agg(

@@ -42,9 +42,14 @@ def read_csv_with_header(spark: SparkSession, path: str, schema: T.StructType |
 
 
 def read_metadata(spark: SparkSession, path: str, entity: str | None = None) -> DataFrame:
-    """A metadata CSV; ``entity`` picks the declared schema (see ``schemas.METADATA``)."""
-    schema = S.METADATA[entity] if entity else None
-    return read_csv_with_header(spark, path, schema)
+    """A metadata CSV; ``entity`` picks the declared schema (see ``schemas.METADATA``).
+
+    Without a registered entity the column types are inferred (one extra pass
+    over the file), which can turn codes like ``00012`` into numbers.
+    """
+    if entity:
+        return read_csv_with_header(spark, path, S.METADATA[entity])
+    return spark.read.options(**CSV_OPTIONS).option("header", True).option("inferSchema", True).csv(path)
 
 
 def read_csv_parts(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
