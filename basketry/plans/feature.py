@@ -18,6 +18,8 @@ def generate_features(useraction: DataFrame, user: DataFrame, product: DataFrame
     F1 -> F2 -> F3 -> F4 -> J1(user) -> J1(product ⋈ prod_category ⋈ category)
     -> F5 (19 columns) -> F7 (product count > threshold) -> O1.
 
+    Columns come out as ``prod_no`` then the other 18 (the semi join on
+    ``prod_no`` puts its key first, like the original job's output).
     Filters sit on the log before any join so they reach the Parquet scan; the
     sort key extends the timestamp with the row's identity so equal
     timestamps still spread over range partitions and the order is total.

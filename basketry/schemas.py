@@ -98,6 +98,11 @@ DEAL_ITEM = T.StructType([
     T.StructField(ITEM_NO, T.IntegerType()),
 ])
 
+DEAL_ITEM_RAW = T.StructType([
+    T.StructField(DEAL_NO, T.IntegerType()),
+    T.StructField(PRODUCT_NO, T.IntegerType()),
+])
+
 PROD_CATEGORY = T.StructType([
     T.StructField(PRODUCT_NO, T.IntegerType()),
     T.StructField(CATEGORY_NO, T.IntegerType()),
@@ -122,3 +127,13 @@ METADATA = {
     "prod_category": PROD_CATEGORY,
     "valid_products": VALID_PRODUCTS,
 }
+
+# The feature table (P1 output, P3 input) with its column types.
+def _field(name: str) -> T.StructField:
+    for schema in (USERACTION, USER, PRODUCT, CATEGORY):
+        if name in schema.names:
+            return schema[name]
+    raise KeyError(name)
+
+
+FEATURE = T.StructType([_field(c) for c in FEATURE_COLUMNS])

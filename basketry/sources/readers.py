@@ -18,11 +18,28 @@ from .. import schemas as S
 CSV_OPTIONS = {"quote": '"', "escape": '"'}
 
 
+def _cast(col: str, dtype: T.DataType):
+    c = F.col(col)
+    if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType)):
+        # integers exported through a float column arrive as "123.0" (F11)
+        return c.cast("double").cast(dtype)
+    if isinstance(dtype, T.LongType):
+        # exact for plain integers; "123.0" goes through double
+        return F.coalesce(c.try_cast(dtype), c.cast("double").cast(dtype))
+    return c.cast(dtype)
+
+
 def _cast_by_name(df: DataFrame, schema: T.StructType) -> DataFrame:
     missing = [f.name for f in schema.fields if f.name not in df.columns]
     if missing:
         raise ValueError(f"missing columns {missing}")
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return df.select(*[_cast(f.name, f.dataType).alias(f.name) for f in schema.fields])
+
+
+def cast_known(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Cast the columns ``schema`` declares (by name); other columns pass through as read."""
+    types = {f.name: f.dataType for f in schema.fields}
+    return df.select(*[_cast(c, types[c]).alias(c) if c in types else F.col(c) for c in df.columns])
 
 
 def read_useraction(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
