@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from pyspark.sql import DataFrame, functions as F
+
+from pyspark.sql import DataFrame, Window, functions as F
 
 from .. import schemas as S
 from ..operators import evaluation as ev
@@ -70,8 +71,8 @@ def similar_items(item_vectors: DataFrame, k: int = 11, exclude_self: bool = Fal
     res = top_k_scores(queries, unit, k + extra, "query_item", item_col=item_col, rank_decimals=rank_decimals)
     top = res.top
     if exclude_self:
+        # k + 1 were kept, so k remain whether or not the item itself was among them
         top = top.where(F.col(item_col) != F.col("query_item"))
-        from pyspark.sql import Window
         top = top.withColumn("rank", F.row_number().over(Window.partitionBy("query_item").orderBy("rank"))) \
             .where(F.col("rank") <= k)
     return top.withColumnRenamed("score", "similarity")
