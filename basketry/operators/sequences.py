@@ -8,9 +8,11 @@ rows of one user into one task:
   group is cut to one row per input partition first).
 * ``sequence_context`` numbers rows within a user and collects the preceding
   values with a *range* partition over (user, order...): a hot user is spread
-  over many partitions, every window runs per (partition, user), and the few
-  groups that continue a user from an earlier partition get their offset and
-  carried history from a summary with at most one row per partition.
+  over many partitions and every window runs per (partition, user). Only the
+  first and last group of a partition can cross a boundary, so a summary of
+  one row per partition (collected: bounded by the partition count) gives the
+  offset and carried history of each partition's first group, applied as
+  literal arrays indexed by partition id - no join.
 * per-day click lists keep the newest N per (user, day) with a partial
   WindowGroupLimit as well, so a hot day is reduced before its shuffle.
 """
@@ -60,6 +62,33 @@ def _last(arr: Column, n: int) -> Column:
     return F.when(F.size(arr) > n, F.slice(arr, -n, n)).otherwise(arr)
 
 
+def _carries(bounds: list, tail_len: int) -> tuple[list, list, list]:
+    """Walk the partitions in order: for each, the key its first group continues
+    from earlier partitions (else None), that key's rows so far and last values.
+
+    ``bounds`` rows: (pid, first key, first count, first tail, last key, last count, last tail).
+    """
+    by_pid = {b[0]: b for b in bounds}
+    n = max(by_pid, default=-1) + 1
+    keys, offs, tails = [None] * n, [0] * n, [[] for _ in range(n)]
+    open_key, open_count, open_tail, have_open = None, 0, [], False
+    for pid in range(n):
+        if pid not in by_pid:          # empty partition: a key may continue across it
+            continue
+        _, fk, fcnt, ftail, lk, lcnt, ltail = by_pid[pid]
+        if have_open and fk == open_key:
+            keys[pid], offs[pid], tails[pid] = fk, open_count, open_tail
+            total, tail = open_count + fcnt, (open_tail + list(ftail))[-tail_len:] if tail_len else []
+        else:
+            total, tail = fcnt, list(ftail)
+        if fk == lk and fcnt == lcnt:   # the partition holds one key only
+            open_key, open_count, open_tail = fk, total, tail
+        else:
+            open_key, open_count, open_tail = lk, lcnt, list(ltail)
+        have_open = True
+    return keys, offs, tails
+
+
 def sequence_context(df: DataFrame, key: str, order: Sequence[str], value: str | None = None,
                      history: int = 0, pos_col: str = "pos", history_col: str = "history",
                      partitions: int | None = None) -> DataFrame:
@@ -76,37 +105,37 @@ def sequence_context(df: DataFrame, key: str, order: Sequence[str], value: str |
     tail_len = max(history, 0)
     local = (ranged.withColumn("_rn", F.row_number().over(ordered) - 1)
              .withColumn("_end", F.lead(F.lit(1), 1).over(ordered).isNull()))
+    vtype = df.schema[value].dataType if tail_len else None
     if tail_len:
         # collect structs: collect_list skips nulls, a wrapped null value is kept
         local = local.withColumn("_lh", F.transform(
             F.collect_list(F.struct(F.col(value).alias("_v"))).over(ordered.rowsBetween(-tail_len, -1)),
             lambda s: s["_v"]))
-    # Both the summary and the main branch read this one materialised copy, so
-    # they agree on partition ids whatever the shuffle order was.
+    # The boundary summary and the rows must see the same partitions and
+    # partition ids whatever the shuffle order was: read one materialised copy.
     local = materialize(local)
-    last = local.where(F.col("_end"))
-    summary = last.select("_pid", key, (F.col("_rn") + 1).alias("_gn"),
-                          *([_last(F.concat("_lh", F.array(F.col(value))), tail_len).alias("_tail")]
-                            if tail_len else []))
-    by_key = Window.partitionBy(key).orderBy("_pid")
-    carry = summary.withColumn("_off", F.sum("_gn").over(by_key.rowsBetween(Window.unboundedPreceding, -1)))
-    if tail_len:
-        # each earlier group holds >= 1 row, so the last `history` groups are enough
-        carry = carry.withColumn(
-            "_carry", _last(F.flatten(F.collect_list("_tail").over(by_key.rowsBetween(-tail_len, -1))), tail_len))
-    carry = carry.where(F.col("_off").isNotNull()).drop("_gn", "_tail")
-    # Only the first group of a partition can continue a key from an earlier
-    # partition, so `carry` has fewer rows than there are partitions and its
-    # broadcast is bounded. Null-safe key equality infers no extra filters.
-    c = carry.withColumnRenamed("_pid", "_cpid").withColumnRenamed(key, "_ckey")
-    cond = (local["_pid"] == c["_cpid"]) & local[key].eqNullSafe(c["_ckey"])
-    out = local.join(F.broadcast(c), on=cond, how="left").drop("_cpid", "_ckey")
-    out = out.withColumn(pos_col, (F.col("_rn") + F.coalesce(F.col("_off"), F.lit(0))).cast("long"))
+    # Only the first and the last group of a range partition can continue a
+    # key across a boundary: summarise each partition by those two groups
+    # (partial aggregation leaves one row per partition before the shuffle).
+    tail = _last(F.concat("_lh", F.array(F.col(value))), tail_len) if tail_len else F.array()
+    grp = F.struct(F.col(key).alias("k"), (F.col("_rn") + 1).alias("n"), tail.alias("t"))
+    rank = F.struct(F.col(key).isNotNull(), F.col(key))    # null keys sort first, as in the range order
+    bounds = (local.where(F.col("_end")).groupBy("_pid")
+              .agg(F.min_by(grp, rank).alias("f"), F.max_by(grp, rank).alias("l"))
+              .collect())
+    keys, offs, tails = _carries([(b._pid, b.f.k, b.f.n, b.f.t, b.l.k, b.l.n, b.l.t) for b in bounds], tail_len)
+    pid = F.col("_pid") + 1
+    ktype = df.schema[key].dataType.simpleString()
+    carry_key = F.element_at(F.lit(keys).cast(f"array<{ktype}>"), pid)
+    # partitions without a carry have offset 0 and an empty tail, so matching them is harmless
+    continues = F.col(key).eqNullSafe(carry_key)
+    off = F.element_at(F.lit(offs).cast("array<long>"), pid)
+    out = local.withColumn(pos_col, (F.col("_rn") + F.when(continues, off).otherwise(F.lit(0))).cast("long"))
     if tail_len:
-        vtype = df.schema[value].dataType.simpleString()
-        joined = F.concat(F.coalesce(F.col("_carry"), F.array().cast(f"array<{vtype}>")), F.col("_lh"))
-        out = out.withColumn(history_col, _last(joined, tail_len))
-    return out.drop("_pid", "_rn", "_end", "_lh", "_off", "_carry")
+        carried = F.element_at(F.lit(tails).cast(f"array<array<{vtype.simpleString()}>>"), pid)
+        out = out.withColumn(history_col, F.when(continues, _last(F.concat(carried, F.col("_lh")), tail_len))
+                             .otherwise(F.col("_lh")))
+    return out.drop("_pid", "_rn", "_end", "_lh")
 
 
 def remove_repeats(df: DataFrame, key: str, order: Sequence[str], value: str,

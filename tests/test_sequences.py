@@ -11,7 +11,7 @@ def _brute_context(rows, history):
     """rows: (key, ts, value) -> {(key, ts): (pos, hist)}"""
     out = {}
     by = {}
-    for k, t, v in sorted(rows, key=lambda r: (r[0], r[1])):
+    for k, t, v in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1])):
         by.setdefault(k, []).append((t, v))
     for k, seq in by.items():
         for i, (t, v) in enumerate(seq):
@@ -24,6 +24,7 @@ def test_sequence_context_hot_key(spark, partitions):
     rng = random.Random(partitions)
     rows = [(0, t, rng.randrange(5)) for t in range(400)]            # one hot key, most rows
     rows += [(k, t, rng.randrange(5)) for k in range(1, 40) for t in range(rng.randrange(1, 12))]
+    rows += [(None, t, None if t % 7 == 0 else t % 3) for t in range(150)]   # a hot null key, null values
     df = spark.createDataFrame(rows, "k int, ts long, v int")
     got = sequence_context(df, "k", ["ts"], "v", history=8, partitions=partitions).collect()
     expected = _brute_context(rows, 8)
