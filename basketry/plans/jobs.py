@@ -80,8 +80,9 @@ def instances_job(spark: SparkSession, orders_path: str, output_dir: str, blackl
 def metadata_job(spark: SparkSession, sources: dict[str, str], output_dir: str, which: tuple[str, ...] = (),
                  search_words_path: str | None = None, valid_products_path: str | None = None,
                  prepared_product_path: str | None = None, seed: int = 0, jdbc_url: str | None = None,
-                 jdbc_properties: dict[str, str] | None = None) -> dict[str, DataFrame]:
-    """P5: raw metadata CSVs (``sources``: entity -> path) -> prepared CSVs (K2), optionally SQL (K3)."""
+                 jdbc_properties: dict[str, str] | None = None, single_file: bool = False) -> dict[str, DataFrame]:
+    """P5: raw metadata CSVs (``sources``: entity -> path) -> prepared CSV directories (K1;
+    one file each with ``single_file``, K2), optionally appended to SQL tables (K3)."""
     chosen = tuple(w.lower() for w in which) or ENTITIES
 
     def read(entity: str, schema) -> DataFrame | None:
@@ -102,7 +103,7 @@ def metadata_job(spark: SparkSession, sources: dict[str, str], output_dir: str,
                            prod_category=read("prod_category", S.PROD_CATEGORY),
                            prepared_product=prepared, seed=seed)
     for entity, df in out.items():
-        K.write_single_csv(df, os.path.join(output_dir, entity))
+        (K.write_single_csv if single_file else K.write_csv)(df, os.path.join(output_dir, entity))
         if jdbc_url:
             K.write_sql(df, jdbc_url, K.SQL_TABLES[entity], jdbc_properties)
     return out
