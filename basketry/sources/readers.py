@@ -113,12 +113,16 @@ def extract_search_words(log: DataFrame, distinct: bool = True) -> DataFrame:
     return words.distinct() if distinct else words
 
 
-def read_lines(spark: SparkSession, path: str, strip: bool = True) -> DataFrame:
-    """One value per line (column ``value``), whitespace stripped, empty lines dropped."""
+def read_lines(spark: SparkSession, path: str, strip: bool = True, drop_empty: bool = False) -> DataFrame:
+    """One value per line (column ``value``), optionally whitespace-stripped.
+
+    Blank lines are kept unless ``drop_empty``: a blank blacklist line is an
+    empty pattern, and a blank word-list line is the empty word.
+    """
     df = spark.read.text(path)
     if strip:
         df = df.select(F.trim(F.col("value")).alias("value"))
-    return df.where(F.col("value") != "")
+    return df.where(F.col("value") != "") if drop_empty else df
 
 
 def read_patterns(spark: SparkSession, path: str) -> list[str]:
