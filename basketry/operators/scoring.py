@@ -98,7 +98,7 @@ def _block_scorer(id_col: str, item_col: str, k: int, decimals: int | None, chun
 def top_k_scores(queries: DataFrame, items: DataFrame, k: int, id_col: str = "instance_id",
                  query_vec: str = "session", item_col: str = "prod_idx", item_vec: str = "vector",
                  rank_decimals: int | None = None, query_block: int = 32768, item_block: int = 32768,
-                 chunk: int = 256, group_col: str | None = None) -> ScoreResult:
+                 chunk: int = 256, group_col: str | None = None, with_lse: bool = True) -> ScoreResult:
     """Top-``k`` items by dot product for every query, plus each query's log-sum-exp.
 
     ``rank_decimals`` ranks on scores rounded to that many decimals (ties then
@@ -109,7 +109,9 @@ def top_k_scores(queries: DataFrame, items: DataFrame, k: int, id_col: str = "in
     16 MB per side, a 64 MB score chunk); the shuffle volume is about
     |queries| x item blocks + |items| x query blocks rows. With ``group_col``
     (e.g. the scorer name) a query is identified by (group, id), so several
-    kinds of query vectors share one pass over the items.
+    kinds of query vectors share one pass over the items. Without
+    ``with_lse`` only the top-k is produced (``lse`` is None) and the block
+    output is consumed once, without being materialised.
     """
     # the query side is sized and then blocked: materialise it so its lineage runs once
     gcols = [F.col(group_col)] if group_col else []
@@ -130,13 +132,16 @@ def top_k_scores(queries: DataFrame, items: DataFrame, k: int, id_col: str = "in
     schema = f"{id_col} long{gtype}, {item_col} int, score double, blk_max double, blk_sumexp double"
     blocks = (qrep.groupBy("_qb", "_ib").cogroup(irep.groupBy("_qb", "_ib"))
               .applyInPandas(_block_scorer(id_col, item_col, k, rank_decimals, chunk, group_col), schema))
-    # both results below read the block output: materialise it once
-    blocks = materialize(blocks)
+    if with_lse:
+        # both results below read the block output: materialise it once
+        blocks = materialize(blocks)
     cand = blocks.where(F.col("blk_max").isNull())
     rank_key = F.round("score", rank_decimals) if rank_decimals is not None else F.col("score")
     w = Window.partitionBy(*keys).orderBy(rank_key.desc(), F.col(item_col).asc())
     top = cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k) \
         .select(*keys, item_col, "score", "rank")
+    if not with_lse:
+        return ScoreResult(top, None, q)
     parts = blocks.where(F.col("blk_max").isNotNull())
     mx = Window.partitionBy(*keys)
     lse = (parts.withColumn("_m", F.max("blk_max").over(mx))

@@ -26,10 +26,11 @@ class Recommendation:
 
 
 def recommend(instances: DataFrame, item_vectors: DataFrame, mode: str, k: int = DEFAULT_TOP_K,
-              rank_decimals: int | None = None, id_col: str = "instance_id") -> Recommendation:
-    """Session vector (T5-T7) -> score all items (J8) -> top k."""
+              rank_decimals: int | None = None, id_col: str = "instance_id", with_lse: bool = True) -> Recommendation:
+    """Session vector (T5-T7) -> score all items (J8) -> top k (W6) (+ log-sum-exp for A10)."""
     sess = session_vectors(instances, item_vectors, mode, id_col)
-    return Recommendation(sess, top_k_scores(sess, item_vectors, k, id_col, rank_decimals=rank_decimals))
+    return Recommendation(sess, top_k_scores(sess, item_vectors, k, id_col, rank_decimals=rank_decimals,
+                                             with_lse=with_lse))
 
 
 def evaluate(instances: DataFrame, item_vectors: DataFrame, modes: tuple[str, ...] = ("last", "average"),
@@ -55,7 +56,7 @@ def prediction_report(instances: DataFrame, item_vectors: DataFrame, titles: Dat
                       k: int = DEFAULT_TOP_K, rank_decimals: int | None = None, id_col: str = "instance_id",
                       positive_cases: int = ev.POSITIVE_CASES, negative_cases: int = ev.NEGATIVE_CASES) -> DataFrame:
     """K7: capped positive / negative case texts for one scorer."""
-    rec = recommend(instances, item_vectors, mode, k, rank_decimals, id_col)
+    rec = recommend(instances, item_vectors, mode, k, rank_decimals, id_col, with_lse=False)
     h = ev.hits(rec.scores.top, instances.select(id_col, "label"), id_col)
     return ev.case_report(instances, rec.scores.top, h, titles, id_col, positive_cases=positive_cases,
                           negative_cases=negative_cases)
@@ -68,7 +69,8 @@ def similar_items(item_vectors: DataFrame, k: int = 11, exclude_self: bool = Fal
     unit = item_vectors.select(item_col, F.when(norm > 0, F.transform("vector", lambda x: x / norm)).alias("vector"))
     queries = unit.select(F.col(item_col).cast("long").alias("query_item"), F.col("vector").alias("session"))
     extra = 1 if exclude_self else 0
-    res = top_k_scores(queries, unit, k + extra, "query_item", item_col=item_col, rank_decimals=rank_decimals)
+    res = top_k_scores(queries, unit, k + extra, "query_item", item_col=item_col, rank_decimals=rank_decimals,
+                       with_lse=False)
     top = res.top
     if exclude_self:
         # k + 1 were kept, so k remain whether or not the item itself was among them

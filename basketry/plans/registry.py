@@ -440,7 +440,8 @@ def _saved_instances(t) -> DataFrame:
 def _topk_query(mode: str) -> Query:
     def q(spark: SparkSession, d: str) -> DataFrame:
         t = _event_instances(spark, d)
-        rec = recommend(_saved_instances(t), _event_item_vectors(spark, d, t), mode, TOP_K, RANK_DECIMALS)
+        rec = recommend(_saved_instances(t), _event_item_vectors(spark, d, t), mode, TOP_K, RANK_DECIMALS,
+                        with_lse=False)
         return rec.scores.top.withColumn("score", F.round("score", RANK_DECIMALS))
     q.__doc__ = f"T5-T8/J8/W6: top-{TOP_K} items per instance for the '{mode}' session vector."
     return q
@@ -591,7 +592,7 @@ def j8_dot_topk(spark: SparkSession, d: str) -> DataFrame:
     """Top-10 items by dot product for every item vector as a query."""
     vecs = fx.item_vectors(spark, d).withColumnRenamed(S.PRODUCT_NO, S.PROD_IDX)
     queries = vecs.select(F.col(S.PROD_IDX).cast("long").alias("instance_id"), F.col("vector").alias("session"))
-    res = top_k_scores(queries, vecs, TOP_K, rank_decimals=RANK_DECIMALS)
+    res = top_k_scores(queries, vecs, TOP_K, rank_decimals=RANK_DECIMALS, with_lse=False)
     return res.top.withColumn("score", F.round("score", RANK_DECIMALS))
 
 
