@@ -70,7 +70,8 @@ def member_codes(users: DataFrame, seed: int, mapping: DataFrame | None = None,
     With a mapping, users absent from it are dropped (inner join, as the
     original preparation does) unless ``extend`` is set: new users then get
     the codes that follow the mapping's own, which keeps codes unique when the
-    mapping was made by :func:`assign_codes` with the same seed.
+    mapping was made by :func:`assign_codes` with the same seed; a new code
+    that another mapping already uses stops the job.
     """
     if mapping is None:
         return assign_codes(users, seed, key, code_col)
@@ -79,4 +80,10 @@ def member_codes(users: DataFrame, seed: int, mapping: DataFrame | None = None,
         return known
     fresh = users.join(mapping.select(key), on=key, how="left_anti")
     used = mapping.select(key).distinct().count()
-    return known.unionByName(assign_codes(fresh, seed, key, code_col, offset=used))
+    new = assign_codes(fresh, seed, key, code_col, offset=used)
+    # a mapping made elsewhere may already hold one of the new codes: fail rather than duplicate
+    taken = mapping.select(F.col(code_col), F.lit(True).alias("_taken")).distinct()
+    checked = new.join(taken, on=code_col, how="left").withColumn(
+        code_col, F.when(F.col("_taken").isNull(), F.col(code_col))
+        .otherwise(F.raise_error(F.concat(F.lit("code already in use: "), F.col(code_col))))).drop("_taken")
+    return known.unionByName(checked.select(*new.columns))

@@ -13,17 +13,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import schemas as S
-from ..functions.arrays import drop_pads, join_ints, right_pad
+from ..functions.arrays import drop_pads, join_ints, right_pad, valid_length
 from ..functions.codes import CODE_ALPHABET, CODE_SPACE, affine_key
 from ..functions.time import date_range_bounds
 from ..operators import filters as flt
 from ..operators import quality as Q
 from ..operators.categories import dense_categories, item_categories, with_category_features
-from ..operators.indexing import dense_index
+from ..operators.indexing import dense_index, member_codes
 from ..operators.ordering import shuffle_rows
 from ..operators.scoring import top_k_scores
 from ..operators.sequences import attach_yesterday_clicks, daily_last_clicks
 from ..operators.text import tokenize
+from ..operators.vectors import sequence_vectors
 from ..session import materialize
 from ..sources.readers import extract_orders, extract_search_words
 from . import fixtures as fx
@@ -690,3 +691,37 @@ def o5_shuffled_instances(spark: SparkSession, d: str) -> DataFrame:
     inst = with_instance_id(_event_instances(spark, d).instances)
     return shuffle_rows(inst.select("instance_id", join_ints("orders").alias("orders"), "label", "split"), 7,
                         ["instance_id"])
+
+
+# ---------------------------------------------------------------- A6, I3
+
+
+@register("a6_sequence_lengths", O.sql("""select i.instance_id,
+    cast(count(h.instance_id) filter (where list_max(list_transform(h.vector, lambda x: abs(x))) > 0) as int) as length
+  from inst_id i left join hv h on i.instance_id = h.instance_id group by i.instance_id""", _P7_CTES))
+def a6_sequence_lengths(spark: SparkSession, d: str) -> DataFrame:
+    """Valid length of every order history (positions with a non-zero item vector)."""
+    t = _event_instances(spark, d)
+    inst = with_instance_id(t.instances)
+    seq = sequence_vectors(inst, _event_item_vectors(spark, d, t), "instance_id", "orders", "_ov")
+    return inst.select("instance_id").join(seq, on="instance_id", how="left") \
+        .select("instance_id", F.coalesce(valid_length("_ov"), F.lit(0)).cast("int").alias("length"))
+
+
+def _extend_oracle() -> str:
+    a, b = affine_key(CODE_SEED)
+    digits = ", ".join(
+        f"substr('{CODE_ALPHABET}', cast((n // {36 ** k}) % 36 as int) + 1, 1)" for k in range(4, -1, -1))
+    return O.sql(f"""select r.sex, r.age, r.m_id, u.comp_mid from raw_users r join users u on r.m_id = u.m_id
+      union all
+      select r.sex, r.age, r.m_id, concat({digits}) as comp_mid from raw_users r join coded c on r.m_id = c.m_id""",
+                 f"""fresh AS (select distinct m_id from raw_users where m_id not in (select m_id from users)),
+ranked AS (select m_id, row_number() over (order by m_id) - 1 + (select count(distinct m_id) from users) as idx from fresh),
+coded AS (select m_id, ({a} * idx + {b}) % {CODE_SPACE} as n from ranked)""")
+
+
+@register("i3_member_codes_extend", _extend_oracle())
+def i3_member_codes_extend(spark: SparkSession, d: str) -> DataFrame:
+    """Keep the existing member codes and give members missing from the mapping new ones."""
+    return member_codes(fx.raw_users(spark, d), CODE_SEED, fx.comp_mid_mapping(spark, d), extend=True) \
+        .select("sex", "age", "m_id", "comp_mid")

@@ -53,3 +53,13 @@ def test_member_codes_mapping_and_extend(spark):
     ext = {r.m_id: r.comp_mid for r in member_codes(users, seed=4, mapping=mapping, extend=True).collect()}
     assert set(ext) == {"U1", "U2", "U3"} and len(set(ext.values())) == 3
     assert {r.m_id: r.comp_mid for r in mapping.collect()}.items() <= ext.items()
+
+
+def test_member_codes_extend_refuses_taken_code(spark):
+    users = spark.createDataFrame([("U1",), ("U2",)], "m_id string")
+    # a foreign mapping whose single code equals the one U2 would get next (index 0 + offset 1)
+    from basketry.functions.codes import code_of_index
+    clash = spark.range(1).select(code_of_index(F.lit(1), 4).alias("c")).first().c
+    mapping = spark.createDataFrame([("U1", clash)], "m_id string, comp_mid string")
+    with pytest.raises(Exception, match="code already in use"):
+        member_codes(users, seed=4, mapping=mapping, extend=True).collect()
