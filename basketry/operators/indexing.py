@@ -21,9 +21,10 @@ def dense_index(df: DataFrame, column: str, index_col: str, partitions: int | No
     The distinct values are range-partitioned and sorted within partitions;
     ``monotonically_increasing_id`` then carries (partition, row in partition)
     in sorted order, and the per-partition counts (one number per partition,
-    collected to the driver) give each partition's offset, applied as an
-    array literal. The numbered ids are checkpointed so counts and rows share
-    one partitioning. No step puts all values into one task.
+    collected to the driver) give each partition's offset, broadcast back by
+    partition id (bounded by the partition count). The numbered ids are
+    checkpointed so counts and rows share one partitioning. No step puts all
+    values into one task.
     """
     n = _partitions(df, partitions)
     ids = df.select(column).where(F.col(column).isNotNull()).distinct()
@@ -35,15 +36,14 @@ def dense_index(df: DataFrame, column: str, index_col: str, partitions: int | No
     # counts and numbering must come from the same partitioning: materialise once
     ranked = materialize(ranked)
     # one count per range partition (bounded by the partition count) -> offsets
-    counts = dict(ranked.groupBy("_pid").count().collect())
+    counts = sorted(tuple(r) for r in ranked.groupBy("_pid").count().collect())
     offsets, total = [], 0
-    for pid in range(max(counts, default=-1) + 1):
-        offsets.append(total)
-        total += counts.get(pid, 0)
-    if not offsets:
-        return ranked.select(column, F.lit(None).cast("int").alias(index_col))
-    off = F.element_at(F.lit(offsets).cast("array<long>"), F.col("_pid") + 1)
-    return ranked.select(column, (off + F.col("_rn")).cast("int").alias(index_col))
+    for pid, cnt in counts:
+        offsets.append((pid, total))
+        total += cnt
+    off = df.sparkSession.createDataFrame(offsets, "_pid int, _off long")
+    return (ranked.join(F.broadcast(off), on="_pid")
+            .select(column, (F.col("_off") + F.col("_rn")).cast("int").alias(index_col)))
 
 
 def assign_codes(df: DataFrame, seed: int, key: str = S.MEMBER_ID, code_col: str = S.COMP_MEMBER_ID,

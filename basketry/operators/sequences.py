@@ -11,8 +11,8 @@ rows of one user into one task:
   over many partitions and every window runs per (partition, user). Only the
   first and last group of a partition can cross a boundary, so a summary of
   one row per partition (collected: bounded by the partition count) gives the
-  offset and carried history of each partition's first group, applied as
-  literal arrays indexed by partition id - no join.
+  offset and carried history of each partition's first group; those few
+  rows are broadcast back by partition id.
 * per-day click lists keep the newest N per (user, day) with a partial
   WindowGroupLimit as well, so a hot day is reduced before its shuffle.
 """
@@ -62,31 +62,28 @@ def _last(arr: Column, n: int) -> Column:
     return F.when(F.size(arr) > n, F.slice(arr, -n, n)).otherwise(arr)
 
 
-def _carries(bounds: list, tail_len: int) -> tuple[list, list, list]:
-    """Walk the partitions in order: for each, the key its first group continues
-    from earlier partitions (else None), that key's rows so far and last values.
+def _carries(bounds: list, tail_len: int) -> list[tuple]:
+    """Walk the partitions in order and return, for each partition whose first
+    group continues a key from earlier partitions, (pid, key, rows of that key
+    before it, its last ``tail_len`` values before it).
 
     ``bounds`` rows: (pid, first key, first count, first tail, last key, last count, last tail).
     """
-    by_pid = {b[0]: b for b in bounds}
-    n = max(by_pid, default=-1) + 1
-    keys, offs, tails = [None] * n, [0] * n, [[] for _ in range(n)]
+    out = []
     open_key, open_count, open_tail, have_open = None, 0, [], False
-    for pid in range(n):
-        if pid not in by_pid:          # empty partition: a key may continue across it
-            continue
-        _, fk, fcnt, ftail, lk, lcnt, ltail = by_pid[pid]
+    for pid, fk, fcnt, ftail, lk, lcnt, ltail in sorted(bounds, key=lambda b: b[0]):
+        # (partitions without rows are absent: a key may continue across them)
         if have_open and fk == open_key:
-            keys[pid], offs[pid], tails[pid] = fk, open_count, open_tail
+            out.append((pid, fk, open_count, open_tail))
             total, tail = open_count + fcnt, (open_tail + list(ftail))[-tail_len:] if tail_len else []
         else:
             total, tail = fcnt, list(ftail)
-        if fk == lk and fcnt == lcnt:   # the partition holds one key only
+        if fk == lk:        # one key fills the partition
             open_key, open_count, open_tail = fk, total, tail
         else:
             open_key, open_count, open_tail = lk, lcnt, list(ltail)
         have_open = True
-    return keys, offs, tails
+    return out
 
 
 def sequence_context(df: DataFrame, key: str, order: Sequence[str], value: str | None = None,
@@ -98,6 +95,7 @@ def sequence_context(df: DataFrame, key: str, order: Sequence[str], value: str |
     ``order`` must be a total order within a key. See the module notes for how
     hot keys are split.
     """
+    spark = df.sparkSession
     n = _partitions(df, partitions)
     ranged = (df.repartitionByRange(n, *_cols([key, *order]))
               .withColumn("_pid", F.spark_partition_id()))
@@ -105,7 +103,6 @@ def sequence_context(df: DataFrame, key: str, order: Sequence[str], value: str |
     tail_len = max(history, 0)
     local = (ranged.withColumn("_rn", F.row_number().over(ordered) - 1)
              .withColumn("_end", F.lead(F.lit(1), 1).over(ordered).isNull()))
-    vtype = df.schema[value].dataType if tail_len else None
     if tail_len:
         # collect structs: collect_list skips nulls, a wrapped null value is kept
         local = local.withColumn("_lh", F.transform(
@@ -123,19 +120,24 @@ def sequence_context(df: DataFrame, key: str, order: Sequence[str], value: str |
     bounds = (local.where(F.col("_end")).groupBy("_pid")
               .agg(F.min_by(grp, rank).alias("f"), F.max_by(grp, rank).alias("l"))
               .collect())
-    keys, offs, tails = _carries([(b._pid, b.f.k, b.f.n, b.f.t, b.l.k, b.l.n, b.l.t) for b in bounds], tail_len)
-    pid = F.col("_pid") + 1
-    ktype = df.schema[key].dataType.simpleString()
-    carry_key = F.element_at(F.lit(keys).cast(f"array<{ktype}>"), pid)
-    # partitions without a carry have offset 0 and an empty tail, so matching them is harmless
-    continues = F.col(key).eqNullSafe(carry_key)
-    off = F.element_at(F.lit(offs).cast("array<long>"), pid)
-    out = local.withColumn(pos_col, (F.col("_rn") + F.when(continues, off).otherwise(F.lit(0))).cast("long"))
+    carries = _carries([(b._pid, b.f.k, b.f.n, b.f.t, b.l.k, b.l.n, b.l.t) for b in bounds], tail_len)
+    out = local
+    vtype = df.schema[value].dataType.simpleString() if tail_len else "int"
+    if carries:
+        ktype = df.schema[key].dataType.simpleString()
+        carry = spark.createDataFrame(carries, f"_cpid int, _ckey {ktype}, _off long, _carry array<{vtype}>")
+        # at most one row per partition: a broadcast bounded by the partition count
+        cond = (F.col("_pid") == F.col("_cpid")) & F.col(key).eqNullSafe(F.col("_ckey"))
+        out = out.join(F.broadcast(carry), on=cond, how="left").drop("_cpid", "_ckey")
+    else:
+        out = out.withColumn("_off", F.lit(None).cast("long")) \
+            .withColumn("_carry", F.lit(None).cast(f"array<{vtype}>"))
+    out = out.withColumn(pos_col, (F.col("_rn") + F.coalesce(F.col("_off"), F.lit(0))).cast("long"))
     if tail_len:
-        carried = F.element_at(F.lit(tails).cast(f"array<array<{vtype.simpleString()}>>"), pid)
-        out = out.withColumn(history_col, F.when(continues, _last(F.concat(carried, F.col("_lh")), tail_len))
+        out = out.withColumn(history_col, F.when(F.col("_carry").isNotNull(),
+                                                 _last(F.concat(F.col("_carry"), F.col("_lh")), tail_len))
                              .otherwise(F.col("_lh")))
-    return out.drop("_pid", "_rn", "_end", "_lh")
+    return out.drop("_pid", "_rn", "_end", "_lh", "_off", "_carry")
 
 
 def remove_repeats(df: DataFrame, key: str, order: Sequence[str], value: str,
