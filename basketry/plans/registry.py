@@ -556,7 +556,7 @@ def _report_oracle() -> str:
         from inst_id i left join titles t on i.label = t.prod_idx) a using (instance_id)
       join (select r.instance_id, string_agg(printf('[%6.3f] %s', r.score, coalesce(t.title, '')), chr(10) order by r.rank) as preds
         from rk r left join titles t on r.prod_idx = t.prod_idx where r.rank <= 10 group by r.instance_id) pr using (instance_id)
-      where (outcome = 'positives' and case_no <= 5) or (outcome = 'negatives' and case_no <= 50)""",
+      where (outcome = 'positives' and case_no <= 100) or (outcome = 'negatives' and case_no <= 10000)""",
                  _P7_CTES + _scores_cte("last") + """,
 titles AS (select i.prod_idx, p.prod_nm as title from items i join product_raw p on i.prod_no = p.prod_no),
 numbered AS (select instance_id, case when hit = 1 then 'positives' else 'negatives' end as outcome,
@@ -565,11 +565,11 @@ numbered AS (select instance_id, case when hit = 1 then 'positives' else 'negati
 
 @register("k7_case_report", _report_oracle())
 def k7_case_report(spark: SparkSession, d: str) -> DataFrame:
-    """Case texts of the 'last' scorer, 5 positives and 50 negatives."""
+    """Case texts of the 'last' scorer, capped at 100 positives and 10000 negatives."""
     t = _event_instances(spark, d)
     titles = t.items.join(fx.titles(spark, d), on=S.PRODUCT_NO).select(S.PROD_IDX, F.col(S.PRODUCT_NAME).alias("title"))
     return prediction_report(_saved_instances(t), _event_item_vectors(spark, d, t), titles, "last", TOP_K,
-                             RANK_DECIMALS, positive_cases=5, negative_cases=50)
+                             RANK_DECIMALS)
 
 
 @register("t4_similar_items", O.sql("""select cast(query_item as bigint) as query_item, cast(prod_idx as int) as prod_idx,
