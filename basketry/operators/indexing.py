@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from .. import schemas as S
 from ..functions.codes import CODE_SPACE, code_of_index
 from ..session import materialize
+from .joins import join_mapping
 
 _ROW_BITS = 33  # monotonically_increasing_id = partition id << 33 | row number in partition
 
@@ -75,7 +76,7 @@ def member_codes(users: DataFrame, seed: int, mapping: DataFrame | None = None,
     """
     if mapping is None:
         return assign_codes(users, seed, key, code_col)
-    known = users.join(mapping.select(key, code_col), on=key, how="inner")
+    known = join_mapping(users, mapping.select(key, code_col), on=key)
     if not extend:
         return known
     fresh = users.join(mapping.select(key), on=key, how="left_anti")
