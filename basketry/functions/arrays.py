@@ -44,19 +44,21 @@ def vec_scale(a: str | Column, s: Column) -> Column:
     return F.transform(_c(a), lambda x: x * s)
 
 
-def vec_sum(arr_of_vecs: str | Column, dim: int) -> Column:
-    """Element-wise sum of an array of equal-length vectors (zeros when empty)."""
-    zero = F.array_repeat(F.lit(0.0), dim)
-    return F.aggregate(_c(arr_of_vecs), zero, lambda acc, v: F.zip_with(acc, v, lambda x, y: x + y.cast("double")))
+def vec_sum(arr_of_vecs: str | Column) -> Column:
+    """Element-wise sum of a non-empty array of equal-length vectors."""
+    a = _c(arr_of_vecs)
+    zero = F.array_repeat(F.lit(0.0), F.size(F.element_at(a, 1)))
+    return F.aggregate(a, zero, lambda acc, v: F.zip_with(acc, v, lambda x, y: x + y.cast("double")))
 
 
 def is_nonzero(vec: str | Column) -> Column:
+    """A vector with any non-zero entry (sign of its max-abs)."""
     return F.exists(_c(vec), lambda x: x != F.lit(0))
 
 
 def valid_length(arr_of_vecs: str | Column) -> Column:
     """Number of positions whose vector has a non-zero entry."""
-    return F.size(F.filter(_c(arr_of_vecs), lambda v: F.exists(v, lambda x: x != F.lit(0))))
+    return F.size(F.filter(_c(arr_of_vecs), is_nonzero))
 
 
 def softmax(scores: str | Column) -> Column:

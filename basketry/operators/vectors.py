@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import schemas as S
-from ..functions.arrays import PAD, dot, softmax, vec_add
+from ..functions.arrays import PAD, dot, softmax, valid_length, vec_scale, vec_sum
 
 SESSION_MODES = ("last", "average", "attention", "click_attention")
 
@@ -26,20 +26,14 @@ def sequence_vectors(df: DataFrame, vectors: DataFrame, id_col: str, seq_col: st
     return looked.groupBy(id_col).agg(F.transform(ordered, lambda s: s["_v"]).alias(out_col))
 
 
-def _zero_like(vec: Column) -> Column:
-    return F.array_repeat(F.lit(0.0), F.size(vec))
-
-
 def _weighted_sum(vecs: Column, weights: Column) -> Column:
-    scaled = F.zip_with(vecs, weights, lambda v, w: F.transform(v, lambda x: x * w))
-    return F.aggregate(scaled, _zero_like(F.element_at(vecs, 1)), lambda acc, v: vec_add(acc, v))
+    return vec_sum(F.zip_with(vecs, weights, lambda v, w: vec_scale(v, w)))
 
 
 def _mean(vecs: Column) -> Column:
     """Element-wise sum over A6's valid length (null when no vector is non-zero)."""
-    total = F.aggregate(vecs, _zero_like(F.element_at(vecs, 1)), lambda acc, v: vec_add(acc, v))
-    n = F.size(F.filter(vecs, lambda v: F.exists(v, lambda x: x != F.lit(0))))
-    return F.when(n > 0, F.transform(total, lambda x: x / n))
+    n = valid_length(vecs)
+    return F.when(n > 0, F.transform(vec_sum(vecs), lambda x: x / n))
 
 
 def attention_pool(vecs: Column, key: Column) -> Column:

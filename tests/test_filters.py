@@ -76,3 +76,10 @@ def test_constraints_one_violation_each(spark):
     assert v[("deal_item", "item_no", "references product.prod_no")] == 1
     assert v[("deal_item", "deal_no", "references product.prod_no")] == 0
     assert v[("prod_category", "gnb_category_id", "references category.gnb_category_id")] == 1
+
+
+def test_tag_set_ops(spark):
+    df = spark.createDataFrame([(["a", "b", "c"], ["b", "d"])], "x array<string>, y array<string>")
+    ops = flt.tag_set_ops("x", "y")
+    r = df.select(*[F.array_sort(c).alias(k) for k, c in ops.items()]).first()
+    assert (r.intersect, r["except"], r.union) == (["b"], ["a", "c"], ["a", "b", "c", "d"])
