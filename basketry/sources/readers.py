@@ -89,10 +89,16 @@ def read_behaviours(spark: SparkSession, path: str, columns: list[str] | None =
     return df.select(*columns) if columns else df
 
 
-def extract_orders(log: DataFrame, min_bytes: int | None = None, max_bytes: int | None = None,
-                   action: str = "O", size_col: str = "_metadata.file_size") -> DataFrame:
+# The size band of the log parts that hold orders (13 MiB < size <= 17 MiB).
+ORDER_PARTS_MIN_BYTES, ORDER_PARTS_MAX_BYTES = 13 * 2 ** 20, 17 * 2 ** 20
+
+
+def extract_orders(log: DataFrame, min_bytes: int | None = ORDER_PARTS_MIN_BYTES,
+                   max_bytes: int | None = ORDER_PARTS_MAX_BYTES, action: str = "O",
+                   size_col: str = "_metadata.file_size") -> DataFrame:
     """Log rows whose action type starts with ``action``, only from files of
-    ``min_bytes < size <= max_bytes`` (the size band selects one export's parts).
+    ``min_bytes < size <= max_bytes`` (the size band selects one export's parts;
+    ``None`` leaves that side open).
 
     ``size_col`` is the file size: the hidden ``_metadata.file_size`` of a file
     source, or a column carrying it.
