@@ -52,8 +52,34 @@ def main(argv: list[str] | None = None) -> None:
     e.add_argument("--pos-cases", type=int, default=100)
     e.add_argument("--neg-cases", type=int, default=10000)
 
+    m = sub.add_parser("metadata", help="P5 metadata preparation")
+    m.add_argument("output_dir")
+    for e in ("user", "comp_mid", "product", "category", "deal_item", "prod_category"):
+        m.add_argument(f"--{e.replace('_', '-')}", dest=e, help=f"raw {e} CSV")
+    m.add_argument("--search-words-path")
+    m.add_argument("--valid-products-path")
+    m.add_argument("--prepared-product-path")
+    m.add_argument("--which", nargs="*", default=[])
+    m.add_argument("--seed", type=int, default=0)
+    m.add_argument("--jdbc-url")
+    m.add_argument("--single-file", action="store_true")
+
+    o = sub.add_parser("orders", help="P8 order rows of the log parts in the size band")
+    o.add_argument("useraction_dir")
+    o.add_argument("output")
+
+    w = sub.add_parser("search_words", help="P8 distinct search keywords")
+    w.add_argument("useraction_dir")
+    w.add_argument("output")
+
     args = vars(p.parse_args(argv))
     job = args.pop("job")
+    if job == "metadata":
+        entities = ("user", "comp_mid", "product", "category", "deal_item", "prod_category")
+        args["sources"] = {e: args.pop(e) for e in entities if args.get(e)}
+        for e in entities:
+            args.pop(e, None)
+        args["which"] = tuple(args["which"])
     spark = SparkSession.builder.appName(f"basketry-{job}").getOrCreate()
     getattr(jobs, f"{job}_job")(spark, **args)
 

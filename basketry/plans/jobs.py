@@ -134,3 +134,18 @@ def evaluate_job(spark: SparkSession, data_dir: str, output_dir: str, algorithm:
                                    positive_cases=pos_cases, negative_cases=neg_cases)
         K.save_case_report(report, os.path.join(output_dir, "predictions"))
     return metrics
+
+
+def orders_job(spark: SparkSession, useraction_dir: str, output: str,
+               min_bytes: int | None = R.ORDER_PARTS_MIN_BYTES, max_bytes: int | None = R.ORDER_PARTS_MAX_BYTES) -> DataFrame:
+    """Order rows of the log parts within the size band -> CSV without header."""
+    out = R.extract_orders(R.read_useraction(spark, useraction_dir), min_bytes, max_bytes)
+    K.write_csv(out, output, header=False)
+    return out
+
+
+def search_words_job(spark: SparkSession, useraction_dir: str, output: str) -> DataFrame:
+    """Distinct non-empty search keywords of the log -> one word per line."""
+    out = R.extract_search_words(R.read_useraction(spark, useraction_dir))
+    out.write.mode("overwrite").text(output)
+    return out

@@ -108,3 +108,15 @@ def test_metadata_and_titles_jobs(spark, files):
     assert vecs.count() == out["product"].count()
     line = spark.read.text(os.path.join(files, "titles", "tsv")).first().value.split("\t")
     assert len(line) == 2 + 8
+
+
+def test_command_line(spark, files):
+    from basketry.__main__ import main
+    log = os.path.join(files, "log")
+    main(["search_words", log, os.path.join(files, "words_out")])
+    words = {r.value for r in spark.read.text(os.path.join(files, "words_out")).collect()}
+    assert words == {r.word for r in fx.search_words(spark, SF001).collect()}
+    main(["orders", log, os.path.join(files, "orders_out")])        # default band: the small test parts fall outside
+    assert spark.read.csv(os.path.join(files, "orders_out")).count() == 0
+    main(["sort", log, "prod_no", os.path.join(files, "sorted_cli")])
+    assert spark.read.csv(os.path.join(files, "sorted_cli")).count() == 1000
