@@ -429,6 +429,11 @@ RANK_DECIMALS = 6
 TOP_K = 10
 
 
+def _rounded(col: str):
+    """Scores as compared across engines: 6 decimals, and no negative zero."""
+    return F.round(col, RANK_DECIMALS) + F.lit(0.0)
+
+
 def _event_item_vectors(spark: SparkSession, d: str, t) -> DataFrame:
     return t.items.join(fx.item_vectors(spark, d), on=S.PRODUCT_NO).select(S.PROD_IDX, "vector")
 
@@ -443,7 +448,7 @@ def _topk_query(mode: str) -> Query:
         t = _event_instances(spark, d)
         rec = recommend(_saved_instances(t), _event_item_vectors(spark, d, t), mode, TOP_K, RANK_DECIMALS,
                         with_lse=False)
-        return rec.scores.top.withColumn("score", F.round("score", RANK_DECIMALS))
+        return rec.scores.top.withColumn("score", _rounded("score"))
     q.__doc__ = f"T5-T8/J8/W6: top-{TOP_K} items per instance for the '{mode}' session vector."
     return q
 
@@ -505,7 +510,7 @@ loss AS (select i.instance_id, i.split, l.lse - list_dot_product(s.session, v.ve
 
 
 def _topk_oracle(mode: str) -> str:
-    return O.sql(f"""select instance_id, cast(prod_idx as int) as prod_idx, round(score, 6) as score,
+    return O.sql(f"""select instance_id, cast(prod_idx as int) as prod_idx, round(score, 6) + 0.0 as score,
       cast(rank as int) as rank from rk where rank <= {TOP_K}""", _P7_CTES + _scores_cte(mode))
 
 
@@ -523,7 +528,7 @@ def _eval_oracle() -> str:
     parts = []
     for mode in ("last", "average"):
         parts.append(f"""{mode}_sum AS (select '{mode}' as scorer, h.split, cast(count(*) as bigint) as instances,
-          round(avg(h.hit) * 100, 6) as hit_rate, round(max(lo.loss), 6) as loss
+          round(avg(h.hit) * 100, 6) + 0.0 as hit_rate, round(max(lo.loss), 6) + 0.0 as loss
           from {mode}_hit h left join (select split, avg(loss) as loss from {mode}_loss group by split) lo
             on h.split = lo.split group by h.split)""")
     ctes = _P7_CTES
@@ -544,7 +549,7 @@ def t9_evaluation(spark: SparkSession, d: str) -> DataFrame:
     out = evaluate(_saved_instances(t), _event_item_vectors(spark, d, t), ("last", "average"),
                    TOP_K, RANK_DECIMALS)
     return out.select("scorer", "split", F.col("instances").cast("long").alias("instances"),
-                      F.round("hit_rate", 6).alias("hit_rate"), F.round("loss", 6).alias("loss"))
+                      _rounded("hit_rate").alias("hit_rate"), _rounded("loss").alias("loss"))
 
 
 def _report_oracle() -> str:
@@ -573,7 +578,7 @@ def k7_case_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 @register("t4_similar_items", O.sql("""select cast(query_item as bigint) as query_item, cast(prod_idx as int) as prod_idx,
-    round(sim, 6) as similarity, cast(rank as int) as rank from (select *, row_number() over
+    round(sim, 6) + 0.0 as similarity, cast(rank as int) as rank from (select *, row_number() over
     (partition by query_item order by round(sim, 6) desc, prod_idx) as rank from
     (select a.prod_no as query_item, b.prod_no as prod_idx, list_cosine_similarity(a.vector, b.vector) as sim
      from item_vectors a cross join item_vectors b)) where rank <= 11"""))
@@ -581,11 +586,11 @@ def t4_similar_items(spark: SparkSession, d: str) -> DataFrame:
     """T4: the 11 most cosine-similar items of every item vector (itself included)."""
     vecs = fx.item_vectors(spark, d).withColumnRenamed(S.PRODUCT_NO, S.PROD_IDX)
     return similar_items(vecs, 11, rank_decimals=RANK_DECIMALS).withColumn(
-        "similarity", F.round("similarity", RANK_DECIMALS))
+        "similarity", _rounded("similarity"))
 
 
 @register("j8_dot_topk", O.sql("""select cast(query_item as bigint) as instance_id, cast(prod_idx as int) as prod_idx,
-    round(score, 6) as score, cast(rank as int) as rank from (select *, row_number() over
+    round(score, 6) + 0.0 as score, cast(rank as int) as rank from (select *, row_number() over
     (partition by query_item order by round(score, 6) desc, prod_idx) as rank from
     (select a.prod_no as query_item, b.prod_no as prod_idx, list_dot_product(a.vector, b.vector) as score
      from item_vectors a cross join item_vectors b)) where rank <= 10"""))
@@ -594,7 +599,7 @@ def j8_dot_topk(spark: SparkSession, d: str) -> DataFrame:
     vecs = fx.item_vectors(spark, d).withColumnRenamed(S.PRODUCT_NO, S.PROD_IDX)
     queries = vecs.select(F.col(S.PROD_IDX).cast("long").alias("instance_id"), F.col("vector").alias("session"))
     res = top_k_scores(queries, vecs, TOP_K, rank_decimals=RANK_DECIMALS, with_lse=False)
-    return res.top.withColumn("score", F.round("score", RANK_DECIMALS))
+    return res.top.withColumn("score", _rounded("score"))
 
 
 # ---------------------------------------------------------------- T1-T3/P6, T10, A5, J9, S5, S6, O5
