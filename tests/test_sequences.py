@@ -90,3 +90,22 @@ def test_dense_index_sorted_bijection(spark):
     df = spark.createDataFrame([(v,) for v in vals], "comp_mid string")
     got = {r.comp_mid: r.user_idx for r in dense_index(df, "comp_mid", "user_idx", partitions=3).collect()}
     assert got == {v: i for i, v in enumerate(sorted(set(vals)))}
+
+
+from hypothesis import given, settings, strategies as st
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from([None, 0, 0, 0, 1, 2, 3]), st.integers(0, 60), st.integers(0, 3)),
+                min_size=1, max_size=120, unique_by=lambda r: (r[0], r[1])),
+       st.integers(1, 6), st.integers(0, 4))
+def test_sequence_context_random(spark, rows, partitions, history):
+    df = spark.createDataFrame(rows, "k int, ts long, v int")
+    got = sequence_context(df, "k", ["ts"], "v", history=history, partitions=partitions).collect()
+    expected = _brute_context(rows, history)
+    assert len(got) == len(rows)
+    for r in got:
+        pos, hist = expected[(r.k, r.ts)]
+        assert r.pos == pos
+        if history:
+            assert list(r.history) == hist
