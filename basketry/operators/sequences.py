@@ -3,9 +3,9 @@
 Any single user may own a large share of the log, so nothing here puts all
 rows of one user into one task:
 
-* ``first_per_group`` keeps one row per group with ``row_number() == 1``,
-  which Spark plans as a partial WindowGroupLimit before the shuffle (a hot
-  group is cut to one row per input partition first).
+* ``first_per_group`` keeps one row per group with a ``min(struct(...))``
+  aggregate (or ``row_number() == 1``, a partial WindowGroupLimit), so a hot
+  group is cut to one row per input partition before the shuffle.
 * ``sequence_context`` numbers rows within a user and collects the preceding
   values with a *range* partition over (user, order...): a hot user is spread
   over many partitions and every window runs per (partition, user). Only the
@@ -53,7 +53,17 @@ def _partitions(df: DataFrame, n: int | None) -> int:
 
 
 def first_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
-    """Keep the first row of each ``keys`` group by ``order`` (ties must be broken by ``order``)."""
+    """Keep the first row of each ``keys`` group by ``order`` (ties must be broken by ``order``).
+
+    For ascending column orders this is ``min(struct(order..., rest...))`` per
+    group, an aggregate whose partial (map-side) step already keeps one row
+    per group and input partition; struct comparison is field by field with
+    nulls first, the same order as the window form used for other orders.
+    """
+    if all(isinstance(c, str) for c in order):
+        rest = [c for c in df.columns if c not in keys and c not in order]
+        best = F.min(F.struct(*[F.col(c) for c in [*order, *rest]])).alias("_first")
+        return df.groupBy(*keys).agg(best).select(*keys, "_first.*").select(*df.columns)
     w = Window.partitionBy(*keys).orderBy(*_cols(order))
     return df.withColumn("_first", F.row_number().over(w)).where(F.col("_first") == 1).drop("_first")
 
