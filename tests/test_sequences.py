@@ -109,3 +109,15 @@ def test_sequence_context_random(spark, rows, partitions, history):
         assert r.pos == pos
         if history:
             assert list(r.history) == hist
+
+
+def test_first_per_group_paths_agree(spark):
+    from pyspark.sql import functions as F
+    from basketry.operators.sequences import first_per_group
+    rows = [("u", 1, 5, "b"), ("u", 1, 3, None), ("u", 1, 3, "a"), ("v", 2, None, "x"), ("v", 2, 1, "y")]
+    df = spark.createDataFrame(rows, "comp_mid string, timestamp long, prod_no int, prod_nm string")
+    by_agg = sorted(tuple(r) for r in first_per_group(df, ["comp_mid", "timestamp"], ["prod_no", "prod_nm"]).collect())
+    by_win = sorted(tuple(r) for r in first_per_group(df, ["comp_mid", "timestamp"],
+                                                       [F.col("prod_no"), F.col("prod_nm")]).collect())
+    # ascending with nulls first in both forms
+    assert by_agg == by_win == [("u", 1, 3, None), ("v", 2, None, "x")]
