@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pickle
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -84,3 +86,13 @@ def found(text: str, pattern: str) -> str:
 
 
 EMPTY_SPANS = "cast(array() as array<struct<s:int,e:int,m:string>>)"
+
+
+def ship(spark: SparkSession, model: object):
+    """Broadcast a bounded model with its class, which executors need not have."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(model))
+
+
+def shipped(shared) -> object:
+    """The model of ``ship`` inside a task."""
+    return pickle.loads(shared.value)
