@@ -148,3 +148,11 @@ def blob(x: np.ndarray) -> bytes:
 
 def of(data: bytes, kind) -> np.ndarray:
     return np.frombuffer(data, dtype=kind)
+
+
+def stretches(x: np.ndarray) -> list[tuple[int, int]]:
+    """[start, end) of each run of equal values."""
+    if not len(x):
+        return []
+    at = np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]]))
+    return list(zip(at.tolist(), [*at[1:].tolist(), len(x)], strict=True))

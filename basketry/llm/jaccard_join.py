@@ -44,12 +44,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import blob, chunks, mix, of, runs, shingle_hashes, utf8, word_hashes, words
+from .arrays import blob, chunks, mix, of, runs, shingle_hashes, stretches, utf8, word_hashes, words
 from .common import small, stored
 from .components import components
 
 WIDTH, PERCENT, BLOCK = 5, 80, 96
-REQUEST_BYTES = 8 << 20
+REQUEST_BYTES = 4 << 20
 #: Shingles that one hash bucket holds, about.
 PER_BUCKET = 1 << 20
 MANY = 0xFFFF
@@ -104,9 +104,8 @@ def requests(bits: int, width: int):
             key, who = h[at], np.where(single, doc[at], MANY).astype(np.uint16)
             wide = 48 + bits if bits < 16 else 64
             bucket = (key >> np.uint64(wide - bits)).astype(np.int64)
-            cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else np.zeros(0, dtype=np.int64)
             out = []
-            for a, b in zip(cuts, np.append(cuts[1:], len(bucket)), strict=True):
+            for a, b in stretches(bucket):
                 part = key[a:b]
                 out.append((int(bucket[a]), chunk, False, blob((part >> np.uint64(16)).astype(np.uint32)), blob(part.astype(np.uint16)),
                             blob(who[a:b]), blob(count[a:b][~single[a:b]].astype(np.uint32)), None))

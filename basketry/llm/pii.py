@@ -63,9 +63,8 @@ CUE_CHARS = 24
 ROUNDS, PRIOR, ACCEPT = 10, 0.5, 0.9
 
 
-def candidates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc id and ``cands``: kind, s, e, base and the three votes (1 yes, 0 no, -1 abstains) and a digit-count feature."""
-    text = docs.select(F.col(id_col).alias("doc_id"), whole(F.col(text_col)).alias("text"))
+def candidates_sql() -> str:
+    """SQL for the candidates of a column ``text``: kind, s, e, base, the votes (1 yes, 0 no, -1 abstains) and a digit count."""
     parts = []
     for base, rules in ((1, BASE), (0, LOOSE)):
         for kind, (pattern, hint, check) in rules.items():
@@ -76,7 +75,13 @@ def candidates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 f"case when {hint} then transform(filter({found('text', pattern)}, x -> {check}), x -> named_struct("
                 f"'kind', {KINDS.index(kind)}, 's', x.s, 'e', x.e, 'base', {base}, 'v1', {base}, 'v2', {gaz}, 'v3', {cue}, "
                 f"'digits', least(length({DIGITS}), 15))) else {NO_CANDS} end")
-    return text.select("doc_id", F.expr(f"concat({', '.join(parts)})").alias("cands"))
+    return f"concat({', '.join(parts)})"
+
+
+def candidates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """doc id and ``cands`` of each document."""
+    text = docs.select(F.col(id_col).alias("doc_id"), whole(F.col(text_col)).alias("text"))
+    return text.select("doc_id", F.expr(candidates_sql()).alias("cands"))
 
 
 NO_CANDS = "cast(array() as array<struct<kind:int,s:int,e:int,base:int,v1:int,v2:int,v3:int,digits:int>>)"
@@ -119,19 +124,34 @@ def classifier(labelled: DataFrame) -> str:
     return f"1D / (1D + exp(-({odds})))"
 
 
+def estimate(cands: DataFrame) -> str:
+    """Vote reliabilities, then the classifier: SQL for the probability of a candidate ``x``."""
+    patterns = cands.select(F.explode("cands").alias("c")).groupBy(*[F.col(f"c.{f}").alias(f) for f in FEATURES]).agg(F.count(F.lit(1)).alias("n"))
+    rows = patterns.collect()  # at most 4 * 27 * 16
+    return classifier(reliabilities(cands.sparkSession.createDataFrame(rows, patterns.schema))[0]) if rows else "0D"
+
+
+def accepted_sql(probability: str, accept: float) -> str:
+    """SQL: the base candidates of ``cands`` and the loose ones accepted outside them, sorted."""
+    free = "not exists(cands, b -> b.base = 1 and b.kind = x.kind and b.s < x.e and x.s < b.e)"
+    return (f"sort_array(transform(filter(cands, x -> x.base = 1 or (({probability}) >= {accept}D and {free})), "
+            "x -> named_struct('kind', x.kind, 's', x.s, 'e', x.e, 'base', x.base)))")
+
+
 def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", accept: float = ACCEPT) -> DataFrame:
     """doc id and ``spans``: sorted structs (kind index, s, e, base) of the base spans and the accepted loose ones."""
     cands = stored(candidates(docs, id_col, text_col), "pii-candidates")
-    patterns = cands.select(F.explode("cands").alias("c")).groupBy(*[F.col(f"c.{f}").alias(f) for f in FEATURES]).agg(F.count(F.lit(1)).alias("n"))
-    patterns = docs.sparkSession.createDataFrame(patterns.collect(), patterns.schema)  # at most 4 * 27 * 16 rows
-    if patterns.isEmpty():
-        probability = "0D"
-    else:
-        probability = classifier(reliabilities(patterns)[0])
-    free = "not exists(cands, b -> b.base = 1 and b.kind = x.kind and b.s < x.e and x.s < b.e)"
-    return cands.select("doc_id", F.expr(
-        f"sort_array(transform(filter(cands, x -> x.base = 1 or (({probability}) >= {accept}D and {free})), "
-        "x -> named_struct('kind', x.kind, 's', x.s, 'e', x.e, 'base', x.base)))").alias("spans"))
+    return cands.select("doc_id", F.expr(accepted_sql(estimate(cands), accept)).alias("spans"))
+
+
+def masked(docs: DataFrame, text_col: str = "text", accept: float = ACCEPT) -> DataFrame:
+    """``docs`` with every span in ``text_col`` replaced by its kind in brackets; other columns stay, null texts too."""
+    cands = stored(docs.select(whole(F.col(text_col)).alias("text")).select(F.expr(candidates_sql()).alias("cands")).where(F.size("cands") > 0), "pii-candidates")
+    probability = estimate(cands)
+    held = docs.select(F.struct("*").alias("row"), whole(F.col(text_col)).alias("text")).withColumn("cands", F.expr(candidates_sql()))
+    spans = held.withColumn("spans", F.expr(accepted_sql(probability, accept)))
+    text = F.when(F.col("row")[text_col].isNotNull(), F.when(F.size("spans") > 0, F.expr(mask("text", "spans"))).otherwise(F.col("text")))
+    return spans.select(*[text.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def pii_digest(spans: DataFrame) -> DataFrame:
