@@ -126,9 +126,8 @@ def classifier(labelled: DataFrame) -> str:
 
 def estimate(cands: DataFrame) -> str:
     """Vote reliabilities, then the classifier: SQL for the probability of a candidate ``x``."""
-    patterns = cands.select(F.explode("cands").alias("c")).groupBy(*[F.col(f"c.{f}").alias(f) for f in FEATURES]).agg(F.count(F.lit(1)).alias("n"))
-    rows = patterns.collect()  # at most 4 * 27 * 16
-    return classifier(reliabilities(cands.sparkSession.createDataFrame(rows, patterns.schema))[0]) if rows else "0D"
+    patterns = stored(cands.select(F.explode("cands").alias("c")).groupBy(*[F.col(f"c.{f}").alias(f) for f in FEATURES]).agg(F.count(F.lit(1)).alias("n")).coalesce(1), "pii-votes")
+    return "0D" if patterns.isEmpty() else classifier(reliabilities(patterns)[0])  # at most 4 * 27 * 16 rows
 
 
 def accepted_sql(probability: str, accept: float) -> str:
