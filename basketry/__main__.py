@@ -49,8 +49,8 @@ def main(argv: list[str] | None = None) -> None:
     e.add_argument("output_dir")
     e.add_argument("--algorithm", default="last")
     e.add_argument("--top-k", type=int, default=10)
-    e.add_argument("--pos-cases", type=int, default=100)
-    e.add_argument("--neg-cases", type=int, default=10000)
+    e.add_argument("--pos-cases", type=int, help="at most so many hits (default: all)")
+    e.add_argument("--neg-cases", type=int, help="at most so many misses (default: all)")
 
     m = sub.add_parser("metadata", help="P5 metadata preparation")
     m.add_argument("output_dir")
@@ -64,9 +64,11 @@ def main(argv: list[str] | None = None) -> None:
     m.add_argument("--jdbc-url")
     m.add_argument("--single-file", action="store_true")
 
-    o = sub.add_parser("orders", help="P8 order rows of the log parts in the size band")
+    o = sub.add_parser("orders", help="P8 order rows of the log")
     o.add_argument("useraction_dir")
     o.add_argument("output")
+    o.add_argument("--min-bytes", type=int, help="only parts larger than this")
+    o.add_argument("--max-bytes", type=int, help="only parts of at most this size")
 
     w = sub.add_parser("search_words", help="P8 distinct search keywords")
     w.add_argument("useraction_dir")

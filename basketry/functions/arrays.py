@@ -81,7 +81,8 @@ def multi_hot(indices: str | Column, width: int | Column) -> Column:
     """Dense 0/1 vector of length ``width`` with ones at ``indices`` (A4 dense form)."""
     idx = _c(indices)
     w = F.lit(width) if isinstance(width, int) else width
-    return F.transform(F.sequence(F.lit(0), w - 1), lambda i: F.array_contains(idx, i).cast("int"))
+    places = F.slice(F.sequence(F.lit(0), w), F.lit(1), w)    # none for width 0: a sequence to -1 would count down
+    return F.transform(places, lambda i: F.array_contains(idx, i).cast("int"))
 
 
 def join_ints(arr: str | Column, sep: str = ",") -> Column:

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from .. import schemas as S
 from ..functions.arrays import PAD, dot
+from .sequences import sequence_context
 
-# Default case caps and report line formats.
-POSITIVE_CASES, NEGATIVE_CASES = 100, 10000
+# Report line formats.
 ORDER_LINE, ANSWER_LINE, SCORE_LINE = "[ORDER %02d] %s", "[ANSWER] %s", "[%6.3f] %s"
 
 
@@ -39,22 +39,20 @@ def cross_entropy(lse: DataFrame, sessions: DataFrame, labels: DataFrame, item_v
 
 def case_report(instances: DataFrame, top: DataFrame, hit_rows: DataFrame, titles: DataFrame,
                 id_col: str = "instance_id", item_col: str = S.PROD_IDX, title_col: str = "title",
-                positive_cases: int = POSITIVE_CASES, negative_cases: int = NEGATIVE_CASES) -> DataFrame:
+                positive_cases: int | None = None, negative_cases: int | None = None) -> DataFrame:
     """K7 + W7: a text report per instance (history titles, answer, k scored titles),
-    numbered per outcome in instance order and capped per outcome.
+    numbered per outcome in instance order; all of them unless a cap is given.
 
-    ``row_number() <= cap`` per outcome is planned with a partial group limit
-    before its shuffle, so each outcome's cap is applied map-side first.
+    The numbers come from :func:`sequence_context`, which splits the two
+    outcomes over range partitions instead of sorting each in one task.
     """
     t = titles.select(item_col, title_col)
     numbered = hit_rows.withColumn("outcome", F.when(F.col("hit") == 1, F.lit("positives")).otherwise(F.lit("negatives")))
-    w = Window.partitionBy("outcome").orderBy(id_col)
-    # the plain `case_no <= max cap` filter lets Spark cut each outcome map-side
-    # (partial WindowGroupLimit) before the per-outcome shuffle
-    numbered = numbered.withColumn("case_no", F.row_number().over(w)) \
-        .where(F.col("case_no") <= max(positive_cases, negative_cases)).where(
-        ((F.col("outcome") == "positives") & (F.col("case_no") <= positive_cases))
-        | ((F.col("outcome") == "negatives") & (F.col("case_no") <= negative_cases)))
+    numbered = sequence_context(numbered, "outcome", [id_col], pos_col="_n") \
+        .withColumn("case_no", (F.col("_n") + 1).cast("int"))
+    for outcome, cap in (("positives", positive_cases), ("negatives", negative_cases)):
+        if cap is not None:
+            numbered = numbered.where((F.col("outcome") != outcome) | (F.col("case_no") <= cap))
     hist = (instances.select(id_col, F.posexplode("orders").alias("_p", item_col)).where(F.col(item_col) != PAD)
             .join(numbered.select(id_col), on=id_col, how="left_semi")
             .join(t, on=item_col, how="left"))
@@ -63,7 +61,8 @@ def case_report(instances: DataFrame, top: DataFrame, hit_rows: DataFrame, title
             F.zip_with(F.col("_h"), F.sequence(F.lit(1), F.size("_h")),
                        lambda s, i: F.format_string(ORDER_LINE, i, F.coalesce(s[title_col], F.lit("")))),
             lambda x: x), "\n").alias("_orders"))
-    answer = instances.select(id_col, F.col("label").alias(item_col)).join(t, on=item_col, how="left") \
+    answer = instances.select(id_col, F.col("label").alias(item_col)).join(
+        numbered.select(id_col), on=id_col, how="left_semi").join(t, on=item_col, how="left") \
         .select(id_col, F.format_string(ANSWER_LINE, F.coalesce(F.col(title_col), F.lit(""))).alias("_answer"))
     preds = (top.join(numbered.select(id_col), on=id_col, how="left_semi").join(t, on=item_col, how="left")
              .groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("rank", "score", title_col))).alias("_r"))

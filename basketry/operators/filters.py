@@ -127,12 +127,14 @@ def clean_tags(df: DataFrame, search_words: DataFrame, filter_words: Iterable[st
     word_column = word_column or search_words.columns[0]
     words = search_words.select(F.col(word_column).alias("_tag")).where(F.col("_tag").isNotNull()).distinct()
     stop = list(dict.fromkeys(filter_words))
-    tags = (df.select(key, F.explode(F.split(F.col(column), sep, -1)).alias("_tag"))
+    # rows are cleaned one by one: equal (key, tag list) rows have equal results, so these two identify a result
+    tags = (df.select(key, column, F.explode(F.split(F.col(column), sep, -1)).alias("_tag")).distinct()
             .join(words, on="_tag", how="left_semi"))
     if stop:
         tags = tags.where(~F.col("_tag").isin(stop))
-    kept = tags.groupBy(key).agg(F.array_join(F.array_sort(F.collect_set("_tag")), sep).alias("_kept"))
-    out = df.join(kept, on=key, how="left")
+    kept = tags.groupBy(F.col(key).alias("_key"), F.col(column).alias("_list")) \
+        .agg(F.array_join(F.array_sort(F.collect_set("_tag")), sep).alias("_kept"))
+    out = df.join(kept, df[key].eqNullSafe(F.col("_key")) & (df[column] == F.col("_list")), how="left").drop("_key", "_list")
     cleaned = F.when(F.col(column).isNull(), F.lit(None).cast("string")).otherwise(F.coalesce(F.col("_kept"), F.lit("")))
     return out.withColumn(column, cleaned).drop("_kept").select(*df.columns)
 

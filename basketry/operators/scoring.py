@@ -95,9 +95,13 @@ def _block_scorer(id_col: str, item_col: str, k: int, decimals: int | None, chun
     return score
 
 
+def spark_parallelism(df: DataFrame) -> int:
+    return df.sparkSession.sparkContext.defaultParallelism
+
+
 def top_k_scores(queries: DataFrame, items: DataFrame, k: int, id_col: str = "instance_id",
                  query_vec: str = "session", item_col: str = "prod_idx", item_vec: str = "vector",
-                 rank_decimals: int | None = None, query_block: int = 32768, item_block: int = 32768,
+                 rank_decimals: int | None = None, block_bytes: int = 16 << 20, least_queries: int = 64,
                  chunk: int = 256, group_col: str | None = None, with_lse: bool = True) -> ScoreResult:
     """Top-``k`` items by dot product for every query, plus each query's log-sum-exp.
 
@@ -105,9 +109,10 @@ def top_k_scores(queries: DataFrame, items: DataFrame, k: int, id_col: str = "in
     go to the lower item index), which makes rankings reproducible across
     engines; ``None`` ranks on exact scores.
 
-    Block sizes bound the memory of one group (32k x 32k blocks at dim 64:
-    16 MB per side, a 64 MB score chunk); the shuffle volume is about
-    |queries| x item blocks + |items| x query blocks rows. With ``group_col``
+    ``block_bytes`` bounds each side of a group at any vector width (16 MB is
+    32k vectors of 64 doubles); query blocks are as many as the session's
+    parallelism needs while each holds ``least_queries``. The shuffle volume is
+    about |queries| x item blocks + |items| x query blocks rows. With ``group_col``
     (e.g. the scorer name) a query is identified by (group, id), so several
     kinds of query vectors share one pass over the items. Without
     ``with_lse`` only the top-k is produced (``lse`` is None) and the block
@@ -120,8 +125,10 @@ def top_k_scores(queries: DataFrame, items: DataFrame, k: int, id_col: str = "in
                     .where(F.col("_vec").isNotNull()))
     it = items.select(F.col(item_col).cast("int").alias(item_col), F.col(item_vec).alias("_vec")) \
         .where(F.col("_vec").isNotNull())
-    nq, ni = q.count(), it.count()
-    qb, ib = max(1, math.ceil(nq / query_block)), max(1, math.ceil(ni / item_block))
+    nq, (ni, width) = q.count(), it.agg(F.count(F.lit(1)), F.max(F.size("_vec"))).first()
+    block = max(1, block_bytes // (8 * max(1, width or 1)))
+    parallel = min(spark_parallelism(queries), math.ceil(nq / least_queries))
+    qb, ib = max(1, math.ceil(nq / block), parallel), max(1, math.ceil(ni / block))
     # block keys must have identical types on both sides: cogroup does not
     # coerce them, and an int and a long 0 hash to different partitions
     qrep = q.withColumn("_qb", F.pmod(F.xxhash64(id_col), F.lit(qb)).cast("int")) \

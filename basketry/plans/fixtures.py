@@ -57,11 +57,13 @@ def useraction(spark: SparkSession, sf_dir: str, with_event_id: bool = True,
 
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = table(spark, sf_dir, "customer").where(F.pmod(F.col("c_custkey"), F.lit(7)) != 3)
+    """Every customer; the member id of each seventh is one that the log does not use."""
+    c = table(spark, sf_dir, "customer")
+    prefix = F.when(F.pmod(F.col("c_custkey"), F.lit(7)) == 3, F.lit("X")).otherwise(F.lit("U"))
     return c.select(F.lpad(F.col("c_custkey").cast("string"), 5, "0").alias(S.COMP_MEMBER_ID),
                     F.pmod(F.col("c_custkey"), F.lit(2)).cast("int").alias(S.SEX),
                     (F.lit(1950) + F.col("c_nationkey")).cast("int").alias(S.AGE),
-                    F.concat(F.lit("U"), F.col("c_custkey").cast("string")).alias(S.MEMBER_ID))
+                    F.concat(prefix, F.col("c_custkey").cast("string")).alias(S.MEMBER_ID))
 
 
 def raw_users(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,15 +117,17 @@ def category(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def prod_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each product's lowest and highest category over all its line items."""
     li = table(spark, sf_dir, "lineitem")
     su = table(spark, sf_dir, "supplier")
-    j = li.where(F.col("l_quantity") > 49).join(su, li["l_suppkey"] == su["s_suppkey"])
+    j = li.join(su, li["l_suppkey"] == su["s_suppkey"])
     cat = F.when(F.col("s_nationkey") == 0, F.lit(100)).otherwise(F.col("s_nationkey")).cast("int")
-    return j.select(F.col("l_partkey").cast("int").alias(S.PRODUCT_NO), cat.alias(S.CATEGORY_NO)).distinct()
+    ends = j.groupBy(F.col("l_partkey").cast("int").alias(S.PRODUCT_NO)).agg(F.min(cat).alias("lo"), F.max(cat).alias("hi"))
+    return ends.select(S.PRODUCT_NO, F.explode(F.array_distinct(F.array("lo", "hi"))).alias(S.CATEGORY_NO))
 
 
 def deal_item_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").where(F.col("l_linenumber") == 1)
+    li = table(spark, sf_dir, "lineitem")
     return li.select((F.col("l_suppkey") * 37).cast("int").alias(S.DEAL_NO),
                      F.col("l_partkey").cast("int").alias(S.PRODUCT_NO)).distinct()
 

@@ -120,7 +120,7 @@ def titles_job(spark: SparkSession, product_path: str, output_dir: str, vector_s
 
 
 def evaluate_job(spark: SparkSession, data_dir: str, output_dir: str, algorithm: str = "last",
-                 top_k: int = DEFAULT_TOP_K, pos_cases: int = 100, neg_cases: int = 10000,
+                 top_k: int = DEFAULT_TOP_K, pos_cases: int | None = None, neg_cases: int | None = None,
                  split: str = "test") -> DataFrame:
     """Saved instances + items -> metrics per split and the case report of one split."""
     inst = with_instance_id(R.read_instances(spark, os.path.join(data_dir, "instances"), with_clicks=True))
@@ -137,8 +137,8 @@ def evaluate_job(spark: SparkSession, data_dir: str, output_dir: str, algorithm:
 
 
 def orders_job(spark: SparkSession, useraction_dir: str, output: str,
-               min_bytes: int | None = R.ORDER_PARTS_MIN_BYTES, max_bytes: int | None = R.ORDER_PARTS_MAX_BYTES) -> DataFrame:
-    """Order rows of the log parts within the size band -> CSV without header."""
+               min_bytes: int | None = None, max_bytes: int | None = None) -> DataFrame:
+    """Order rows of the log (of the parts within a size band, if given) -> CSV without header."""
     out = R.extract_orders(R.read_useraction(spark, useraction_dir), min_bytes, max_bytes)
     K.write_csv(out, output, header=False)
     return out

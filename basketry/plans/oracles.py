@@ -24,8 +24,8 @@ useraction AS (
   from events),
 users AS (
   select lpad(cast(c_custkey as varchar),5,'0') as comp_mid, cast(c_custkey%2 as int) as sex,
-    cast(1950+c_nationkey as int) as age, concat('U', cast(c_custkey as varchar)) as m_id
-  from customer where c_custkey%7<>3),
+    cast(1950+c_nationkey as int) as age, concat(case when c_custkey%7=3 then 'X' else 'U' end, cast(c_custkey as varchar)) as m_id
+  from customer),
 raw_users AS (
   select cast(c_custkey%2 as int) as sex, cast(1950+c_nationkey as int) as age,
     concat('U', cast(c_custkey as varchar)) as m_id
@@ -47,12 +47,14 @@ category_raw AS (
 category AS (
   select cast(coalesce(gnb_depth2_cate_id, gnb_depth1_cate_id) as int) as gnb_category_id, * from category_raw),
 prod_category AS (
-  select distinct cast(l_partkey as int) as prod_no,
-    cast(case when s_nationkey=0 then 100 else s_nationkey end as int) as gnb_category_id
-  from lineitem join supplier on l_suppkey=s_suppkey where l_quantity>49),
+  select distinct prod_no, unnest([lo, hi]) as gnb_category_id from (
+    select cast(l_partkey as int) as prod_no,
+      min(cast(case when s_nationkey=0 then 100 else s_nationkey end as int)) as lo,
+      max(cast(case when s_nationkey=0 then 100 else s_nationkey end as int)) as hi
+    from lineitem join supplier on l_suppkey=s_suppkey group by l_partkey)),
 deal_item_raw AS (
   select distinct cast(l_suppkey*37 as int) as deal_no, cast(l_partkey as int) as prod_no
-  from lineitem where l_linenumber=1),
+  from lineitem),
 search_words AS (
   select distinct search_keyword as word from useraction where search_keyword is not null and search_keyword<>''),
 behaviours AS (

@@ -10,6 +10,7 @@ from .. import schemas as S
 from ..operators import evaluation as ev
 from ..operators.scoring import ScoreResult, top_k_scores
 from ..operators.vectors import session_vectors, session_vectors_by_mode
+from ..session import materialize
 
 DEFAULT_TOP_K = 10
 
@@ -54,11 +55,12 @@ def evaluate(instances: DataFrame, item_vectors: DataFrame, modes: tuple[str, ..
 
 def prediction_report(instances: DataFrame, item_vectors: DataFrame, titles: DataFrame, mode: str = "last",
                       k: int = DEFAULT_TOP_K, rank_decimals: int | None = None, id_col: str = "instance_id",
-                      positive_cases: int = ev.POSITIVE_CASES, negative_cases: int = ev.NEGATIVE_CASES) -> DataFrame:
-    """K7: capped positive / negative case texts for one scorer."""
+                      positive_cases: int | None = None, negative_cases: int | None = None) -> DataFrame:
+    """K7: positive / negative case texts for one scorer, all of them unless capped."""
     rec = recommend(instances, item_vectors, mode, k, rank_decimals, id_col, with_lse=False)
-    h = ev.hits(rec.scores.top, instances.select(id_col, "label"), id_col)
-    return ev.case_report(instances, rec.scores.top, h, titles, id_col, positive_cases=positive_cases,
+    top = materialize(rec.scores.top)    # read for the hits and for the texts
+    h = ev.hits(top, instances.select(id_col, "label"), id_col)
+    return ev.case_report(instances, top, h, titles, id_col, positive_cases=positive_cases,
                           negative_cases=negative_cases)
 
 

@@ -560,8 +560,7 @@ def _report_oracle() -> str:
       join (select i.instance_id, printf('[ANSWER] %s', coalesce(t.title, '')) as answer
         from inst_id i left join titles t on i.label = t.prod_idx) a using (instance_id)
       join (select r.instance_id, string_agg(printf('[%6.3f] %s', r.score, coalesce(t.title, '')), chr(10) order by r.rank) as preds
-        from rk r left join titles t on r.prod_idx = t.prod_idx where r.rank <= 10 group by r.instance_id) pr using (instance_id)
-      where (outcome = 'positives' and case_no <= 100) or (outcome = 'negatives' and case_no <= 10000)""",
+        from rk r left join titles t on r.prod_idx = t.prod_idx where r.rank <= 10 group by r.instance_id) pr using (instance_id)""",
                  _P7_CTES + _scores_cte("last") + """,
 titles AS (select i.prod_idx, p.prod_nm as title from items i join product_raw p on i.prod_no = p.prod_no),
 numbered AS (select instance_id, case when hit = 1 then 'positives' else 'negatives' end as outcome,
@@ -570,7 +569,7 @@ numbered AS (select instance_id, case when hit = 1 then 'positives' else 'negati
 
 @register("k7_case_report", _report_oracle())
 def k7_case_report(spark: SparkSession, d: str) -> DataFrame:
-    """Case texts of the 'last' scorer, capped at 100 positives and 10000 negatives."""
+    """Case texts of the 'last' scorer, all positives and negatives."""
     t = _event_instances(spark, d)
     titles = t.items.join(fx.titles(spark, d), on=S.PRODUCT_NO).select(S.PROD_IDX, F.col(S.PRODUCT_NAME).alias("title"))
     return prediction_report(_saved_instances(t), _event_item_vectors(spark, d, t), titles, "last", TOP_K,
@@ -678,9 +677,8 @@ def j9_item_category_vectors(spark: SparkSession, d: str) -> DataFrame:
 @register("s5_order_extract", O.sql("""select timestamp, action_type, prod_no, search_keyword, m_id, event_id
   from useraction where action_type like 'O%'"""))
 def s5_order_extract(spark: SparkSession, d: str) -> DataFrame:
-    """Order rows of log files within a size band (here: up to 1 GiB)."""
-    log = fx.useraction(spark, d, with_file_size=True)
-    return extract_orders(log, 0, 1 << 30, size_col="file_size")
+    """Order rows of all log files."""
+    return extract_orders(fx.useraction(spark, d, with_file_size=True), size_col="file_size")
 
 
 @register("s6_search_words", O.sql("select word from search_words"))

@@ -70,8 +70,24 @@ def read_metadata(spark: SparkSession, path: str, entity: str | None = None) ->
 
 
 def read_csv_parts(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """S3: all ``*.csv`` parts of a directory with headers, as one DataFrame."""
-    return read_csv_with_header(spark, path, schema, glob="*.csv")
+    """S3: all ``*.csv`` parts of a directory with headers, as one DataFrame.
+
+    Parts are aligned by column name: files are grouped by their header line
+    (one row per file reaches the driver, as in Spark's own file listing), each
+    group is read with its own header, and U1 puts the groups together.
+    """
+    lines = (spark.read.option("pathGlobFilter", "*.csv").text(path)
+             .select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at")))
+    # a file's first block is read in order by one task, so its first line comes first
+    heads = lines.where("at = 0").groupBy("file").agg(F.first("value").alias("head")).collect()
+    groups: dict[str, list[str]] = {}
+    for r in heads:
+        groups.setdefault(r.head, []).append(r.file)
+    if len(groups) < 2:
+        return read_csv_with_header(spark, path, schema, glob="*.csv")
+    reader = spark.read.options(**CSV_OPTIONS).option("header", True)
+    df = union_by_name([reader.csv(sorted(files)) for _, files in sorted(groups.items())])
+    return _cast_by_name(df, schema) if schema is not None else df
 
 
 def union_by_name(frames: Iterable[DataFrame]) -> DataFrame:
@@ -89,16 +105,17 @@ def read_behaviours(spark: SparkSession, path: str, columns: list[str] | None =
     return df.select(*columns) if columns else df
 
 
-# The size band of the log parts that hold orders (13 MiB < size <= 17 MiB).
+# The size band of one export's log parts that hold orders (13 MiB < size <= 17 MiB).
 ORDER_PARTS_MIN_BYTES, ORDER_PARTS_MAX_BYTES = 13 * 2 ** 20, 17 * 2 ** 20
 
 
-def extract_orders(log: DataFrame, min_bytes: int | None = ORDER_PARTS_MIN_BYTES,
-                   max_bytes: int | None = ORDER_PARTS_MAX_BYTES, action: str = "O",
+def extract_orders(log: DataFrame, min_bytes: int | None = None, max_bytes: int | None = None, action: str = "O",
                    size_col: str = "_metadata.file_size") -> DataFrame:
-    """Log rows whose action type starts with ``action``, only from files of
-    ``min_bytes < size <= max_bytes`` (the size band selects one export's parts;
-    ``None`` leaves that side open).
+    """Log rows whose action type starts with ``action``.
+
+    Every file counts unless the caller names a band: then only files of
+    ``min_bytes < size <= max_bytes`` (``ORDER_PARTS_*`` is the band that
+    selects one export's parts).
 
     ``size_col`` is the file size: the hidden ``_metadata.file_size`` of a file
     source, or a column carrying it.

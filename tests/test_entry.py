@@ -12,7 +12,7 @@ ORACLES = E.oracle_sql()
 
 def test_entry_flagship(spark):
     df = E.entry(spark)
-    assert df.count() == 129
+    assert df.count() == len(duck(E.FLAGSHIP_SF).execute(ORACLES["p1_feature_clicks"]).fetchall())
     assert len(df.columns) == 19
 
 

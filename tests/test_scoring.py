@@ -15,7 +15,7 @@ def test_blocked_topk_equals_brute_force(spark):
     qdf = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(q)], "instance_id long, session array<double>")
     idf = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(it)], "prod_idx int, vector array<double>")
     # tiny blocks: 4 query blocks x 6 item blocks
-    res = top_k_scores(qdf, idf, 7, query_block=10, item_block=10, chunk=3)
+    res = top_k_scores(qdf, idf, 7, block_bytes=400, least_queries=10, chunk=3)
     got = {}
     for r in res.top.collect():
         got.setdefault(r.instance_id, []).append((r.rank, r.prod_idx))
@@ -61,8 +61,8 @@ def test_blocks_meet_without_coalescing(spark):
         idf = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(it)],
                                     "prod_idx int, vector array<double>")
         qdf = idf.select(F.col("prod_idx").cast("long").alias("instance_id"), F.col("vector").alias("session"))
-        for qb, ib in ((100, 100), (7, 11)):
-            res = top_k_scores(qdf, idf, 3, query_block=qb, item_block=ib)
+        for size in (1 << 20, 256):
+            res = top_k_scores(qdf, idf, 3, block_bytes=size, least_queries=7)
             assert res.top.count() == 90 and res.lse.count() == 30
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
