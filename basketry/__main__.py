@@ -32,9 +32,10 @@ def main(argv: list[str] | None = None) -> None:
     i = sub.add_parser("instances", help="P4 instance building")
     i.add_argument("orders_path")
     i.add_argument("output_dir")
-    for a in ("--blacklist-path", "--clicks-path", "--categories-path", "--embedding-dir"):
+    for a in ("--blacklist-path", "--clicks-path", "--categories-path", "--embedding-dir", "--titles-dir"):
         i.add_argument(a)
     i.add_argument("--version", default="6w")
+    i.add_argument("--strict", action="store_true", help="fail on an item without a vector")
     for a, d in (("--item-cut", 1), ("--min-orders", 4), ("--max-orders", 8), ("--max-clicks", 16)):
         i.add_argument(a, type=int, default=d)
 
@@ -42,7 +43,8 @@ def main(argv: list[str] | None = None) -> None:
     t.add_argument("product_path")
     t.add_argument("output_dir")
     t.add_argument("--vector-size", type=int, default=64)
-    t.add_argument("--window", type=int, default=2)
+    t.add_argument("--learned", action="store_true", help="train Word2Vec instead of hashing tokens")
+    t.add_argument("--window", type=int, default=2, help="of the learned model")
 
     e = sub.add_parser("evaluate", help="P7 recommend and evaluate")
     e.add_argument("data_dir")
@@ -63,6 +65,7 @@ def main(argv: list[str] | None = None) -> None:
     m.add_argument("--seed", type=int, default=0)
     m.add_argument("--jdbc-url")
     m.add_argument("--single-file", action="store_true")
+    m.add_argument("--extend", action="store_true", help="codes for members that the given mapping lacks")
 
     o = sub.add_parser("orders", help="P8 order rows of the log")
     o.add_argument("useraction_dir")

@@ -32,7 +32,7 @@ def action_type_code(raw: str) -> str:
     """'order'/'o' -> 'O', 'click'/'c' -> 'C', 'all'/'a' -> 'A' (case-insensitive) (F2)."""
     code = ACTION_ALIASES.get(raw.lower())
     if code is None:
-        raise ValueError(f"{raw} is not a proper action type!")
+        raise ValueError(f"unknown action type {raw!r}; use order, click or all")
     return code
 
 

@@ -49,23 +49,34 @@ RESULT_COLUMNS = ["table", "column", "rule", "violations"]
 def _rows(df: DataFrame, table: str, checks: list[tuple[str, str, Column]]) -> DataFrame:
     """One aggregate pass: count rows where each condition holds; one output row per check."""
     aggs = [F.sum(F.when(cond, 1).otherwise(0)).cast("long").alias(f"c{i}") for i, (_, _, cond) in enumerate(checks)]
-    wide = df.agg(*aggs)
-    parts = [wide.select(F.lit(table).alias("table"), F.lit(col).alias("column"), F.lit(rule).alias("rule"),
-                         F.coalesce(F.col(f"c{i}"), F.lit(0)).cast("long").alias("violations"))
-             for i, (col, rule, _) in enumerate(checks)]
-    return reduce(DataFrame.unionByName, parts)
+    rows = [F.struct(F.lit(table).alias("table"), F.lit(col).alias("column"), F.lit(rule).alias("rule"),
+                     F.coalesce(F.col(f"c{i}"), F.lit(0)).cast("long").alias("violations"))
+            for i, (col, rule, _) in enumerate(checks)]
+    return df.agg(*aggs).select(F.inline(F.array(*rows)))
 
 
-def primary_key_violations(df: DataFrame, table: str, key: str | None = None) -> DataFrame:
-    """Q1: rows whose key is null, rows whose key occurs more than once, NOT NULL columns."""
-    key = key or PRIMARY_KEYS[table]
+def _null_checks(table: str, key: str) -> list[tuple[str, str, Column]]:
+    return [(key, "null_key", F.col(key).isNull())] + [(c, "not_null", F.col(c).isNull()) for c in NOT_NULL.get(table, [])]
+
+
+def _duplicate_keys(df: DataFrame, table: str, key: str) -> DataFrame:
     per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    dup = per_key.where(F.col(key).isNotNull() & (F.col("_n") > 1)).agg(F.sum("_n").alias("c")) \
+    return per_key.where(F.col(key).isNotNull() & (F.col("_n") > 1)).agg(F.sum("_n").alias("c")) \
         .select(F.lit(table).alias("table"), F.lit(key).alias("column"), F.lit("duplicate_key").alias("rule"),
                 F.coalesce(F.col("c"), F.lit(0)).cast("long").alias("violations"))
-    nulls = [(key, "null_key", F.col(key).isNull())] + \
-        [(c, "not_null", F.col(c).isNull()) for c in NOT_NULL.get(table, [])]
-    return dup.unionByName(_rows(df, table, nulls))
+
+
+def _range_checks(df: DataFrame, table: str) -> list[tuple[str, str, Column]]:
+    checks = [(c, f"range {lo}..{hi}", F.col(c).isNotNull() & ~F.col(c).cast("long").between(lo, hi))
+              for c, (lo, hi) in RANGES.get(table, []) if c in df.columns]
+    return checks + [(c, f"length <= {n}", F.char_length(F.col(c)) > n)
+                     for c, n in MAX_LENGTHS.get(table, []) if c in df.columns]
+
+
+def primary_key_violations(df: DataFrame, table: str, key: str | None = None) -> DataFrame:
+    """Q1: rows whose key is null, rows whose key occurs more than once, NOT NULL columns."""
+    key = key or PRIMARY_KEYS[table]
+    return _duplicate_keys(df, table, key).unionByName(_rows(df, table, _null_checks(table, key)))
 
 
 def foreign_key_violations(tables: dict[str, DataFrame]) -> DataFrame:
@@ -84,15 +95,18 @@ def foreign_key_violations(tables: dict[str, DataFrame]) -> DataFrame:
 
 def range_violations(df: DataFrame, table: str) -> DataFrame:
     """Q3: values outside the unsigned range of their type, strings over their length."""
-    checks = [(c, f"range {lo}..{hi}", F.col(c).isNotNull() & ~F.col(c).cast("long").between(lo, hi))
-              for c, (lo, hi) in RANGES.get(table, []) if c in df.columns]
-    checks += [(c, f"length <= {n}", F.char_length(F.col(c)) > n)
-               for c, n in MAX_LENGTHS.get(table, []) if c in df.columns]
-    return _rows(df, table, checks)
+    return _rows(df, table, _range_checks(df, table))
 
 
 def all_violations(tables: dict[str, DataFrame]) -> DataFrame:
-    parts = [primary_key_violations(df, t) for t, df in tables.items() if t in PRIMARY_KEYS]
-    parts += [range_violations(df, t) for t, df in tables.items() if t in RANGES or t in MAX_LENGTHS]
-    parts.append(foreign_key_violations(tables))
+    """Q1-Q3 of all ``tables``: per table one aggregate for nulls, ranges and lengths and one
+    count per key; per foreign key with both tables present one anti join."""
+    parts = []
+    for t, df in tables.items():
+        key = PRIMARY_KEYS.get(t)
+        parts.append(_rows(df, t, (_null_checks(t, key) if key else []) + _range_checks(df, t)))
+        if key:
+            parts.append(_duplicate_keys(df, t, key))
+    if any(c in tables and p in tables for c, _, p, _ in FOREIGN_KEYS):
+        parts.append(foreign_key_violations(tables))
     return reduce(DataFrame.unionByName, parts)

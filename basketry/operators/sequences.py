@@ -155,8 +155,8 @@ def remove_repeats(df: DataFrame, key: str, order: Sequence[str], value: str,
     """Drop a row when the previous row of the same key has the same ``value``."""
     ctx = sequence_context(df, key, order, value, history=1, history_col="_prev", pos_col="_pos",
                            partitions=partitions)
-    keep = (F.size("_prev") == 0) | (F.element_at("_prev", -1) != F.col(value)) | F.col(value).isNull() \
-        | F.element_at("_prev", -1).isNull()
+    keep = (F.size("_prev") == 0) | (F.try_element_at("_prev", F.lit(-1)) != F.col(value)) | F.col(value).isNull() \
+        | F.try_element_at("_prev", F.lit(-1)).isNull()
     return ctx.where(keep).drop("_prev", "_pos")
 
 

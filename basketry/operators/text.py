@@ -1,9 +1,11 @@
-"""Titles as tokens and learned title vectors.
+"""Titles as tokens and title vectors.
 
 Tokens are runs of Unicode letters and digits, lower-cased; an optional
-stop-word list is removed in the same expression. Vectors are learned with
-MLlib's distributed Word2Vec; a title's vector is the mean of its word
-vectors, so unseen titles get vectors from the same model.
+stop-word list is removed in the same expression. A title's vector is the mean
+of its token vectors. Token vectors are by default the bytes of the token's
+hash: no model, no vocabulary on the driver, any title at any time. MLlib's
+Word2Vec is the learned option (its vocabulary x vector size is held by the
+driver); unseen titles get vectors from the same model.
 """
 
 from __future__ import annotations
@@ -31,10 +33,28 @@ def tokenize(df: DataFrame, column: str = S.PRODUCT_NAME, out: str = "tokens",
     return df.withColumn(out, F.filter(tokens, keep))
 
 
+def hashed_title_vectors(docs: DataFrame, id_col: str = S.PRODUCT_NO, tokens: str = "tokens",
+                         vector_size: int = VECTOR_SIZE) -> DataFrame:
+    """T2/T3 without training: ``(id, vector array<double>)``.
+
+    Component j of a token is byte j mod 16 of ``md5(token:j div 16)``, mapped
+    to (byte - 127.5) / 127.5. The byte sums are whole numbers, so a vector does
+    not depend on the order of the tokens. A title without tokens has zeros.
+    """
+    blocks = F.array(*[F.lit(f":{b}") for b in range((vector_size + 15) // 16)])
+    hexes = F.transform(tokens, lambda t: F.array_join(F.transform(blocks, lambda b: F.md5(F.concat(t, b))), ""))
+    at = F.sequence(F.lit(0), F.lit(vector_size - 1))
+    byte = lambda h, j: F.conv(F.substring(h, j * 2 + 1, F.lit(2)), 16, 10).cast("long")
+    n = F.size(tokens)
+    total = lambda j: F.aggregate("_hex", F.lit(0).cast("long"), lambda acc, h: acc + byte(h, j))
+    mean = lambda j: F.when(n > 0, (total(j) * 2 - n * 255) / (n * F.lit(255.0))).otherwise(F.lit(0.0))
+    return docs.withColumn("_hex", hexes).select(id_col, F.transform(at, mean).alias("vector"))
+
+
 def train_title_model(docs: DataFrame, tokens: str = "tokens", vector_size: int = VECTOR_SIZE,
                       window: int = WINDOW, min_count: int = MIN_COUNT, epochs: int = EPOCHS,
                       step_size: float = STEP_SIZE, seed: int = 42, partitions: int | None = None) -> Word2VecModel:
-    """Distributed Word2Vec over the token lists (training split over ``partitions``)."""
+    """T2, learned: distributed Word2Vec over the token lists (training split over ``partitions``)."""
     n = partitions or docs.sparkSession.sparkContext.defaultParallelism
     w2v = Word2Vec(vectorSize=vector_size, windowSize=window, minCount=min_count, maxIter=epochs,
                    stepSize=step_size, seed=seed, numPartitions=n, inputCol=tokens, outputCol="_vec")

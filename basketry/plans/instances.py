@@ -13,7 +13,7 @@ from ..operators import filters as flt
 from ..operators.categories import item_categories
 from ..operators.indexing import dense_index
 from ..operators.joins import to_index
-from ..operators.sequences import (TEST, TRAINING, VALIDATION, attach_yesterday_clicks, daily_last_clicks,
+from ..operators.sequences import (attach_yesterday_clicks, daily_last_clicks,
                                    order_instances)
 
 # Default instance parameters.
@@ -90,5 +90,3 @@ def instance_stats(tables: InstanceTables) -> DataFrame:
     ]
     return reduce(DataFrame.unionByName, parts)
 
-
-SPLITS = (TRAINING, VALIDATION, TEST)

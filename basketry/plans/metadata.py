@@ -50,7 +50,7 @@ def prepare_metadata(which: Iterable[str] = (), *, users: DataFrame | None = Non
                      valid_products: DataFrame | None = None, search_words: DataFrame | None = None,
                      category: DataFrame | None = None, deal_item: DataFrame | None = None,
                      prod_category: DataFrame | None = None, prepared_product: DataFrame | None = None,
-                     seed: int = 0, filter_words: Iterable[str] = flt.FILTER_WORDS) -> dict[str, DataFrame]:
+                     seed: int = 0, filter_words: Iterable[str] = flt.FILTER_WORDS, extend: bool = False) -> dict[str, DataFrame]:
     """The selected entities (all when none named), each as a prepared DataFrame.
 
     deal_item and prod_category need the prepared product table: the one made
@@ -62,7 +62,7 @@ def prepare_metadata(which: Iterable[str] = (), *, users: DataFrame | None = Non
         raise ValueError(f"unknown entities: {sorted(unknown)}")
     out: dict[str, DataFrame] = {}
     if "user" in chosen:
-        out["user"] = prepare_user(users, seed, mapping)
+        out["user"] = prepare_user(users, seed, mapping, extend)
     if "product" in chosen:
         out["product"] = prepare_product(product, valid_products, search_words, filter_words)
     if "category" in chosen:

@@ -612,16 +612,34 @@ def t1_title_tokens(spark: SparkSession, d: str) -> DataFrame:
     return docs.select(S.PRODUCT_NO, F.array_join("tokens", " ").alias("tokens"))
 
 
-@register("t2_title_vectors")
+_TITLE_VECTOR_CTES = r"""title_tokens AS (select prod_no,
+    regexp_extract_all(lower(coalesce(prod_nm, '')), '[\p{L}\p{N}]+') as tokens from product_raw),
+title_bytes AS (select prod_no, len(tokens) as n, j, cast(coalesce(list_sum(list_transform(tokens, lambda t:
+    cast('0x' || substr(md5(t || ':' || (j // 16)), 2 * (j % 16) + 1, 2) as int))), 0) as bigint) as total
+  from title_tokens, (select unnest(range(64)) as j)),
+title_components AS (select prod_no, j, case when n > 0 then cast(total * 2 - n * 255 as double) / (n * 255.0::double)
+    else 0.0::double end as v from title_bytes),
+title_vectors AS (select prod_no, list(v order by j) as vector from title_components group by prod_no)"""
+
+
+@register("t2_title_vectors", O.sql("""select prod_no, cast(j as int) as position, round(v, 6) + 0.0 as value
+  from title_components""", _TITLE_VECTOR_CTES))
 def t2_title_vectors(spark: SparkSession, d: str) -> DataFrame:
-    """Word2Vec title vectors for every product (rows-only check)."""
-    return item_title_vectors(fx.product_raw(spark, d)).select(S.PRODUCT_NO, "vector")
+    """Title vectors of every product, one row per component."""
+    vecs = item_title_vectors(fx.product_raw(spark, d))
+    return vecs.select(S.PRODUCT_NO, F.posexplode("vector").alias("position", "value")) \
+        .withColumn("value", _rounded("value"))
 
 
-@register("p6_title_neighbours")
+@register("p6_title_neighbours", O.sql("""select cast(query_item as bigint) as query_item, cast(prod_idx as int) as prod_idx,
+    round(sim, 6) + 0.0 as similarity, cast(rank as int) as rank from (select *, row_number() over
+    (partition by query_item order by round(sim, 6) desc, prod_idx) as rank from
+    (select a.prod_no as query_item, b.prod_no as prod_idx, list_cosine_similarity(a.vector, b.vector) as sim
+     from title_vectors a cross join title_vectors b)) where rank <= 11""", _TITLE_VECTOR_CTES))
 def p6_title_neighbours(spark: SparkSession, d: str) -> DataFrame:
-    """11 nearest titles of every product by learned title vector (rows-only check)."""
-    return title_neighbours(item_title_vectors(fx.product_raw(spark, d)).select(S.PRODUCT_NO, "vector"))
+    """11 nearest titles of every product by title vector."""
+    vecs = item_title_vectors(fx.product_raw(spark, d)).select(S.PRODUCT_NO, "vector")
+    return title_neighbours(vecs, rank_decimals=RANK_DECIMALS).withColumn("similarity", _rounded("similarity"))
 
 
 @register("t10_padded_histories", O.sql("""select instance_id,

@@ -2,21 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from .. import schemas as S
-from ..operators.text import title_vectors, tokenize, train_title_model
+from ..operators.text import VECTOR_SIZE, hashed_title_vectors, title_vectors, tokenize, train_title_model
 from .recommend import similar_items
 
 
-def item_title_vectors(products: DataFrame, stop_words=(), seed: int = 42, **params) -> DataFrame:
-    """Tokens, a title model and one vector per product ``(prod_no, title, vector)``."""
-    docs = tokenize(products.select(S.PRODUCT_NO, S.PRODUCT_NAME), stop_words=stop_words)
-    model = train_title_model(docs, seed=seed, **params)
-    vecs = title_vectors(model, docs)
-    return vecs.join(products.select(S.PRODUCT_NO, products[S.PRODUCT_NAME].alias("title")), on=S.PRODUCT_NO)
+def item_title_vectors(products: DataFrame, stop_words=(), vector_size: int = VECTOR_SIZE, learned: bool = False,
+                       seed: int = 42, **params) -> DataFrame:
+    """Tokens and one vector per product row ``(prod_no, title, vector)``.
 
+    Hashed token vectors by default (one projection, no shuffle); ``learned``
+    trains Word2Vec with ``seed`` and ``params`` (window, epochs, ...) instead.
+    """
+    docs = tokenize(products.select(S.PRODUCT_NO, products[S.PRODUCT_NAME].alias("title")), "title", stop_words=stop_words)
+    keyed = docs.withColumn("_key", F.struct(S.PRODUCT_NO, "title"))
+    if learned:
+        vecs = title_vectors(train_title_model(docs, vector_size=vector_size, seed=seed, **params), keyed, "_key")
+    else:
+        vecs = hashed_title_vectors(keyed, "_key", vector_size=vector_size)
+    return vecs.select("_key.*", "vector")
 
-def title_neighbours(vectors: DataFrame, k: int = 11, exclude_self: bool = False) -> DataFrame:
+
+def title_neighbours(vectors: DataFrame, k: int = 11, exclude_self: bool = False,
+                     rank_decimals: int | None = None) -> DataFrame:
     """T4 over title vectors keyed by product number."""
-    return similar_items(vectors.withColumnRenamed(S.PRODUCT_NO, S.PROD_IDX), k, exclude_self)
+    return similar_items(vectors.withColumnRenamed(S.PRODUCT_NO, S.PROD_IDX), k, exclude_self, rank_decimals)

@@ -182,6 +182,14 @@ def read_lookup(spark: SparkSession, ids_path: str, titles_path: str | None = No
     return df.groupBy(S.PRODUCT_NO).agg(last.alias("_r")).select(S.PRODUCT_NO, "_r.*")
 
 
+def read_vectors_tsv(spark: SparkSession, path: str) -> DataFrame:
+    """S8, keyed: the lines that ``sinks.export_vectors_tsv`` writes, as ``(prod_no, title, vector)``."""
+    parts = F.split("value", "\t", -1)
+    return spark.read.text(path).select(
+        parts[0].cast("int").alias(S.PRODUCT_NO), parts[1].alias("title"),
+        F.transform(F.slice(parts, F.lit(3), F.size(parts) - 2), lambda x: x.cast("double")).alias("vector"))
+
+
 def read_instances(spark: SparkSession, path: str, with_clicks: bool = False, split: str | None = None) -> DataFrame:
     """Saved instances (orders, label, optionally clicks), one split pruned by partition."""
     df = spark.read.parquet(path)

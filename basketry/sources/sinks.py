@@ -52,7 +52,10 @@ def save_case_report(report: DataFrame, path: str) -> None:
 
 def export_vectors_tsv(items: DataFrame, path: str, id_col: str = S.PRODUCT_NO, title_col: str = "title",
                        vector_col: str = "vector") -> None:
-    """K8: ``id <TAB> title <TAB> v1 <TAB> v2 ...`` lines (one text record per item)."""
+    """K8: ``id <TAB> title <TAB> v1 <TAB> v2 ...`` lines (one text record per item).
+
+    Tabs and line breaks inside a title become spaces, so every item is one line.
+    """
     vec = F.array_join(F.transform(vector_col, lambda x: x.cast("string")), "\t")
-    line = F.concat_ws("\t", F.col(id_col).cast("string"), F.coalesce(F.col(title_col), F.lit("")), vec)
+    line = F.concat_ws("\t", F.col(id_col).cast("string"), F.regexp_replace(F.coalesce(F.col(title_col), F.lit("")), r"[\t\r\n]", " "), vec)
     items.select(line.alias("value")).write.mode("overwrite").text(path)

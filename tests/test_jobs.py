@@ -12,6 +12,7 @@ from basketry.plans import jobs
 from basketry.plans import registry
 from basketry.plans.behaviour import aggregate_log
 from basketry.plans.metadata import prepare_product
+from basketry.sources import readers as R
 from basketry.sources import sinks as K
 from conftest import SF001
 
@@ -106,8 +107,39 @@ def test_metadata_and_titles_jobs(spark, files):
     vecs = jobs.titles_job(spark, os.path.join(files, "prepared", "product"), os.path.join(files, "titles"),
                            vector_size=8)
     assert vecs.count() == out["product"].count()
-    line = spark.read.text(os.path.join(files, "titles", "tsv")).first().value.split("\t")
-    assert len(line) == 2 + 8
+    back = R.read_vectors_tsv(spark, os.path.join(files, "titles", "tsv"))
+    assert _same(back, vecs) and {len(r.vector) for r in back.collect()} == {8}
+
+
+def test_titles_to_instances_to_evaluation(spark, files):
+    titles, out = os.path.join(files, "titles_all"), os.path.join(files, "instances_titles")
+    jobs.titles_job(spark, os.path.join(files, "meta", "product.csv"), titles)
+    jobs.instances_job(spark, os.path.join(files, "orders"), out, clicks_path=os.path.join(files, "clicks"),
+                       titles_dir=titles, strict=True)
+    items = spark.read.parquet(os.path.join(out, "items"))
+    assert items.count() == items.where("title is not null and size(vector) = 64").count() > 0
+    assert jobs.evaluate_job(spark, out, os.path.join(files, "eval_titles"), "average").count() >= 1
+
+
+def test_member_mapping_is_stored_and_extended(spark, files):
+    def users(name, ids):
+        path = os.path.join(files, name)
+        K.write_csv(spark.createDataFrame([("F", 30, i) for i in ids], "sex string, age int, m_id string").select(
+            F.lit(1).alias(S.SEX), F.col("age").alias(S.AGE), F.col("m_id").alias(S.MEMBER_ID)), path)
+        return path
+
+    def run(source, name, **more):
+        out = os.path.join(files, name)
+        jobs.metadata_job(spark, source, out, ("user",), **more)
+        rows = spark.read.option("header", True).csv(os.path.join(out, "comp_mid")).collect()
+        bad = {(r["column"], r.rule): int(r.violations) for r in spark.read.option("header", True).csv(os.path.join(out, "constraints")).collect()}
+        return os.path.join(out, "comp_mid"), {r[S.MEMBER_ID]: r[S.COMP_MEMBER_ID] for r in rows}, bad
+
+    path, first, bad = run({"user": users("u1", ["B", "D", None])}, "codes1")
+    assert set(first) == {"B", "D"} and bad[S.MEMBER_ID, "left out, no id"] == 1
+    path, second, bad = run({"user": users("u2", ["A", "C", "D"]), "comp_mid": path}, "codes2", extend=True)
+    assert set(second) == {"A", "B", "C", "D"} and len(set(second.values())) == 4
+    assert all(second[k] == v for k, v in first.items()) and bad[S.COMP_MEMBER_ID, "duplicate_key"] == 0
 
 
 def test_command_line(spark, files):
