@@ -38,10 +38,13 @@ def evaluate(instances: DataFrame, item_vectors: DataFrame, modes: tuple[str, ..
              k: int = DEFAULT_TOP_K, rank_decimals: int | None = None, id_col: str = "instance_id") -> DataFrame:
     """Per scorer and split the scored instances, hit-rate@k (A9) and mean loss (A10).
 
-    All scorers share one vector lookup and one blocked scoring pass, keyed
-    by (scorer, instance).
+    Both metrics cover the same instances: those with a session vector and a
+    label that has an item vector. ``left_out`` counts the split's others. All
+    scorers share one vector lookup and one blocked scoring pass, keyed by
+    (scorer, instance).
     """
-    labels = instances.select(id_col, "label", "split")
+    every = instances.select(id_col, "label", "split")
+    labels = every.join(item_vectors.select(F.col(S.PROD_IDX).alias("label")), on="label", how="left_semi")
     sess = session_vectors_by_mode(instances, item_vectors, tuple(modes), id_col)
     res = top_k_scores(sess, item_vectors, k, id_col, rank_decimals=rank_decimals, group_col="scorer")
     h = ev.hits(res.top, labels, id_col, group_cols=("scorer",)).join(labels.select(id_col, "split"), on=id_col)
@@ -50,7 +53,11 @@ def evaluate(instances: DataFrame, item_vectors: DataFrame, modes: tuple[str, ..
                              group_cols=("scorer",))
             .join(labels.select(id_col, "split"), on=id_col)
             .groupBy("scorer", "split").agg(F.avg("loss").alias("loss")))
-    return rate.join(loss, on=["scorer", "split"], how="left").select("scorer", "split", "instances", "hit_rate", "loss")
+    total = every.groupBy("split").agg(F.count(F.lit(1)).alias("_all")) \
+        .withColumn("scorer", F.explode(F.array(*[F.lit(m) for m in modes])))
+    scored = F.coalesce("instances", F.lit(0))
+    return (total.join(rate, on=["scorer", "split"], how="left").join(loss, on=["scorer", "split"], how="left")
+            .select("scorer", "split", scored.alias("instances"), "hit_rate", "loss", (F.col("_all") - scored).alias("left_out")))
 
 
 def prediction_report(instances: DataFrame, item_vectors: DataFrame, titles: DataFrame, mode: str = "last",

@@ -26,7 +26,7 @@ from ..operators.sequences import attach_yesterday_clicks, daily_last_clicks
 from ..operators.text import tokenize
 from ..operators.vectors import sequence_vectors
 from ..session import materialize
-from ..sources.readers import extract_orders, extract_search_words
+from ..sources.readers import extract_orders, extract_search_words, union_by_name
 from . import fixtures as fx
 from . import oracles as O
 from .behaviour import aggregate_log
@@ -642,6 +642,16 @@ def p6_title_neighbours(spark: SparkSession, d: str) -> DataFrame:
     return title_neighbours(vecs, rank_decimals=RANK_DECIMALS).withColumn("similarity", _rounded("similarity"))
 
 
+@register("u1_union_by_name", O.sql("""select event_id, timestamp, action_type, m_id, prod_no from useraction where action_type = 'O'
+  union all select event_id, timestamp, action_type, m_id, null from useraction where action_type <> 'O'"""))
+def u1_union_by_name(spark: SparkSession, d: str) -> DataFrame:
+    """Log parts whose columns come in another order, one part without ``prod_no``."""
+    log = fx.useraction(spark, d)
+    orders = log.where("action_type = 'O'").select("event_id", S.TIMESTAMP, S.ACTION_TYPE, S.MEMBER_ID, S.PRODUCT_NO)
+    others = log.where("action_type <> 'O'").select(S.MEMBER_ID, S.ACTION_TYPE, S.TIMESTAMP, "event_id")
+    return union_by_name([orders, others])
+
+
 @register("t10_padded_histories", O.sql("""select instance_id,
     array_to_string(list_concat(hist, list_transform(range(mx - len(hist)), lambda x: 0)), ',') as sequence, label
   from inst_id, (select max(len(hist)) as mx from inst_id)""", _P7_CTES))

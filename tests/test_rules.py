@@ -1,12 +1,19 @@
 """Decided semantics of SURVEY §5.1 not covered elsewhere (#6, #7, #15, #17, #19)."""
 
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
 from basketry.operators.filters import clean_tags
 from basketry.operators.indexing import member_codes
+from basketry.plans import fixtures as fx
+from basketry.plans import registry
+from basketry.plans.behaviour import aggregate_log
+from basketry.plans.feature import sort_log
 from basketry.plans.instances import build_instances, item_table
-from basketry.plans.recommend import similar_items
+from basketry.plans.recommend import evaluate, similar_items
+from conftest import SF001
 
 
 def test_users_counted_before_item_cut(spark):
@@ -29,6 +36,27 @@ def test_item_without_vector(spark):
         item_table(items, vectors=vecs, strict=True).collect()
 
 
+def test_hit_rate_and_loss_cover_the_same_instances(spark):
+    inst = spark.createDataFrame([(1, [0], 0, "test"), (2, [0], 1, "test"), (3, [1], 0, "test"), (4, [1], 1, "late")],
+                                 "instance_id long, orders array<int>, label int, split string")
+    vecs = spark.createDataFrame([(0, [1.0, 0.0]), (2, [0.0, 1.0])], "prod_idx int, vector array<double>")
+    got = {r.split: r for r in evaluate(inst, vecs, ("last",), 1).collect()}
+    assert (got["test"].instances, got["test"].hit_rate, got["test"].left_out) == (1, 100.0, 2)
+    assert got["test"].loss == pytest.approx(math.log(math.e + 1) - 1)
+    assert (got["late"].instances, got["late"].hit_rate, got["late"].loss, got["late"].left_out) == (0, None, None, 1)
+
+
+def test_sorted_outputs_are_sorted(spark):
+    times = [r.timestamp for r in registry.p1_feature_clicks(spark, SF001).collect()]
+    assert times == sorted(times) and len(times) > 0
+    for column in ("timestamp", "action_type"):
+        values = [r[column] for r in sort_log(fx.useraction(spark, SF001), column).collect()]
+        assert values == sorted(values) and len(values) == 1000
+    log = aggregate_log(fx.order_log(spark, SF001)).collect()
+    keys = [(r.comp_mid, r.timestamp) for r in log]
+    assert keys == sorted(keys) and len(keys) > 0
+
+
 def test_filter_word_with_space_is_exact(spark):
     prods = spark.createDataFrame([(1, "금 천구,금천구,x")], "prod_no int, deal_construction string")
     words = spark.createDataFrame([("금 천구",), ("금천구",), ("x",)], "word string")
