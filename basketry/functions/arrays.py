@@ -36,10 +36,6 @@ def dot(a: str | Column, b: str | Column) -> Column:
     return F.aggregate(prods, F.lit(0.0), lambda acc, x: acc + x)
 
 
-def vec_add(a: str | Column, b: str | Column) -> Column:
-    return F.zip_with(_c(a), _c(b), lambda x, y: x + y)
-
-
 def vec_scale(a: str | Column, s: Column) -> Column:
     return F.transform(_c(a), lambda x: x * s)
 
