@@ -1,18 +1,21 @@
 """Language-model scores from a probabilistic suffix tree, with unigram counts beside it.
 
 The model reads a text as its words (A-Z lower-cased, one space between, a
-line feed as the end) byte by byte. Contexts of up to ``DEPTH`` bytes are
-counted over all training documents; a context becomes a state when it makes
-up at least ``MIN_SHARE`` of all positions and its next-byte distribution
-diverges from that of its longest proper suffix by ``DIVERGENCE`` nats or
-more (with its suffixes, so that every state is reached). Distributions are
-smoothed towards the suffix state's. A byte is scored in the longest state
-that is a suffix of what stands before it, never across the text's start.
-
-``MIN_SHARE`` bounds the model: at most DEPTH / MIN_SHARE states whatever the
-corpus, so it can be collected and broadcast. The unigram counts are not
-bounded and stay distributed: each chunk sends its distinct word hashes with
-training counts to hash buckets, once each, and gets the totals back.
+line feed as the end) character by character. Contexts of up to ``DEPTH``
+whole characters, which may reach to the text's start but not over it, are
+counted over all training documents; a context becomes a state when it was
+seen ``MIN_COUNT`` times or more, however large the corpus, and its
+next-character distribution diverges from that of its longest proper suffix
+by ``DIVERGENCE`` nats or more (with its suffixes, so that every state is
+reached). Distributions are smoothed towards the suffix state's, the empty
+state's towards all code points alike. A character is scored in the longest
+state that is a suffix of what stands before it.
+
+Neither the states nor the unigram counts are bounded, so both stay
+distributed. Each chunk of documents sends its distinct word hashes with
+training counts to hash buckets, and its distinct windows (context and next
+character) with training counts to the states' tables, once each; it gets
+totals and log probabilities back.
 
 The order of rows within input partitions must not change between retries
 (see jaccard_join). Defined cases: a null or empty text is the end token
@@ -29,77 +32,113 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .arrays import blob, chunks, of, runs, stretches, utf8, word_hashes, words
-from .common import remainder, ship, shipped, stored
+from .arrays import PLACES, blob, chunks, mix, of, runs, stretches, utf8, word_hashes, words
+from .common import remainder, stored
 from .jaccard_join import MESSAGE, _message
 
-DEPTH, MIN_SHARE, DIVERGENCE, PRIOR = 3, 1e-4, 0.02, 5.0
+DEPTH, MIN_COUNT, DIVERGENCE, PRIOR = 5, 10, 0.02, 5.0
+CODE_POINTS = 0x110000
 PER_BUCKET = 1 << 20
+#: Text per chunk; a larger one asks fewer windows again.
+LM_BYTES = 8 << 20
 END = 10
 
 
-def symbols(low: np.ndarray, offsets: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(bytes of the chunk with a line feed before it and after each document, places of the latter)."""
+def flat(low: np.ndarray, offsets: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: np.ndarray) -> bytes:
+    """The chunk's words with a space between and a line feed after each document."""
     n_docs = len(offsets) - 1
     lengths = np.diff(offsets)
     shift = np.repeat(np.arange(n_docs), lengths)
     out = np.zeros(len(low) + n_docs, dtype=np.uint8)
-    keep = np.zeros(len(out), dtype=bool)
-    out[np.arange(len(low)) + shift] = np.maximum(low, 1)  # a NUL byte is read as 1; 0 means no symbol
+    out[np.arange(len(low)) + shift] = low
     stops = offsets[1:] + np.arange(n_docs)
     doc = np.repeat(np.arange(n_docs), np.diff(first))
     # word bytes, from +1 at starts and -1 at ends
     step = np.zeros(len(out) + 1, dtype=np.int8)
     step[starts + doc] += 1
     step[ends + doc] -= 1
-    keep |= np.cumsum(step[:-1], dtype=np.int8) > 0
+    keep = np.cumsum(step[:-1], dtype=np.int8) > 0
     gaps = (ends + doc)[:-1][doc[1:] == doc[:-1]] if len(doc) else np.zeros(0, dtype=np.int64)
     out[gaps], keep[gaps] = 32, True
     out[stops], keep[stops] = END, True
-    x = np.concatenate([np.array([END], dtype=np.uint8), out[keep]])
-    return x, np.cumsum(keep)[stops]
-
-
-def codes(x: np.ndarray, depth: int) -> np.ndarray:
-    """(context, next) of every position after the first, eight bits a symbol; 0 stands before a text's start."""
-    code = x[1:].astype(np.uint64)
-    open_ = np.ones(len(x) - 1, dtype=bool)
+    return out[keep].tobytes()
+
+
+def symbols(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(code points of ``flat`` with a line feed before them, places of those after each document)."""
+    x = np.frombuffer(("\n" + text.decode("utf-8", "replace")).encode("utf-32-le"), dtype=np.uint32)
+    x = np.maximum(x, 1)  # a NUL is read as 1; 0 means no symbol
+    return x, np.flatnonzero(x == END)[1:]
+
+
+def windows(x: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, length) of the window that ends at every symbol after the first: its context, back to the text's start, and itself."""
+    with np.errstate(over="ignore"):
+        n = len(x) - 1
+        key = x[1:] * PLACES[0]
+        length = np.ones(n, dtype=np.uint8)
+        open_ = np.ones(n, dtype=bool)
+        for d in range(1, depth + 1):
+            back = np.zeros(n, dtype=np.uint64)
+            back[d - 1:] = x[:len(x) - d]
+            back *= open_
+            length += open_
+            open_ &= back != END
+            back *= PLACES[d]
+            key += back
+        return mix(key), length
+
+
+def numbered(key: np.ndarray) -> tuple[np.ndarray, int]:
+    """(number of each key by first occurrence, distinct keys)."""
+    got = pa.array(key).dictionary_encode()
+    return got.indices.to_numpy(), len(got.dictionary)
+
+
+def window_texts(x: np.ndarray, length: np.ndarray, at: np.ndarray, depth: int) -> pa.Array:
+    """The windows that end at symbols ``at`` as strings."""
+    out = np.zeros((len(at), depth + 1), dtype=np.uint32)
+    for j in range(depth + 1):
+        has = length[at] > j
+        out[has, j] = x[at[has] + 2 - length[at][has] + j]
+    return pa.array(out.view(f"<U{depth + 1}").ravel(), pa.string())
+
+
+def windows_scored(windows: DataFrame, depth: int = DEPTH, min_count: int = MIN_COUNT, divergence: float = DIVERGENCE, prior: float = PRIOR) -> DataFrame:
+    """(window, logp) from (window, n): the last character's log10 probability in the longest state that ends before it."""
+    total = stored(windows.groupBy("window").agg(F.sum("n").alias("n")), "lm-windows")
+    of_length = lambda d: total.where(F.length("window") == d + 1).select(F.col("window").alias("sub"), "n")
+    context, suffix = F.expr("left(sub, length(sub) - 1)"), F.expr("substring(sub, 2)")
+    levels, deeper = {}, None
+    for d in range(depth, -1, -1):  # counts of (context, next) by context length, each from the one above
+        level = of_length(d)
+        if deeper is not None:
+            level = level.unionAll(deeper.select(suffix.alias("sub"), "n")).groupBy("sub").agg(F.sum("n").alias("n"))
+        # a context has one row for each next character
+        levels[d] = deeper = stored(level.withColumn("context", context).withColumn("of", F.sum("n").over(Window.partitionBy("context"))), f"lm-level-{d}")
+    apart = []
     for d in range(1, depth + 1):
-        back = np.zeros(len(x) - 1, dtype=np.uint8)
-        back[d - 1:] = x[:len(x) - d]
-        code |= np.where(open_, back, 0).astype(np.uint64) << np.uint64(8 * d)
-        open_ &= back != END
-    return code
-
-
-def _summed(code: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(code, kind="stable")
-    code, count = code[order], count[order]
-    at = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
-    return code[at], np.add.reduceat(count, at)
-
-
-def context_counts(train: DataFrame, depth: int) -> DataFrame:
-    """(code, count) over all training texts."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code, count = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
-        batch_of = lambda: pa.RecordBatch.from_arrays([pa.array(code.astype(np.int64)), pa.array(count)], names=["code", "count"])
-        for batch in chunks(batches):
-            data, offsets = utf8(batch.column("text"))
-            low, starts, ends, first = words(data, offsets)
-            got = np.sort(codes(symbols(low, offsets, starts, ends, first)[0], depth))
-            at = np.flatnonzero(np.concatenate([[True], got[1:] != got[:-1]]))
-            code, count = _summed(np.concatenate([code, got[at]]), np.concatenate([count, np.diff(np.append(at, len(got)))]))
-            if len(code) > 2_000_000:
-                yield batch_of()
-                code, count = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
-        if len(code):
-            yield batch_of()
-
-    return train.mapInArrow(run, "code bigint, count bigint").groupBy("code").agg(F.sum("count").alias("count"))
+        up = levels[d - 1].where("n > 0").select(F.col("sub").alias("suffix"), (F.col("n") / F.col("of")).alias("q"))
+        apart.append(levels[d].where((F.col("of") >= min_count) & (F.col("n") > 0)).withColumn("suffix", suffix).join(up, "suffix")
+                     .groupBy("context").agg(F.expr("sum(n / of * ln(n / of / q))").alias("kl")).where(F.col("kl") >= divergence).select("context"))
+    states = apart[0]
+    for more in apart[1:]:
+        states = states.unionAll(more)
+    states = stored(states.select(F.explode(F.expr("transform(sequence(1, length(context)), k -> right(context, k))")).alias("context")).distinct().withColumn("state", F.lit(True)), "lm-states")
+    p = stored(levels[0].select("sub", ((F.col("n") + prior / CODE_POINTS) / (F.col("of") + prior)).alias("p")), "lm-p-0")
+    out = []
+    for d in range(1, depth + 1):
+        up = p.select(F.col("sub").alias("suffix"), F.col("p").alias("q"))
+        p = stored(levels[d].withColumn("suffix", suffix).join(up, "suffix").join(states, "context", "left")
+                   .select("sub", F.when(F.col("state"), (F.col("n") + prior * F.col("q")) / (F.col("of") + prior)).otherwise(F.col("q")).alias("p")), f"lm-p-{d}")
+        out.append(p if d == depth else p.where("startswith(sub, '\n')"))  # shorter windows begin at a text's start
+    scored = out[0]
+    for more in out[1:]:
+        scored = scored.unionAll(more)
+    return scored.select(F.col("sub").alias("window"), F.log10("p").cast("float").alias("logp"))
 
 
 class SuffixTree:
@@ -140,72 +179,71 @@ class SuffixTree:
         return total[ends[1:]] - total[ends[:-1]]
 
 
-def grow(train: DataFrame, depth: int = DEPTH, min_share: float = MIN_SHARE, divergence: float = DIVERGENCE) -> SuffixTree:
-    """Count, test and retain contexts; at most depth / min_share of them are collected."""
-    counts = stored(context_counts(train, depth), "contexts")
-    levels = [counts.select(F.lit(d).alias("d"), F.expr(f"shiftright(code, 8) & {256**d - 1}L").alias("context"), F.expr("code & 255L").alias("following"), "count")
-              for d in range(depth + 1)]
-    table = levels[0]
-    for level in levels[1:]:
-        table = table.unionAll(level)
-    # a context whose oldest symbol is 0 would reach back over a text's start
-    table = table.where("d = 0 or shiftright(context, 8 * (d - 1)) > 0").groupBy("d", "context", "following").agg(F.sum("count").alias("count"))
-    total = counts.agg(F.sum("count")).first()[0] or 0
-    sums = table.groupBy("d", "context").agg(F.sum("count").alias("of")).where(F.col("of") >= F.lit(min_share) * total)
-    rows = stored(table.join(sums, ["d", "context"]), "frequent-contexts")
-    up = rows.select((F.col("d") + 1).alias("d"), F.col("context").alias("suffix"), "following", (F.col("count") / F.col("of")).alias("q"))
-    apart = (rows.where("d > 0").withColumn("suffix", F.expr("context & (cast(power(256, d - 1) as bigint) - 1)"))
-             .join(up, ["d", "suffix", "following"])
-             .groupBy("d", "context").agg(F.expr("sum(count / of * ln(count / of / q))").alias("kl")).where(F.col("kl") >= divergence))
-    kept = {(r.d, r.context) for r in apart.select("d", "context").collect()}  # at most depth / min_share
-    kept |= {(k, c & (256**k - 1)) for d, c in kept for k in range(d)}
-    wanted = [(r.d, r.context, r.following, r["count"]) for r in rows.select("d", "context", "following", "count").collect() if not r.d or (r.d, r.context) in kept]
-    return SuffixTree(wanted, depth)
-
-
-def requests(bits: int, shared):
-    """Task: (doc_id, train, text) to messages: word hashes with training counts by bucket, and an own row per chunk."""
+ASKED = f"{MESSAGE}, windows array<string>, counts array<int>"
+
+
+def requests(bits: int, depth: int):
+    """Task: (doc_id, train, text) to messages: word hashes with training counts by bucket, and an own row per chunk with its text and windows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk, tree = TaskContext.get().partitionId() << 32, shipped(shared)
-        for batch in chunks(batches):
+        chunk = TaskContext.get().partitionId() << 32
+        for batch in chunks(batches, size=LM_BYTES):
             data, offsets = utf8(batch.column("text"))
             low, starts, ends, first = words(data, offsets)
             train = batch.column("train").to_numpy(zero_copy_only=False).astype(bool)
-            score = tree.scores(*symbols(low, offsets, starts, ends, first))
-            key = word_hashes(low, starts, ends)
-            key = key >> np.uint64(16 - bits) if bits < 16 else key
-            values, inverse = np.unique(key, return_inverse=True)
-            n = np.diff(first)
-            count = np.bincount(inverse[np.repeat(train, n)], minlength=len(values)).astype(np.uint32)
+            text = flat(low, offsets, starts, ends, first)
+            values, inverse = bucketed(low, starts, ends, bits)
+            count = np.bincount(inverse[np.repeat(train, np.diff(first))], minlength=len(values)).astype(np.uint32)
             wide = 48 + bits if bits < 16 else 64
             bucket = (values >> np.uint64(wide - bits)).astype(np.int64)
             out = [(int(bucket[a]), chunk, False, blob((values[a:b] >> np.uint64(16)).astype(np.uint32)), blob(values[a:b].astype(np.uint16)), blob(count[a:b]), None, None)
                    for a, b in stretches(bucket)]
-            ids = batch.column("doc_id")
-            info = np.column_stack([ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64), np.array(ids.is_valid()).astype(np.int64), n, score.view(np.int64)])
-            out.append(((chunk + 31 * (chunk >> 32)) % (1 << bits), chunk, True, blob(info), blob(inverse.astype(np.uint16)), blob((inverse >> 16).astype(np.uint8)), None, None))
             for k in range(0, len(out), 512):
-                yield _message(out[k:k + 512])
+                yield _asked(_message(out[k:k + 512]))
+            x, stops = symbols(text)
+            key, length = windows(x, depth)
+            number, n = numbered(key)
+            at = np.zeros(n, dtype=np.int64)
+            at[number[::-1]] = np.arange(len(number) - 1, -1, -1)
+            count = np.bincount(number[np.repeat(train, np.diff(stops, prepend=0))], minlength=n).astype(np.int32)
+            ids = batch.column("doc_id")
+            info = np.column_stack([ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64), np.array(ids.is_valid()).astype(np.int64)])
+            yield _asked(_message([(0, chunk, True, blob(info), text, None, None, None)]), window_texts(x, length, at, depth), count)
             chunk += 1
 
     return run
 
 
+def bucketed(low: np.ndarray, starts: np.ndarray, ends: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct word hashes in order, number of each word)."""
+    key = word_hashes(low, starts, ends)
+    return np.unique(key >> np.uint64(16 - bits) if bits < 16 else key, return_inverse=True)
+
+
+def _asked(messages: pa.RecordBatch, windows: pa.Array | None = None, count: np.ndarray | None = None) -> pa.RecordBatch:
+    if windows is None:
+        lists = [pa.nulls(messages.num_rows, pa.list_(pa.string())), pa.nulls(messages.num_rows, pa.list_(pa.int32()))]
+    else:
+        ends = pa.array([0, len(windows)], pa.int32())
+        lists = [pa.ListArray.from_arrays(ends, windows), pa.ListArray.from_arrays(ends, pa.array(count))]
+    return pa.RecordBatch.from_arrays([*messages.columns, *lists], names=[*messages.schema.names, "windows", "counts"])
+
+
+def told_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Task: (chunk, k, logp) sorted by chunk to one message per chunk."""
+    for chunk, table in runs(batches, "chunk"):
+        yield _message([(-1, int(chunk), False, blob(table.column("k").to_numpy()), blob(table.column("logp").to_numpy()), None, None, None)])
+
+
 def answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Task: messages by bucket to totals per chunk, in the order asked; one row of chunk -1 counts the bucket's known words."""
     for slot, table in runs(batches, "slot"):
-        out, asked = [], []
-        for r in table.to_pylist():
-            if r["own"]:
-                out.append((r["slot"], r["chunk"], True, r["p0"], r["p1"], r["p2"], None, None))
-            else:
-                asked.append(r)
+        out, asked = [], table.to_pylist()
         if asked:
             rest = np.concatenate([(of(r["p0"], np.uint32).astype(np.uint64) << np.uint64(16)) | of(r["p1"], np.uint16) for r in asked])
             count = np.concatenate([of(r["p2"], np.uint32) for r in asked])
             values, inverse = np.unique(rest, return_inverse=True)
             total = np.bincount(inverse, weights=count, minlength=len(values))
-            out.append((r["slot"], -1, False, blob(np.array([(total > 0).sum(), total.sum()], dtype=np.int64)), None, None, None, None))
+            out.append((int(slot), -1, False, blob(np.array([(total > 0).sum(), total.sum()], dtype=np.int64)), None, None, None, None))
             each, at = total[inverse].astype(np.int64), 0
             for r in asked:
                 size = len(r["p1"]) // 2
@@ -218,41 +256,54 @@ def answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 SCORED = "doc_id bigint, n bigint, known bigint, logs double, score double, words bigint, tokens bigint"
 
 
-def assembled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def assembled(bits: int, depth: int):
     """Task: answers by chunk to rows of documents; rows with ``words`` set are bucket totals instead."""
-    names = [c.split()[0] for c in SCORED.split(", ")]
-    for chunk, table in runs(batches, "chunk"):
-        rows = table.to_pylist()
-        if chunk == -1:
-            got = np.array([of(r["p0"], np.int64) for r in rows])
-            none = pa.nulls(len(rows))
-            yield pa.RecordBatch.from_arrays([none.cast(pa.int64())] * 3 + [none.cast(pa.float64())] * 2 + [pa.array(got[:, 0]), pa.array(got[:, 1])], names=names)
-            continue
-        own = next(r for r in rows if r["own"])
-        info = of(own["p0"], np.int64).reshape(-1, 4)
-        word = of(own["p1"], np.uint16).astype(np.int64) | (of(own["p2"], np.uint8).astype(np.int64) << 16)
-        # the chunk's distinct words were asked in hash order, bucket by bucket
-        parts = [of(r["p0"], np.int64) for r in sorted((r for r in rows if not r["own"]), key=lambda r: r["slot"])]
-        total = np.concatenate(parts) if parts else np.zeros(0, dtype=np.int64)
-        count = total[word]
-        ends = np.concatenate([[0], np.cumsum(info[:, 2])])
-        sums = lambda v: (lambda t: t[ends[1:]] - t[ends[:-1]])(np.concatenate([[0], np.cumsum(v)]))
-        none = pa.nulls(len(info)).cast(pa.int64())
-        yield pa.RecordBatch.from_arrays([
-            pa.array(info[:, 0], mask=info[:, 1] == 0), pa.array(info[:, 2]), pa.array(sums((count > 0).astype(np.int64))),
-            pa.array(sums(np.log10(count + 1.0))), pa.array(info[:, 3].copy().view(np.float64)), none, none], names=names)
-
-
-def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [c.split()[0] for c in SCORED.split(", ")]
+        for chunk, table in runs(batches, "chunk"):
+            rows = table.to_pylist()
+            if chunk == -1:
+                got = np.array([of(r["p0"], np.int64) for r in rows])
+                none = pa.nulls(len(rows))
+                yield pa.RecordBatch.from_arrays([none.cast(pa.int64())] * 3 + [none.cast(pa.float64())] * 2 + [pa.array(got[:, 0]), pa.array(got[:, 1])], names=names)
+                continue
+            own = next(r for r in rows if r["own"])
+            info = of(own["p0"], np.int64).reshape(-1, 2)
+            x, stops = symbols(own["p1"])
+            number, n = numbered(windows(x, depth)[0])
+            logs = np.full(n, np.nan, dtype=np.float32)
+            for r in rows:
+                if r["slot"] == -1:
+                    logs[of(r["p0"], np.int32)] = of(r["p1"], np.float32)
+            sums = lambda v, ends: (lambda t: t[ends[1:]] - t[ends[:-1]])(np.concatenate([[0], np.cumsum(v)]))
+            score = sums(logs[number].astype(np.float64), np.concatenate([[0], stops]))
+            data = np.frombuffer(own["p1"], dtype=np.uint8)
+            low, starts, ends, first = words(data, np.concatenate([[0], np.flatnonzero(data == END) + 1]))
+            # the chunk's distinct words were asked in hash order, bucket by bucket
+            parts = [of(r["p0"], np.int64) for r in sorted((r for r in rows if not r["own"] and r["slot"] >= 0), key=lambda r: r["slot"])]
+            total = np.concatenate(parts) if parts else np.zeros(0, dtype=np.int64)
+            count = total[bucketed(low, starts, ends, bits)[1]]
+            none = pa.nulls(len(info)).cast(pa.int64())
+            yield pa.RecordBatch.from_arrays([
+                pa.array(info[:, 0], mask=info[:, 1] == 0), pa.array(np.diff(first)), pa.array(sums((count > 0).astype(np.int64), first)),
+                pa.array(sums(np.log10(count + 1.0), first)), pa.array(score), none, none], names=names)
+
+    return run
+
+
+def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH, **options) -> DataFrame:
     """Held-out flag, token counts, the add-one unigram base score and the tree's score of every document."""
     read = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).withColumn("train", F.coalesce(remainder(F.col("doc_id"), 7) != 2, F.lit(False)))
-    train = read.where("train")
-    tree = grow(train.select("text"), **options)
     size, texts = read.agg(F.sum(F.length("text")), F.sum(F.col("train").cast("long"))).first()
     bits = min(24, max(6, math.ceil(math.log2(max(1, (size or 0) / 20 / PER_BUCKET)))))
-    asked = read.mapInArrow(requests(bits, ship(docs.sparkSession, tree)), MESSAGE)
-    told = asked.repartition("slot").sortWithinPartitions("slot").mapInArrow(answers, MESSAGE)
-    rows = stored(told.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(assembled, SCORED), "word-scores")
+    asked = stored(read.mapInArrow(requests(bits, depth), ASKED), "lm-asked")
+    messages = [c.split()[0] for c in MESSAGE.split(", ")]
+    asks = asked.where("own").select("chunk", F.posexplode(F.arrays_zip("windows", "counts")).alias("k", "w")).select("chunk", "k", F.col("w.windows").alias("window"), F.col("w.counts").alias("n"))
+    scored = windows_scored(asks.select("window", "n"), depth, **options)
+    logs = asks.select("chunk", "k", "window").join(scored, "window").select("chunk", "k", "logp").sortWithinPartitions("chunk").mapInArrow(told_windows, MESSAGE)
+    told = asked.where("not own").select(*messages).repartition("slot").sortWithinPartitions("slot").mapInArrow(answers, MESSAGE)
+    back = told.unionAll(logs).unionAll(asked.where("own").select(*messages))
+    rows = stored(back.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(assembled(bits, depth), SCORED), "word-scores")
     known, tokens = rows.where("words is not null").agg(F.sum("words"), F.sum("tokens")).first()
     ends = texts or 0  # the end token, once a training text
     n, v = (tokens or 0) + ends, (known or 0) + (1 if ends else 0)

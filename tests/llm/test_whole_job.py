@@ -1,9 +1,14 @@
 """The operators do their whole job where a size or a share used to cut it."""
 
+import math
 import random
+import re
+import zlib
 from collections import Counter
 
-from basketry.llm import packing
+from basketry.llm import packing, suffix_tree_lm
+
+FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
 def waste(histogram, ends):
@@ -37,3 +42,43 @@ def test_binned_lengths_keep_short_ones_exact(spark):
     lengths = [3, 4, 5, 4095, 5_000_001, 5_000_002, 9_000_000]
     frame = spark.createDataFrame([(n,) for n in lengths], "n_tokens long")
     assert packing.choose(frame, 7, max_lengths=2) == [3, 4, 5, 4095, 5_000_002, 9_000_000]
+
+
+def plain_tree_scores(rows, depth, min_count, divergence, prior):
+    """The suffix tree in plain Python: scores of (id, text), ids with crc32 % 7 == 2 held out."""
+    def parts(text):
+        s = "\n" + " ".join(re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(FOLD))) + "\n"
+        return [s[max(0, i - depth):i + 1] for i in range(1, len(s))]
+
+    count, of = Counter(), Counter()
+    for i, text in rows:
+        if zlib.crc32(str(i).encode()) % 7 != 2:
+            for w in parts(text):
+                for k in range(1, len(w) + 1):
+                    count[w[-k:]] += 1
+                    of[w[-k:-1]] += 1
+    kl = Counter()
+    for w, c in count.items():
+        if len(w) > 1 and of[w[:-1]] >= min_count:
+            kl[w[:-1]] += c / of[w[:-1]] * math.log(c / of[w[:-1]] / (count[w[1:]] / of[w[1:-1]]))
+    states = {c[k:] for c, x in kl.items() if x >= divergence for k in range(len(c))}
+
+    def p(w):
+        if len(w) == 1:
+            return (count[w] + prior / 0x110000) / (of[""] + prior)
+        return (count[w] + prior * p(w[1:])) / (of[w[:-1]] + prior) if w[:-1] in states else p(w[1:])
+
+    return [sum(math.log10(p(w)) for w in parts(text)) for _, text in rows], states
+
+
+def test_suffix_tree_grows_with_the_corpus_in_whole_characters(spark):
+    rng = random.Random(8)
+    rows = [(i, " ".join(rng.choice("abcdefgh") + rng.choice("ijklmnop") for _ in range(400))) for i in range(300)]
+    # contexts far below one in 10,000 positions
+    rows += [(1000 + i, "國語辭典 русский") for i in range(14)] + [(2000, None), (2001, ""), (2002, "x\0y")]
+    want, states = plain_tree_scores(rows, suffix_tree_lm.DEPTH, suffix_tree_lm.MIN_COUNT, suffix_tree_lm.DIVERGENCE, suffix_tree_lm.PRIOR)
+    assert "國" in states and "語" in states
+    got = {r.doc_id: r.score for r in suffix_tree_lm.score_texts(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    # a NUL is read as 1, which is as rare as it is
+    assert all(abs(got[i] - x) < 1e-3 for (i, _), x in zip(rows, want, strict=True))
+    assert sum(got[1000 + i] for i in range(14)) / 14 > -8  # bytes outside every state cost about 60
