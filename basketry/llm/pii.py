@@ -3,8 +3,9 @@
 Candidate spans of four kinds come from strict patterns (the base, always
 kept) and from looser ones (obfuscated addresses, national phone forms, card
 numbers with a wrong check digit). Three labelers vote on each candidate: the
-strict pattern with its check, a gazetteer (name endings, issuer and area
-digits), and cue words shortly before the span; each says yes, no or abstains.
+strict pattern with its check (which abstains on loose forms but for a wrong
+check digit), a gazetteer (name endings, issuer and area digits), and cue
+words shortly before the span; each says yes, no or abstains.
 Expectation-maximisation over the table of vote patterns estimates how
 reliable each labeler is (Dawid and Skene), and its posteriors are the soft
 labels of the final span classifier, a naive Bayes model over span features.
@@ -12,7 +13,7 @@ Loose candidates that it accepts are added to the base.
 
 Only DataFrame and SQL functions run here. Texts are read once: candidates,
 which hold no text, are written to the shared folder, and all counting runs on
-them. The table of vote patterns has at most 4 * 27 * 16 rows.
+them. The table of vote patterns has at most 4 * 27 rows.
 
 Defined cases: a null or empty text has no spans; a null id is kept; repeated
 rows give a row each; without candidates nothing is estimated or added.
@@ -45,6 +46,8 @@ LOOSE = {
     "card": (BASE["card"][0], BASE["card"][1], f"length({DIGITS}) between 13 and 16 and not ({LUHN})"),
     "phone": (r"(?<![0-9+.-])(?:\([0-9]{3}\)\x20?|[0-9]{3}[\x20.-])[0-9]{3}[\x20.-][0-9]{4}(?![0-9.-])", "text rlike '[0-9]{3}[ .-][0-9]{4}'", "true"),
 }
+#: The strict labeler's vote on a loose candidate: a wrong check digit is a no, other forms it cannot judge.
+STRICT = {"email": -1, "card": 0, "phone": -1}
 #: Gazetteers: what a genuine span of the kind carries.
 GAZETTEER = {
     "email": r"(?i)\\.(com|org|net|edu|gov|io|info|co|de|fr|es|uk|eu)$",
@@ -64,7 +67,7 @@ ROUNDS, PRIOR, ACCEPT = 10, 0.5, 0.9
 
 
 def candidates_sql() -> str:
-    """SQL for the candidates of a column ``text``: kind, s, e, base, the votes (1 yes, 0 no, -1 abstains) and a digit count."""
+    """SQL for the candidates of a column ``text``: kind, s, e, base, and the votes (1 yes, 0 no, -1 abstains)."""
     parts = []
     for base, rules in ((1, BASE), (0, LOOSE)):
         for kind, (pattern, hint, check) in rules.items():
@@ -73,8 +76,7 @@ def candidates_sql() -> str:
             cue = f"case when {near} rlike '{CUES[kind]}' then 1 else -1 end"
             parts.append(
                 f"case when {hint} then transform(filter({found('text', pattern)}, x -> {check}), x -> named_struct("
-                f"'kind', {KINDS.index(kind)}, 's', x.s, 'e', x.e, 'base', {base}, 'v1', {base}, 'v2', {gaz}, 'v3', {cue}, "
-                f"'digits', least(length({DIGITS}), 15))) else {NO_CANDS} end")
+                f"'kind', {KINDS.index(kind)}, 's', x.s, 'e', x.e, 'base', {base}, 'v1', {STRICT[kind] if not base else 1}, 'v2', {gaz}, 'v3', {cue})) else {NO_CANDS} end")
     return f"concat({', '.join(parts)})"
 
 
@@ -84,7 +86,7 @@ def candidates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return text.select("doc_id", F.expr(candidates_sql()).alias("cands"))
 
 
-NO_CANDS = "cast(array() as array<struct<kind:int,s:int,e:int,base:int,v1:int,v2:int,v3:int,digits:int>>)"
+NO_CANDS = "cast(array() as array<struct<kind:int,s:int,e:int,base:int,v1:int,v2:int,v3:int>>)"
 VOTES = ("v1", "v2", "v3")
 
 
@@ -93,7 +95,9 @@ def reliabilities(patterns: DataFrame) -> tuple[DataFrame, list[dict]]:
 
     Each round is one aggregation of the bounded pattern table: the E-step is
     a column built from the last parameters, the M-step their weighted counts.
-    The first posterior is the share of yes among the votes cast.
+    The first posterior is the share of yes among the votes cast. An abstention
+    says nothing, and a vote never counts against what it says, even where the
+    estimate makes the labeler worse than chance.
     """
     cast = " + ".join(f"if({v} >= 0, 1, 0)" for v in VOTES)
     p, rounds = f"(({' + '.join(f'if({v} = 1, 1, 0)' for v in VOTES)}) + 0.5D) / ({cast} + 1D)", []
@@ -103,31 +107,40 @@ def reliabilities(patterns: DataFrame) -> tuple[DataFrame, list[dict]]:
             f"sum(if({v} = {x}, n * {w}, 0)) as {v}_{x + 1}_{z}" for v in VOTES for x in (-1, 0, 1) for z, w in ((1, "p"), (0, "(1 - p)"))]
         got = step.selectExpr(*sums).first().asDict()
         rounds.append(got)
+        odds = {}
+        for v in VOTES:
+            for x in (1, 2):  # no, yes
+                no, yes = ((got[f"{v}_{x}_{z}"] + 1) / (got["yes" if z else "no"] + 3) for z in (0, 1))
+                odds[v, x] = (1.0, 1.0) if (yes < no) == (x == 2) else (no, yes)
         like = lambda z: " * ".join([f"{(got['yes' if z else 'no'] + 1) / (got['yes'] + got['no'] + 2)!r}D"] + [
-            f"element_at(array({', '.join(f'{(got[f'{v}_{x}_{z}'] + 1) / (got['yes' if z else 'no'] + 3)!r}D' for x in range(3))}), {v} + 2)" for v in VOTES])
+            f"element_at(array(1D, {odds[v, 1][z]!r}D, {odds[v, 2][z]!r}D), {v} + 2)" for v in VOTES])
         p = f"({like(1)}) / (({like(1)}) + ({like(0)}))"
     return patterns.withColumn("p", F.expr(p)), rounds
 
 
-FEATURES = ("kind", "v1", "v2", "v3", "digits")
+PATTERN = ("kind", *VOTES)
+#: Kind and gazetteer go together; being base or not is no feature, a failed check is.
+FEATURES = {"kind_v2": "{x}kind * 2 + {x}v2", "failed": "if({x}v1 = 0, 1, 0)", "v3": "{x}v3"}
 
 
 def classifier(labelled: DataFrame) -> str:
     """Naive Bayes trained on the soft labels, as SQL for a candidate's probability (fields of ``x``)."""
     total = labelled.selectExpr("sum(n * p) as yes", "sum(n * (1 - p)) as no").first()
-    stacked = labelled.selectExpr("n", "p", f"stack({len(FEATURES)}, {', '.join(f"'{f}', {f}" for f in FEATURES)}) as (f, v)")
+    stacked = labelled.selectExpr("n", "p", f"stack({len(FEATURES)}, {', '.join(f"'{f}', {sql.format(x='')}" for f, sql in FEATURES.items())}) as (f, v)")
     cells = stacked.groupBy("f", "v").agg(F.expr("sum(n * p) as yes"), F.expr("sum(n * (1 - p)) as no")).collect()  # some dozens
     odds = f"ln({total.yes + 1!r}D / {total.no + 1!r}D)"
-    for f in FEATURES:
+    for f, sql in FEATURES.items():
         cases = " ".join(f"when {r.v} then {(r.yes + 1) / (total.yes + 20)!r}D / {(r.no + 1) / (total.no + 20)!r}D" for r in cells if r.f == f)
-        odds += f" + ln(case x.{f} {cases} else 1D end)"
+        odds += f" + ln(case {sql.format(x='x.')} {cases} else 1D end)"
     return f"1D / (1D + exp(-({odds})))"
 
 
 def estimate(cands: DataFrame) -> str:
     """Vote reliabilities, then the classifier: SQL for the probability of a candidate ``x``."""
-    patterns = stored(cands.select(F.explode("cands").alias("c")).groupBy(*[F.col(f"c.{f}").alias(f) for f in FEATURES]).agg(F.count(F.lit(1)).alias("n")).coalesce(1), "pii-votes")
-    return "0D" if patterns.isEmpty() else classifier(reliabilities(patterns)[0])  # at most 4 * 27 * 16 rows
+    # a loose candidate inside a base span says nothing that the base does not
+    apart = F.expr("filter(cands, x -> x.base = 1 or not exists(cands, b -> b.base = 1 and b.s < x.e and x.s < b.e))")
+    patterns = stored(cands.select(F.explode(apart).alias("c")).groupBy(*[F.col(f"c.{f}").alias(f) for f in PATTERN]).agg(F.count(F.lit(1)).alias("n")).coalesce(1), "pii-votes")
+    return "0D" if patterns.isEmpty() else classifier(reliabilities(patterns)[0])  # at most 4 * 27 rows
 
 
 def accepted_sql(probability: str, accept: float) -> str:
@@ -163,10 +176,10 @@ def pii_digest(spans: DataFrame) -> DataFrame:
 
 
 def mask(text: str, spans: str) -> str:
-    """SQL: ``text`` with every span of the sorted array ``spans`` replaced by its kind in brackets."""
+    """SQL: ``text`` with every span of the sorted array ``spans`` replaced by its kind in brackets, overlapping ones by the first's."""
     name = f"element_at(array({', '.join(repr(k) for k in KINDS)}), x.kind + 1)"
     order = f"array_sort(transform({spans}, x -> named_struct('s', x.s, 'e', x.e, 'kind', x.kind)))"
     return f"""aggregate({order}, named_struct('at', 0, 'out', ''),
-        (a, x) -> case when x.s < a.at then a else named_struct(
+        (a, x) -> case when x.s < a.at then named_struct('at', greatest(a.at, x.e), 'out', a.out) else named_struct(
             'at', x.e, 'out', concat(a.out, substring({text}, a.at + 1, x.s - a.at), '[', {name}, ']')) end,
         a -> concat(a.out, substring({text}, a.at + 1)))"""

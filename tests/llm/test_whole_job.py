@@ -6,7 +6,7 @@ import re
 import zlib
 from collections import Counter
 
-from basketry.llm import packing, suffix_tree_lm
+from basketry.llm import packing, pii, suffix_tree_lm
 
 FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -82,3 +82,27 @@ def test_suffix_tree_grows_with_the_corpus_in_whole_characters(spark):
     # a NUL is read as 1, which is as rare as it is
     assert all(abs(got[i] - x) < 1e-3 for (i, _), x in zip(rows, want, strict=True))
     assert sum(got[1000 + i] for i in range(14)) / 14 > -8  # bytes outside every state cost about 60
+
+
+def planted_pii(spark, n):
+    rng = random.Random(4)
+    base = [f"from ann{i}@mail{i % 7}.com and {rng.randrange(1, 250)}.8.{i % 250}.1 or +1 ({rng.randrange(200, 990)}) 555-{rng.randrange(1000, 9999)} x" for i in range(150)]
+    runs = [f"number {rng.randrange(10**13, 10**14)} here" for _ in range(80)]  # mostly wrong check digits
+    phones = [f"please call {rng.randrange(200, 990)}-555-{rng.randrange(1000, 9999)} now" for _ in range(n)]
+    mails = [f"mail: bob{i}(at)corp.com today" for i in range(n // 2)]
+    texts = base + runs + phones + mails
+    return spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), len(base) + len(runs), phones + mails
+
+
+def test_loose_spans_with_gazetteer_and_cue_are_accepted(spark):
+    for n in (50, 500):
+        docs, first, loose = planted_pii(spark, n)
+        got = {r.doc_id: r.spans for r in pii.find_pii(docs).collect()}
+        assert all([(x.base, x.e - x.s) for x in got[first + k]] == [(0, len(t.split(" ")[2 if "call" in t else 1]))] for k, t in enumerate(loose))
+        assert not any(x.base == 0 for i in range(first) for x in got[i])  # nothing else comes in
+        assert {r.text for r in pii.masked(docs).collect()} >= {"please call [phone] now", "mail: [email] today"}
+
+
+def test_overlapping_spans_are_masked_whole(spark):
+    spans = "array(named_struct('kind', 3, 's', 2, 'e', 6), named_struct('kind', 2, 's', 4, 'e', 9), named_struct('kind', 0, 's', 12, 'e', 13))"
+    assert spark.sql(f"select {pii.mask('t', spans)} from values ('0123456789abcdef') as x(t)").first()[0] == "01[phone]9ab[email]def"
