@@ -3,10 +3,11 @@
 A word known from training scores by its log frequency in each language. An
 unseen word falls back to its longest character n-grams (with word edges) of
 which any is known, from ``ORDERS`` downwards; a language without the word or
-n-gram gets a floor. The language with the highest sum wins.
+n-gram gets a floor, the same for all languages (a lower one for those with
+more text would favour the rare ones). The language with the highest sum wins.
 
-The tables are counted by Spark over a bounded sample of training rows
-(``max_rows``) and cut to the most frequent ``max_words`` words and
+The tables are counted by Spark over every training row, so a language with
+few rows among very many is learned from all of them, and cut to the most frequent ``max_words`` words and
 ``max_grams`` n-grams a language, so the broadcast model is bounded by these
 parameters and the number of languages. Prediction covers every whole text
 without a shuffle; each chunk scores each distinct word once.
@@ -31,9 +32,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .arrays import chunks
-from .common import bounded_share, hash32, remainder, ship, shipped
+from .common import remainder, ship, shipped, stored
 
-MAX_ROWS, MAX_WORDS, MAX_GRAMS = 6_000, 30_000, 20_000
+MAX_WORDS, MAX_GRAMS = 30_000, 20_000
+#: Distinct words that a task holds before it passes their counts on.
+HELD_WORDS = 300_000
 #: Text per scoring chunk; a larger one scores fewer distinct words again.
 SCORE_BYTES = 12 << 20
 ORDERS = (4, 3, 2, 1)
@@ -53,11 +56,7 @@ def grams(word: str, n: int) -> list[str]:
 
 def counted(train: DataFrame) -> DataFrame:
     """(lang, n, token, count): words (n = 0) and n-grams."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words: dict[str, Counter] = {}
-        for batch in chunks(batches):
-            for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist(), strict=True):
-                words.setdefault(lang, Counter()).update(tokens(text))
+    def expanded(words: dict[str, Counter]) -> Iterator[pa.RecordBatch]:
         out: Counter = Counter()
         for lang, seen in words.items():
             for w, c in seen.items():
@@ -73,6 +72,16 @@ def counted(train: DataFrame) -> DataFrame:
                                               pa.array([k[2] for k, _ in part], pa.string()), pa.array([c for _, c in part], pa.int64())],
                                              names=["lang", "n", "token", "count"])
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words: dict[str, Counter] = {}
+        for batch in chunks(batches):
+            for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist(), strict=True):
+                words.setdefault(lang, Counter()).update(tokens(text))
+            if sum(map(len, words.values())) > HELD_WORDS:
+                yield from expanded(words)
+                words = {}
+        yield from expanded(words)
+
     return train.mapInArrow(count, "lang string, n int, token string, count bigint").groupBy("lang", "n", "token").agg(F.sum("count").alias("count"))
 
 
@@ -88,8 +97,8 @@ class Model:
         self.at: dict[int, dict[str, int]] = {n: {} for n in (0, *ORDERS)}
         for _, n, token, _ in rows:
             self.at[n].setdefault(token, len(self.at[n]))
-        floor = {n: [-math.log(totals.get((lang, n), 0) + 2) - 1 for lang in self.langs] for n in self.at}
-        self.logs = {n: np.tile(np.array(floor[n], dtype=np.float32), (len(self.at[n]), 1)) for n in self.at}
+        floor = {n: -math.log(max((totals.get((lang, n), 0) for lang in self.langs), default=0) + 2) - 1 for n in self.at}
+        self.logs = {n: np.full((len(self.at[n]), len(self.langs)), floor[n], dtype=np.float32) for n in self.at}
         for lang, n, token, c in rows:
             self.logs[n][self.at[n][token], index[lang]] = math.log(c / (totals[lang, n] + 1))
 
@@ -140,12 +149,11 @@ class Model:
 
 
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-          max_rows: int = MAX_ROWS, max_words: int = MAX_WORDS, max_grams: int = MAX_GRAMS) -> Model:
+          max_words: int = MAX_WORDS, max_grams: int = MAX_GRAMS) -> Model:
     """Count the training fold (crc32 of the id modulo 5 not 0)."""
     train = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where(
         (remainder(F.col("doc_id"), 5) != 0) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    share = bounded_share(train.count(), max_rows)
-    totals = counted(train.where(hash32(F.col("doc_id")) < share))
+    totals = stored(counted(train), "language-counts")
     return Model([tuple(r) for r in most_frequent(totals, max_words, max_grams).collect()])
 
 

@@ -6,7 +6,7 @@ import re
 import zlib
 from collections import Counter
 
-from basketry.llm import packing, pii, suffix_tree_lm
+from basketry.llm import language_id, packing, pii, suffix_tree_lm
 
 FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -106,3 +106,21 @@ def test_loose_spans_with_gazetteer_and_cue_are_accepted(spark):
 def test_overlapping_spans_are_masked_whole(spark):
     spans = "array(named_struct('kind', 3, 's', 2, 'e', 6), named_struct('kind', 2, 's', 4, 'e', 9), named_struct('kind', 0, 's', 12, 'e', 13))"
     assert spark.sql(f"select {pii.mask('t', spans)} from values ('0123456789abcdef') as x(t)").first()[0] == "01[phone]9ab[email]def"
+
+
+def test_rare_language_is_learned_from_all_its_rows(spark):
+    rng = random.Random(6)
+    rare = [" ".join(f"ž{''.join(rng.choice('aeiouklmn') for _ in range(6))}" for _ in range(8)) for _ in range(12)]
+    rows = [(i, " ".join(rng.choice(("the", "and", "of", "house", "river", "stone")) for _ in range(6)), "en") for i in range(24_000)]
+    rows += [(50_000 + i, t, "xx") for i, t in enumerate(rare)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    known = language_id.learn(docs).at[0]
+    learned = [t for i, t in enumerate(rare) if zlib.crc32(str(50_000 + i).encode()) % 5]
+    assert len(learned) > 6 and all(w in known for t in learned for w in t.split())
+    got = {r.doc_id: r.lang_pred for r in language_id.identify(docs).collect()}
+    assert all(got[i] == lang for i, _, lang in rows)
+
+
+def test_unknown_words_do_not_favour_a_rare_language():
+    model = language_id.Model([("en", 0, "house", 10**6), ("en", 0, "river", 20), ("xx", 0, "dom", 3)])
+    assert model.predict(["river", "dom"])[0] == ["en", "xx"]
