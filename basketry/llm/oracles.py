@@ -46,4 +46,39 @@ select dw.doc_id, cast(coalesce(n.n, 0) as bigint) as n_shingles, coalesce(compo
 from dw left join n using (rid) left join sets using (rid) left join cls using (sig) left join comp using (rep)
 """
 
-SQL = {"op2_decontamination": OP2, "op7_jaccard_join": OP7}
+OP11 = r"""
+with pieces as (
+  select row_number() over () as pid, lang, piece from (
+    select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+    from documents)),
+w as (
+  select lang, pid, unnest(w) as w1, unnest(range(len(w))) as pos
+  from (select lang, pid, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces)),
+n as (select lang, count(*) as n from w group by lang),
+l as (
+  select lang, w1, lead(w1, 1) over p as w2, lead(w1, 2) over p as w3, lead(w1, 3) over p as w4, lead(w1, 4) over p as w5
+  from w window p as (partition by pid order by pos)),
+g as (
+  select lang, 1 as k, w1 as phrase, count(*) as f from l group by lang, phrase having f >= 100
+  union all select lang, 2, w1 || ' ' || w2 as phrase, count(*) as f from l where w2 is not null group by lang, phrase having f >= 100
+  union all select lang, 3, w1 || ' ' || w2 || ' ' || w3 as phrase, count(*) as f from l where w3 is not null group by lang, phrase having f >= 100
+  union all select lang, 4, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4 as phrase, count(*) as f from l where w4 is not null group by lang, phrase having f >= 100
+  union all select lang, 5, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4 || ' ' || w5 as phrase, count(*) as f from l where w5 is not null group by lang, phrase having f >= 100),
+c as (select lang, k, phrase, string_split(phrase, ' ') as w, f as a from g where k >= 2),
+halves as (
+  select lang, phrase, a, k, j, array_to_string(w[1:j], ' ') as head, array_to_string(w[j + 1:], ' ') as tail
+  from (select *, unnest(range(1, k)) as j from c)),
+cuts as (
+  select h.lang, h.phrase, h.a, h.k, j, x.f as l, y.f as r, n.n, cast(1000 as hugeint) * h.a * n.n // (cast(x.f as hugeint) * y.f) as score
+  from halves h join g x on x.lang = h.lang and x.phrase = h.head join g y on y.lang = h.lang and y.phrase = h.tail join n on n.lang = h.lang),
+weakest as (select * from cuts qualify row_number() over (partition by lang, phrase order by score, j) = 1),
+inside as (  -- every shorter run of words of each candidate
+  select distinct lang, a, array_to_string(w[i:i + m - 1], ' ') as part
+  from (select *, unnest(range(1, k - m + 2)) as i from (select *, unnest(range(2, k)) as m from c))),
+most as (select lang, part, max(a) as most from inside group by lang, part),
+kept as (select s.* from weakest s left join most m on m.lang = s.lang and m.part = s.phrase where m.most is null or 100 * m.most < 100 * s.a)
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, n, cast(score as bigint) as score
+from kept qualify rank <= 2000
+"""
+
+SQL = {"op2_decontamination": OP2, "op7_jaccard_join": OP7, "op11_phrase_collocations": OP11}

@@ -14,11 +14,13 @@ from .decontamination import contamination
 from .jaccard_join import similar_documents
 from .language_id import identify
 from .packing import pack
+from .phrase_collocations import collocations
 from .pii import find_pii, pii_digest
 from .quality_ranking import quality_scores
 from .quality_rules import quality_rules
 from .secret_ledger import secret_scan
 from .suffix_tree_lm import score_texts
+from .token_alignment import alignment
 from .wordpiece_counts import piece_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,9 +66,17 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan(table(spark, sf_dir, "documents"))
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     found = [op1_quality_rules, op2_decontamination, op3_token_counts, op4_pii, op5_quality_classifier, op6_language_id,
-             op7_jaccard_join, op8_packing, op9_lm_scoring, op10_secret_scan]
+             op7_jaccard_join, op8_packing, op9_lm_scoring, op10_secret_scan, op11_phrase_collocations, op13_token_alignment]
     return {f.__name__: f for f in found} | {"pipeline": corpus_pipeline.run}
 
 
