@@ -21,6 +21,7 @@ from .quality_rules import quality_rules
 from .secret_ledger import secret_scan
 from .suffix_tree_lm import score_texts
 from .token_alignment import alignment
+from .toxicity_gru import toxicity
 from .wordpiece_counts import piece_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,13 +71,17 @@ def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents"))
 
 
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Query]:
     found = [op1_quality_rules, op2_decontamination, op3_token_counts, op4_pii, op5_quality_classifier, op6_language_id,
-             op7_jaccard_join, op8_packing, op9_lm_scoring, op10_secret_scan, op11_phrase_collocations, op13_token_alignment]
+             op7_jaccard_join, op8_packing, op9_lm_scoring, op10_secret_scan, op11_phrase_collocations, op12_toxicity, op13_token_alignment]
     return {f.__name__: f for f in found} | {"pipeline": corpus_pipeline.run}
 
 
