@@ -34,6 +34,7 @@ import hashlib
 import json
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -48,7 +49,10 @@ from .wordpiece_counts import byte_alphabet
 
 BYTE_VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-CHUNK = 6 << 20
+CHUNK = 2 << 20
+#: segments encoded as one text
+JOINED = 2_000
+_BLANK = "\u180e\u200b\u2060\ufeff"
 #: white space beyond ASCII, where the two tokenizers need not agree on cuts
 OTHER_SPACE = r"[\x{85}\x{A0}\x{1680}\x{180E}\x{2000}-\x{200B}\x{2028}\x{2029}\x{202F}\x{205F}\x{2060}\x{3000}\x{FEFF}]"
 _ASCII_SPACE = np.zeros(256, dtype=bool)
@@ -128,11 +132,36 @@ class Tokenizers:
 
     def encode(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(A ids, A token counts, B ids, B token counts) of segments that start with a space."""
-        a = [e.ids for e in self.a.encode_batch_fast(segments, add_special_tokens=False)] if segments else []
-        b = self.b.encode([s[1:] for s in segments], num_threads=1) if segments else []
-        flat = [np.fromiter((i for ids in side for i in ids), dtype=np.int32) for side in (a, b)]
-        counts = [np.fromiter(map(len, side), dtype=np.int64, count=len(side)) for side in (a, b)]
-        return flat[0], counts[0], flat[1], counts[1]
+        alone = np.array([s[-1].isspace() or s[-1] in _BLANK for s in segments], dtype=bool) | (not self.splits)
+        order, out = np.argsort(alone, kind="stable"), []
+        n_joined = int((~alone).sum())
+        blocks = [(order[k:min(k + JOINED, n_joined)], True) for k in range(0, n_joined, JOINED)]
+        blocks += [(order[k:k + JOINED], False) for k in range(n_joined, len(order), JOINED)]
+        back = np.argsort(order, kind="stable")
+        for encode, sizes in ((self.encode_a, self.a_size), (self.encode_b, self.b_size)):
+            done = [self._encode([segments[i] for i in rows.tolist()], joined, encode, sizes) for rows, joined in blocks]
+            ids, n = (np.concatenate([np.zeros(0, dtype=t), *(d[k] for d in done)]) for k, t in ((0, np.int32), (1, np.int64)))
+            out += [ids[spread(n, np.cumsum(n) - n, back)], n[back]]
+        return tuple(out)
+
+    def encode_a(self, segments: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.a.encode_batch_fast(segments, add_special_tokens=False)]
+
+    def encode_b(self, segments: list[str]) -> list[list[int]]:
+        return self.b.encode([s[1:] for s in segments], num_threads=1)
+
+    @staticmethod
+    def _encode(segments: list[str], joined: bool, encode, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, token counts) of one side; segments that do not end in white space are encoded as one text, which cuts between them."""
+        if joined:
+            ids = np.array(encode(["".join(segments)])[0], dtype=np.int32)
+            ends, wanted = np.cumsum(sizes[ids]), np.cumsum([len(s.encode()) for s in segments])
+            if len(ends) and ends[-1] == wanted[-1]:
+                at = np.searchsorted(ends, wanted)
+                if (ends[at] == wanted).all():
+                    return ids, np.diff(at + 1, prepend=0)
+        each = encode(segments)
+        return np.fromiter(chain.from_iterable(each), dtype=np.int32), np.fromiter(map(len, each), dtype=np.int64, count=len(each))
 
     def restored(self, ids: np.ndarray, counts: np.ndarray, side: list[bytes], segments: list[bytes]) -> np.ndarray:
         """Whether each segment's token bytes are the segment."""
@@ -148,8 +177,7 @@ class Aligned:
     """The alignment of a list of segments: flat ids, and per group the ends of its id ranges."""
 
     def __init__(self, tok: Tokenizers, segments: list[bytes]):
-        texts = [s.decode() for s in segments]
-        self.a, a_n, self.b, b_n = tok.encode(texts)
+        self.a, a_n, self.b, b_n = tok.encode([s.decode() for s in segments])
         self.good = tok.restored(self.a, a_n, tok.a_bytes, segments) & tok.restored(self.b, b_n, tok.b_bytes, segments)
         if not self.good.all():  # the tokens of the others go
             self.a, self.b = self.a[np.repeat(self.good, a_n)], self.b[np.repeat(self.good, b_n)]
