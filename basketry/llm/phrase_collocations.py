@@ -37,7 +37,7 @@ from .common import ship, shipped, stored
 MIN_COUNT, MAX_WORDS, TOP, COVER = 100, 5, 2000, 100
 #: words or phrases of one broadcast block
 BLOCK = 200_000
-CHUNK = 8 << 20
+CHUNK = 2 << 20
 UNKNOWN = "und"
 _CUTS = [*b".,;:!?", 10, 11, 12, 13]
 #: words are runs of anything but space, tab and the characters that end a piece
@@ -141,7 +141,7 @@ def _words(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
     inside = _IS_WORD[low]
     at = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int64)
     found = pa.Array.from_buffers(pa.large_string(), len(starts), [None, pa.py_buffer(at), pa.py_buffer(np.ascontiguousarray(low[inside]))])
-    cuts = np.cumsum(_IS_CUT[low])[starts] if len(starts) else np.zeros(0, dtype=np.int64)
+    cuts = np.cumsum(_IS_CUT[low], dtype=np.int32)[starts] if len(starts) else np.zeros(0, dtype=np.int64)
     follows = np.zeros(len(starts), dtype=bool)
     follows[:-1] = cuts[1:] == cuts[:-1]
     follows[first[1:][first[1:] > 0] - 1] = False
