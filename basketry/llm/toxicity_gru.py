@@ -26,6 +26,7 @@ empty result.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,7 +40,7 @@ from .arrays import chunks, mix, utf8, word_hashes, words
 from .common import bounded_share, hash32, remainder, ship, shipped, small
 
 WINDOW, STRIDE = 32, 24
-MAX_LABELLED, MAX_WORDS = 2_000, 20_000
+MAX_LABELLED, MAX_WORDS = 1_000, 5_000
 STATES, WORD_SIZE, GRAM_SIZE, GRAM_BUCKETS, GRAMS = 8, 6, 6, 1 << 14, (3, 5)
 ATTENTION = 8
 ROUNDS, BATCH, RATE, DECAY = 6, 64, 0.01, 1e-5
@@ -193,32 +194,44 @@ class Network:
         return _sigmoid(self.highest(Texts(column))[0].astype(np.float64))
 
 
-def _odds(seen: np.ndarray, y: np.ndarray, owner: np.ndarray, n: int, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """(log-odds over the labels of each of ``n`` features, whether enough texts hold it), from distinct (feature, text) rows."""
-    good, bad = (np.bincount(seen[y[owner] == v], minlength=n).astype(float) for v in (1, 0))
-    share = y.mean()
-    total = good + bad
-    rate = (good + 4 * share) / (total + 4)
-    return np.clip(np.log(rate / (1 - rate)) - np.log(share / (1 - share)), -3, 3) * (total >= least), total >= least
+def _odds(seen: np.ndarray, share: float, least: int) -> np.ndarray:
+    """Log-odds over the labels of each feature from the numbers of clean and toxic texts that hold it; 0 below ``least`` texts."""
+    total = seen.sum(0)
+    rate = (seen[1] + 4 * share) / (total + 4)
+    return np.clip(np.log(rate / (1 - rate)) - np.log(share / (1 - share)), -3, 3) * (total >= least)
 
 
-def train(texts: list[str], y: np.ndarray, rounds: int = ROUNDS, seed: int = 12) -> Network:
+def _expanded(grams: np.ndarray, order: np.ndarray, first: np.ndarray, words_: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(the n-grams of each of ``words_`` in turn, the place of their word)."""
+    n = first[words_ + 1] - first[words_]
+    ends = np.cumsum(n)
+    at = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(first[words_] - (ends - n), n)
+    return grams[order[at]], np.repeat(np.arange(len(words_)), n)
+
+
+def train(texts: pa.Array, y: np.ndarray, rounds: int = ROUNDS, seed: int = 12) -> Network:
     """Fit the network to texts and their labels (1: toxic). The order of the rows sets the order of learning."""
     y = np.asarray(y, dtype=float)
     if not len(y) or y.min() == y.max():
         none = Network(np.zeros(0, dtype=np.uint64), np.zeros(0), np.zeros(GRAM_BUCKETS))
         none.fitted = False
         return none
-    t = Texts(pa.array(texts, pa.string()))
+    t = Texts(texts)
     owner = np.repeat(np.arange(len(y)), np.diff(t.first))
     held = np.unique(t.place * len(y) + owner)
-    odds, often = _odds(held // len(y), y, held % len(y), len(t.hashes), 3)
-    by_word = np.argsort(held // len(y), kind="stable")
-    gram_at = np.concatenate([[0], np.cumsum(np.bincount(held // len(y), minlength=len(t.hashes)))])
-    texts_of = gram_at[t.gram_word + 1] - gram_at[t.gram_word]
-    spread = np.repeat(gram_at[t.gram_word] - (np.cumsum(texts_of) - texts_of), texts_of) + np.arange(int(texts_of.sum()))
-    grams = np.unique(np.repeat(t.grams, texts_of).astype(np.int64) * len(y) + (held % len(y))[by_word][spread])
-    gram_odds, _ = _odds(grams // len(y), y, grams % len(y), GRAM_BUCKETS, 3)
+    seen = np.stack([np.bincount(held[y[held % len(y)] == v] // len(y), minlength=len(t.hashes)) for v in (0, 1)])
+    odds, often = _odds(seen, y.mean(), 3), seen.sum(0) >= 3
+    gram_order = np.argsort(t.gram_word, kind="stable")
+    gram_first = np.searchsorted(t.gram_word[gram_order], np.arange(len(t.hashes) + 1))
+    seen = np.zeros((2, GRAM_BUCKETS))  # clean and toxic texts that hold each n-gram
+    for k in range(0, len(y), 100):
+        part = slice(t.first[k], t.first[min(k + 100, len(y))])
+        held = np.unique(owner[part] * len(t.hashes) + t.place[part])
+        g, of_word = _expanded(t.grams, gram_order, gram_first, held % len(t.hashes))
+        held = np.unique((held // len(t.hashes))[of_word] * GRAM_BUCKETS + g)
+        for v in (0, 1):
+            seen[v] += np.bincount(held[y[held // GRAM_BUCKETS] == v] % GRAM_BUCKETS, minlength=GRAM_BUCKETS)
+    gram_odds = _odds(seen, y.mean(), 3)
     net = Network(t.hashes[often], odds[often], gram_odds, seed)
     p, rng = net.p, np.random.default_rng(seed)
     m, v, step = {k: np.zeros_like(w) for k, w in p.items()}, {k: np.zeros_like(w) for k, w in p.items()}, 0
@@ -228,8 +241,6 @@ def train(texts: list[str], y: np.ndarray, rounds: int = ROUNDS, seed: int = 12)
     order = np.lexsort((-strongest, text_of))
     best = order[np.searchsorted(text_of[order], np.arange(len(y)))]
     weight = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean())) ** 0.5
-    gram_order = np.argsort(t.gram_word, kind="stable")
-    gram_first = np.searchsorted(t.gram_word[gram_order], np.arange(len(t.hashes) + 1))
     for k in range(rounds):
         if k:
             _, best, _ = net.highest(t)
@@ -246,10 +257,8 @@ def train(texts: list[str], y: np.ndarray, rounds: int = ROUNDS, seed: int = 12)
             row = np.searchsorted(net.vocabulary, t.hashes[used])
             row = np.where(net.vocabulary[np.minimum(row, len(net.vocabulary) - 1)] == t.hashes[used], row + 1, 0) if len(net.vocabulary) else np.zeros(len(used), dtype=np.int64)
             row = np.where(rng.random(len(row)) < 0.1, 0, row)  # some words are left to their characters
-            n_grams = gram_first[used + 1] - gram_first[used]
-            ends = np.cumsum(n_grams)
-            g = t.grams[gram_order[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(gram_first[used] - (ends - n_grams), n_grams)]]
-            word = np.repeat(np.arange(len(used)), n_grams)
+            g, word = _expanded(t.grams, gram_order, gram_first, used)
+            n_grams = np.bincount(word, minlength=len(used))
             mean = np.stack([np.bincount(word, p["grams"][g, c], minlength=len(used)) for c in range(GRAM_SIZE)], 1).astype(np.float32) / np.maximum(1, n_grams)[:, None]
             x = np.concatenate([p["words"][row], mean], 1).astype(np.float32)
             logit, cache = net.forward(x, local, keep=True)
@@ -268,17 +277,32 @@ def train(texts: list[str], y: np.ndarray, rounds: int = ROUNDS, seed: int = 12)
     return net
 
 
-def labelled_texts(docs: DataFrame, labels: DataFrame, learn, label_col: str, max_labelled: int, max_words: int, id_col: str, text_col: str) -> tuple[list[str], np.ndarray]:
-    """The sample to learn from: at most about ``max_labelled`` ids of each label, drawn by hash, in the order of their ids."""
+def fit(docs: DataFrame, labels: DataFrame, learn, label_col: str, id_col: str = "doc_id", text_col: str = "text", max_labelled: int = MAX_LABELLED, max_words: int = MAX_WORDS) -> Network:
+    """The network of a sample of at most about ``max_labelled`` ids of each label, drawn by hash and learned from in the order of their ids.
+
+    The sample is bounded, so one task trains on it; only the weights come back.
+    """
     usable = labels.where(learn & F.col("doc_id").isNotNull() & F.col(label_col).isin(0, 1)).groupBy("doc_id").agg(F.min(label_col).alias("y"))
     share = {r["y"]: bounded_share(r["count"], max_labelled) for r in usable.groupBy("y").count().collect()}
-    if not share:
-        return [], np.zeros(0)
     bound = F.when(F.col("y") == 1, share.get(1, 0)).otherwise(share.get(0, 0))
     sample = F.broadcast(small(usable.where(hash32(F.col("doc_id")) < bound)))
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).where(F.length("text") <= 8 * max_words)
-    got = rows.join(sample, "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text")).toPandas().sort_values("doc_id")
-    return got["text"].tolist(), got["y"].to_numpy(dtype=float)
+    rows = rows.join(sample, "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text")).repartition(1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if b.num_rows]
+        if held:
+            got = pa.Table.from_batches(held).sort_by("doc_id")
+            net = train(got.column("text").combine_chunks(), got.column("y").to_numpy())
+            if net.fitted:
+                yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps((net.vocabulary, net.p))], pa.binary())], names=["net"])
+
+    found = rows.mapInArrow(run, "net binary").collect()
+    net = Network(np.zeros(0, dtype=np.uint64), np.zeros(0), np.zeros(GRAM_BUCKETS))
+    net.fitted = bool(found)
+    if found:
+        net.vocabulary, net.p = pickle.loads(found[0]["net"])
+    return net
 
 
 def scored(docs: DataFrame, net: Network, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -297,9 +321,9 @@ def scored(docs: DataFrame, net: Network, id_col: str = "doc_id", text_col: str
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_labelled: int = MAX_LABELLED, max_words: int = MAX_WORDS) -> DataFrame:
     """doc_id, held_out, score and predicted for every document; folds by crc32 of the id modulo 5."""
-    texts, y = labelled_texts(docs, labels, remainder(F.col("doc_id"), 5) != 0, "toxic", max_labelled, max_words, id_col, text_col)
-    return scored(docs, train(texts, y), id_col, text_col).select(
+    net = fit(docs, labels, remainder(F.col("doc_id"), 5) != 0, "toxic", id_col, text_col, max_labelled, max_words)
+    return scored(docs, net, id_col, text_col).select(
         "doc_id", F.coalesce(remainder(F.col("doc_id"), 5) == 0, F.lit(False)).alias("held_out"), "score", F.when(F.col("score") >= ACCEPT, 1).otherwise(0).alias("predicted"))
 
 
-__all__ = ["Network", "Texts", "labelled_texts", "scored", "toxicity", "train"]
+__all__ = ["Network", "Texts", "fit", "scored", "toxicity", "train"]
