@@ -8,6 +8,9 @@ from .. import schemas as S
 from ..functions.arrays import PAD, dot
 from .sequences import sequence_context
 
+#: instance ids are (user << 32) + position: a chunk numbers the cases of 4,096 users
+IDS_A_CHUNK = 4096 << 32
+
 # Report line formats.
 ORDER_LINE, ANSWER_LINE, SCORE_LINE = "[ORDER %02d] %s", "[ANSWER] %s", "[%6.3f] %s"
 
@@ -44,11 +47,11 @@ def case_report(instances: DataFrame, top: DataFrame, hit_rows: DataFrame, title
     numbered per outcome in instance order; all of them unless a cap is given.
 
     The numbers come from :func:`sequence_context`, which splits the two
-    outcomes over range partitions instead of sorting each in one task.
+    outcomes into chunks of ids instead of sorting each in one task.
     """
     t = titles.select(item_col, title_col)
     numbered = hit_rows.withColumn("outcome", F.when(F.col("hit") == 1, F.lit("positives")).otherwise(F.lit("negatives")))
-    numbered = sequence_context(numbered, "outcome", [id_col], pos_col="_n") \
+    numbered = sequence_context(numbered, "outcome", [id_col], pos_col="_n", chunk=IDS_A_CHUNK) \
         .withColumn("case_no", (F.col("_n") + 1).cast("int"))
     for outcome, cap in (("positives", positive_cases), ("negatives", negative_cases)):
         if cap is not None:

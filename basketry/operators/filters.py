@@ -94,6 +94,23 @@ def filter_by_prod_threshold(df: DataFrame, threshold: int, column: str = S.PROD
     return df.join(qualifying, on=[column], how="left_semi")
 
 
+def products_above_threshold(log: DataFrame, user: DataFrame, products: DataFrame, threshold: int,
+                             user_key: str = S.MEMBER_ID, column: str = S.PRODUCT_NO) -> DataFrame:
+    """F7 counted before the fan-out: the products whose joined rows would number more than ``threshold``.
+
+    A log row joins every user row of its ``user_key`` and every dimension row of
+    its product, so a product's joined rows are its log rows, weighted by the
+    number of their users, times its dimension rows. Only the two key columns
+    of the log are read, and each side is a partial aggregate; null keys join nothing.
+    """
+    per_user = user.groupBy(user_key).agg(F.count(F.lit(1)).alias("_u"))
+    per_product = products.groupBy(column).agg(F.count(F.lit(1)).alias("_p"))
+    # equal (user, product) rows are merged before the join, the rest after it
+    pairs = log.groupBy(user_key, column).agg(F.count(F.lit(1)).alias("_l")).join(per_user, user_key)
+    logged = pairs.groupBy(column).agg(F.sum(F.col("_l") * F.col("_u")).alias("_n"))
+    return logged.join(per_product, column).where(F.col("_n") * F.col("_p") > threshold).select(column)
+
+
 def ids_with_min_count(df: DataFrame, column: str, cut: int) -> DataFrame:
     """F8: the distinct values of ``column`` occurring at least ``cut`` times (one column)."""
     return (df.groupBy(column).agg(F.count(F.lit(1)).alias("_n"))

@@ -7,12 +7,11 @@ rows of one user into one task:
   aggregate (or ``row_number() == 1``, a partial WindowGroupLimit), so a hot
   group is cut to one row per input partition before the shuffle.
 * ``sequence_context`` numbers rows within a user and collects the preceding
-  values with a *range* partition over (user, order...): a hot user is spread
-  over many partitions and every window runs per (partition, user). Only the
-  first and last group of a partition can cross a boundary, so a summary of
-  one row per partition (collected: bounded by the partition count) gives the
-  offset and carried history of each partition's first group; those few
-  rows are broadcast back by partition id.
+  values in two levels: windows run per (user, chunk of time), so a hot user is
+  spread over as many tasks as its log has chunks; one summary row per (user,
+  chunk), its number of rows and last values, is scanned over the user's
+  chunks and joined back on (user, chunk), where the rows already are. The
+  rows cross one hash shuffle; nothing is checkpointed or collected.
 * per-day click lists keep the newest N per (user, day) with a partial
   WindowGroupLimit as well, so a hot day is reduced before its shuffle.
 """
@@ -21,10 +20,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from .. import schemas as S
-from ..session import materialize
 from ..functions.arrays import PAD, left_pad
 from ..functions.time import KST_OFFSET, DAY_SPLIT_OFFSET, LATE_HOUR, click_day, yesterday_day
 
@@ -34,6 +32,8 @@ SPLIT_PRESETS = {
     "2w": (1554908400, 1555081200),
     "6w": (1554044400, 1554649200),
 }
+#: width of a chunk of a user's log, in seconds
+CHUNK = 6 * 3600
 TRAINING, VALIDATION, TEST = "training", "validation", "test"
 
 
@@ -48,10 +48,6 @@ def _cols(names: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in names]
 
 
-def _partitions(df: DataFrame, n: int | None) -> int:
-    return n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def first_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
     """Keep the first row of each ``keys`` group by ``order`` (ties must be broken by ``order``).
 
@@ -72,82 +68,55 @@ def _last(arr: Column, n: int) -> Column:
     return F.when(F.size(arr) > n, F.slice(arr, -n, n)).otherwise(arr)
 
 
-def _carries(bounds: list, tail_len: int) -> list[tuple]:
-    """Walk the partitions in order and return, for each partition whose first
-    group continues a key from earlier partitions, (pid, key, rows of that key
-    before it, its last ``tail_len`` values before it).
-
-    ``bounds`` rows: (pid, first key, first count, first tail, last key, last count, last tail).
-    """
-    out = []
-    open_key, open_count, open_tail, have_open = None, 0, [], False
-    for pid, fk, fcnt, ftail, lk, lcnt, ltail in sorted(bounds, key=lambda b: b[0]):
-        # (partitions without rows are absent: a key may continue across them)
-        if have_open and fk == open_key:
-            out.append((pid, fk, open_count, open_tail))
-            total, tail = open_count + fcnt, (open_tail + list(ftail))[-tail_len:] if tail_len else []
-        else:
-            total, tail = fcnt, list(ftail)
-        if fk == lk:        # one key fills the partition
-            open_key, open_count, open_tail = fk, total, tail
-        else:
-            open_key, open_count, open_tail = lk, lcnt, list(ltail)
-        have_open = True
-    return out
+def _chunk_of(column: str, dtype: T.DataType, width: int) -> Column:
+    """The number of the chunk of ``width`` (seconds for times) that a value lies in; nulls come first, as in the order."""
+    c = F.col(column)
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        c = F.unix_timestamp(c.cast("timestamp"))
+    elif isinstance(dtype, T.DateType):
+        c = F.unix_date(c).cast("long") * 86400
+    elif not isinstance(dtype, T.NumericType):
+        raise ValueError(f"{column}: the first order column must be a number, a date or a timestamp")
+    return F.coalesce(F.floor(c / F.lit(width)).cast("long"), F.lit(-2**63).cast("long"))
 
 
 def sequence_context(df: DataFrame, key: str, order: Sequence[str], value: str | None = None,
                      history: int = 0, pos_col: str = "pos", history_col: str = "history",
-                     partitions: int | None = None) -> DataFrame:
+                     partitions: int | None = None, chunk: int = CHUNK) -> DataFrame:
     """Add each row's 0-based position within ``key`` (ascending ``order``) and,
     when ``history > 0``, the up-to-``history`` preceding ``value``s, oldest first.
 
-    ``order`` must be a total order within a key. See the module notes for how
-    hot keys are split.
+    ``order`` must be a total order within a key; its first column is a number,
+    a date or a timestamp and is cut into chunks of width ``chunk``. A chunk of a
+    key is one window, and a key's chunks are one row each in another; take a
+    smaller width for hotter keys. ``partitions`` fixes the number of tasks of
+    the hash shuffle (default: the session's).
     """
-    spark = df.sparkSession
-    n = _partitions(df, partitions)
-    ranged = (df.repartitionByRange(n, *_cols([key, *order]))
-              .withColumn("_pid", F.spark_partition_id()))
-    ordered = Window.partitionBy("_pid", key).orderBy(*_cols(order))
     tail_len = max(history, 0)
-    local = (ranged.withColumn("_rn", F.row_number().over(ordered) - 1)
-             .withColumn("_end", F.lead(F.lit(1), 1).over(ordered).isNull()))
-    if tail_len:
-        # collect structs: collect_list skips nulls, a wrapped null value is kept
-        local = local.withColumn("_lh", F.transform(
-            F.collect_list(F.struct(F.col(value).alias("_v"))).over(ordered.rowsBetween(-tail_len, -1)),
-            lambda s: s["_v"]))
-    # The boundary summary and the rows must see the same partitions and
-    # partition ids whatever the shuffle order was: read one materialised copy.
-    local = materialize(local)
-    # Only the first and the last group of a range partition can continue a
-    # key across a boundary: summarise each partition by those two groups
-    # (partial aggregation leaves one row per partition before the shuffle).
+    # a struct equals itself with a null inside, so null keys need no special join
+    rows = df.withColumn("_k", F.struct(key)).withColumn("_chunk", _chunk_of(order[0], df.schema[order[0]].dataType, chunk))
+    if partitions:
+        rows = rows.repartition(partitions, "_k", "_chunk")
+    ordered = Window.partitionBy("_k", "_chunk").orderBy(*_cols(order))
+    # collect structs: collect_list skips nulls, a wrapped null value is kept
+    before = F.transform(F.collect_list(F.struct(F.col(value).alias("_v"))).over(ordered.rowsBetween(-tail_len, -1)),
+                         lambda s: s["_v"]) if tail_len else F.array()
+    local = rows.withColumn("_rn", F.row_number().over(ordered) - 1).withColumn("_lh", before)
     tail = _last(F.concat("_lh", F.array(F.col(value))), tail_len) if tail_len else F.array()
-    grp = F.struct(F.col(key).alias("k"), (F.col("_rn") + 1).alias("n"), tail.alias("t"))
-    rank = F.struct(F.col(key).isNotNull(), F.col(key))    # null keys sort first, as in the range order
-    bounds = (local.where(F.col("_end")).groupBy("_pid")
-              .agg(F.min_by(grp, rank).alias("f"), F.max_by(grp, rank).alias("l"))
-              .collect())
-    carries = _carries([(b._pid, b.f.k, b.f.n, b.f.t, b.l.k, b.l.n, b.l.t) for b in bounds], tail_len)
-    out = local
-    vtype = df.schema[value].dataType.simpleString() if tail_len else "int"
-    if carries:
-        ktype = df.schema[key].dataType.simpleString()
-        carry = spark.createDataFrame(carries, f"_cpid int, _ckey {ktype}, _off long, _carry array<{vtype}>")
-        # at most one row per partition: a broadcast bounded by the partition count
-        cond = (F.col("_pid") == F.col("_cpid")) & F.col(key).eqNullSafe(F.col("_ckey"))
-        out = out.join(F.broadcast(carry), on=cond, how="left").drop("_cpid", "_ckey")
-    else:
-        out = out.withColumn("_off", F.lit(None).cast("long")) \
-            .withColumn("_carry", F.lit(None).cast(f"array<{vtype}>"))
+    ends = rows.withColumn("_rn", F.row_number().over(ordered) - 1).withColumn("_lh", before).select("_k", "_chunk", "_rn", tail.alias("_t")) \
+        .groupBy("_k", "_chunk").agg((F.max("_rn") + 1).alias("_n"), F.max_by("_t", "_rn").alias("_t"))
+    scan = Window.partitionBy("_k").orderBy("_chunk")
+    carry = ends.withColumn("_off", F.sum("_n").over(scan.rowsBetween(Window.unboundedPreceding, -1)))
+    if tail_len:  # every chunk has a row, so the last values lie in as many chunks before
+        carry = carry.withColumn("_carry", _last(F.flatten(F.collect_list("_t").over(scan.rowsBetween(-tail_len, -1))), tail_len))
+    carry = carry.where(F.col("_off").isNotNull()).drop("_n", "_t")
+    out = local.join(carry, ["_k", "_chunk"], "left")
     out = out.withColumn(pos_col, (F.col("_rn") + F.coalesce(F.col("_off"), F.lit(0))).cast("long"))
     if tail_len:
-        out = out.withColumn(history_col, F.when(F.col("_carry").isNotNull(),
-                                                 _last(F.concat(F.col("_carry"), F.col("_lh")), tail_len))
+        out = out.withColumn(history_col, F.when(F.col("_carry").isNotNull(), _last(F.concat("_carry", "_lh"), tail_len))
                              .otherwise(F.col("_lh")))
-    return out.drop("_pid", "_rn", "_end", "_lh", "_off", "_carry")
+    kept = [c for c in df.columns if c not in (pos_col, history_col)]
+    return out.select(*kept, pos_col, *([history_col] if tail_len else []))
 
 
 def remove_repeats(df: DataFrame, key: str, order: Sequence[str], value: str,

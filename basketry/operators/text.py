@@ -3,8 +3,9 @@
 Tokens are runs of Unicode letters and digits, lower-cased; an optional
 stop-word list is removed in the same expression. A title's vector is the mean
 of its token vectors. Token vectors are by default the bytes of the token's
-hash: no model, no vocabulary on the driver, any title at any time. MLlib's
-Word2Vec is the learned option (its vocabulary x vector size is held by the
+hash: no model, no vocabulary on the driver, any title at any time. The learned
+option takes them from the titles' own co-occurrences, as tables. MLlib's
+Word2Vec remains as a third way (its vocabulary x vector size is held by the
 driver); unseen titles get vectors from the same model.
 """
 
@@ -17,6 +18,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from .. import schemas as S
+from ..session import materialize
 
 TOKEN_PATTERN = r"[\p{L}\p{N}]+"
 
@@ -51,6 +53,58 @@ def hashed_title_vectors(docs: DataFrame, id_col: str = S.PRODUCT_NO, tokens: st
     return docs.withColumn("_hex", hexes).select(id_col, F.transform(at, mean).alias("vector"))
 
 
+def cooccurrence_counts(docs: DataFrame, tokens: str = "tokens", window: int = WINDOW) -> DataFrame:
+    """(a, b, c): how often token b stands within ``window`` places of token a, either side; pairs are merged before the shuffle."""
+    near = F.expr(f"""explode(flatten(transform(sequence(1, {int(window)}), d ->
+        transform(slice({tokens}, 1, greatest(size({tokens}) - d, 0)), (t, i) -> struct(t as a, {tokens}[i + d] as b)))))""")
+    one_way = docs.select(near.alias("_p")).groupBy("_p.a", "_p.b").agg(F.count(F.lit(1)).alias("c"))
+    other_way = one_way.select(F.col("b").alias("a"), F.col("a").alias("b"), "c")
+    return one_way.unionByName(other_way).groupBy("a", "b").agg(F.sum("c").alias("c"))
+
+
+def cooccurrence_vectors(docs: DataFrame, tokens: str = "tokens", window: int = WINDOW, vector_size: int = VECTOR_SIZE,
+                         nonzero: int = 4, seed: int = 42) -> DataFrame:
+    """T2, learned: ``(token, vector array<double>)`` from the titles' own co-occurrences.
+
+    The positive mutual information of a token with every token near it, under
+    a sparse random projection: each context token adds or subtracts itself in
+    ``nonzero`` components drawn from ``md5(seed:token)``. Counts, weights and
+    vectors are joins and aggregates over tables, so the vocabulary is never in
+    one place, and the result depends only on the titles and the seed. A token
+    that is never near another one has no row.
+    """
+    if not 0 < nonzero <= 6:
+        raise ValueError("nonzero must be 1 to 6")
+    counts = materialize(cooccurrence_counts(docs, tokens, window))
+    total = counts.agg(F.sum("c")).first()[0] or 0
+    sizes = counts.groupBy("a").agg(F.sum("c").alias("n"))
+    weights = (counts.join(sizes.withColumnRenamed("n", "_na"), "a").join(sizes.select(F.col("a").alias("b"), F.col("n").alias("_nb")), "b")
+               .withColumn("_w", F.log(F.col("c").cast("double") * F.lit(float(total)) / (F.col("_na").cast("double") * F.col("_nb").cast("double"))))
+               .where(F.col("_w") > 0))
+    hexes = F.md5(F.concat(F.lit(f"{int(seed)}:"), F.col("b")))
+    drawn = F.expr(f"""transform(sequence(0, {nonzero - 1}), j -> struct(
+        cast(conv(substring(_h, j * 4 + 1, 4), 16, 10) as int) % {int(vector_size)} as at,
+        if(cast(conv(substring(_h, j + {4 * nonzero + 1}, 1), 16, 10) as int) % 2 = 0, 1, -1) as sign))""")
+    parts = weights.withColumn("_h", hexes).select("a", "_w", F.explode(drawn).alias("_d")) \
+        .groupBy("a", F.col("_d.at").alias("at")).agg(F.sum(F.col("_w") * F.col("_d.sign")).alias("_v"))
+    spread = F.array(*[F.coalesce(F.max(F.when(F.col("at") == j, F.col("_v"))), F.lit(0.0)) for j in range(vector_size)])
+    return parts.groupBy(F.col("a").alias("token")).agg(spread.alias("vector"))
+
+
+def mean_title_vectors(docs: DataFrame, token_vectors: DataFrame, id_col: str = S.PRODUCT_NO, tokens: str = "tokens",
+                       vector_size: int = VECTOR_SIZE) -> DataFrame:
+    """``(id, vector)``, the mean of the token vectors over all of a title's tokens; tokens without one count as zeros.
+
+    Equal token lists are computed once; rows are kept one for one.
+    """
+    lists = docs.select(F.col(tokens).alias("_list")).distinct()
+    rows = lists.select("_list", F.explode("_list").alias("token")).groupBy("_list", "token").agg(F.count(F.lit(1)).alias("_m")).join(token_vectors, "token")
+    sums = [(F.sum(F.col("vector")[j] * F.col("_m")) / F.size("_list")) for j in range(vector_size)]
+    means = rows.groupBy("_list").agg(F.array(*sums).alias("vector"))
+    zeros = F.array_repeat(F.lit(0.0), vector_size)
+    return docs.join(means, docs[tokens] == means["_list"], "left").select(docs[id_col], F.coalesce("vector", zeros).alias("vector"))
+
+
 def train_title_model(docs: DataFrame, tokens: str = "tokens", vector_size: int = VECTOR_SIZE,
                       window: int = WINDOW, min_count: int = MIN_COUNT, epochs: int = EPOCHS,
                       step_size: float = STEP_SIZE, seed: int = 42, partitions: int | None = None) -> Word2VecModel:

@@ -117,13 +117,12 @@ def category(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def prod_category(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each product's lowest and highest category over all its line items."""
+    """Every distinct (product, category) pair of the line items."""
     li = table(spark, sf_dir, "lineitem")
     su = table(spark, sf_dir, "supplier")
     j = li.join(su, li["l_suppkey"] == su["s_suppkey"])
     cat = F.when(F.col("s_nationkey") == 0, F.lit(100)).otherwise(F.col("s_nationkey")).cast("int")
-    ends = j.groupBy(F.col("l_partkey").cast("int").alias(S.PRODUCT_NO)).agg(F.min(cat).alias("lo"), F.max(cat).alias("hi"))
-    return ends.select(S.PRODUCT_NO, F.explode(F.array_distinct(F.array("lo", "hi"))).alias(S.CATEGORY_NO))
+    return j.select(F.col("l_partkey").cast("int").alias(S.PRODUCT_NO), cat.alias(S.CATEGORY_NO)).distinct()
 
 
 def deal_item_raw(spark: SparkSession, sf_dir: str) -> DataFrame:

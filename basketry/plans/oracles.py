@@ -47,11 +47,8 @@ category_raw AS (
 category AS (
   select cast(coalesce(gnb_depth2_cate_id, gnb_depth1_cate_id) as int) as gnb_category_id, * from category_raw),
 prod_category AS (
-  select distinct prod_no, unnest([lo, hi]) as gnb_category_id from (
-    select cast(l_partkey as int) as prod_no,
-      min(cast(case when s_nationkey=0 then 100 else s_nationkey end as int)) as lo,
-      max(cast(case when s_nationkey=0 then 100 else s_nationkey end as int)) as hi
-    from lineitem join supplier on l_suppkey=s_suppkey group by l_partkey)),
+  select distinct cast(l_partkey as int) as prod_no, cast(case when s_nationkey=0 then 100 else s_nationkey end as int) as gnb_category_id
+  from lineitem join supplier on l_suppkey=s_suppkey),
 deal_item_raw AS (
   select distinct cast(l_suppkey*37 as int) as deal_no, cast(l_partkey as int) as prod_no
   from lineitem),

@@ -20,6 +20,7 @@ from ..operators import filters as flt
 from ..operators import quality as Q
 from ..operators.categories import dense_categories, item_categories, with_category_features
 from ..operators.indexing import dense_index, member_codes
+from ..operators.neighbours import fit_cells, nearest_by_cells, recall
 from ..operators.ordering import shuffle_rows
 from ..operators.scoring import top_k_scores
 from ..operators.sequences import attach_yesterday_clicks, daily_last_clicks
@@ -588,6 +589,33 @@ def t4_similar_items(spark: SparkSession, d: str) -> DataFrame:
         "similarity", _rounded("similarity"))
 
 
+def _index_queries(vecs: DataFrame) -> DataFrame:
+    """Every vector whose id is divisible by 100, to be compared with all."""
+    return vecs.where(F.col(S.PROD_IDX) % 100 == 0).select(F.col(S.PROD_IDX).cast("long").alias("query_item"), "vector")
+
+
+@register("t4_index_neighbours")
+def t4_index_neighbours(spark: SparkSession, d: str) -> DataFrame:
+    """T4 by the cell index: the 11 nearest items of every id divisible by 100, with their similarities (approximate set)."""
+    vecs = fx.item_vectors(spark, d).withColumnRenamed(S.PRODUCT_NO, S.PROD_IDX)
+    found = nearest_by_cells(_index_queries(vecs), vecs, fit_cells(vecs, 11), 11, rank_decimals=RANK_DECIMALS)
+    return found.withColumn("similarity", _rounded("similarity"))
+
+
+@register("t4_index_recall", O.sql("""select cast(query_item as bigint) as query_item, cast(prod_idx as int) as prod_idx,
+    cast(rank as int) as rank, true as recall_reached from (select *, row_number() over
+    (partition by query_item order by round(sim, 6) desc, prod_idx) as rank from
+    (select a.prod_no as query_item, b.prod_no as prod_idx, list_cosine_similarity(a.vector, b.vector) as sim
+     from item_vectors a join item_vectors b on a.prod_no % 100 = 0)) where rank <= 11"""))
+def t4_index_recall(spark: SparkSession, d: str) -> DataFrame:
+    """The exact neighbours of the same queries, and whether the index found at least 0.9 of them all."""
+    vecs = fx.item_vectors(spark, d).withColumnRenamed(S.PRODUCT_NO, S.PROD_IDX)
+    queries, index = _index_queries(vecs), fit_cells(vecs, 11)
+    exact = materialize(nearest_by_cells(queries, vecs, index, 11, rank_decimals=RANK_DECIMALS, probes=len(index.centroids)))
+    reached = recall(nearest_by_cells(queries, vecs, index, 11, rank_decimals=RANK_DECIMALS), exact).first()["recall"]
+    return exact.select("query_item", S.PROD_IDX, "rank", F.lit((reached or 0) >= 0.9).alias("recall_reached"))
+
+
 @register("j8_dot_topk", O.sql("""select cast(query_item as bigint) as instance_id, cast(prod_idx as int) as prod_idx,
     round(score, 6) + 0.0 as score, cast(rank as int) as rank from (select *, row_number() over
     (partition by query_item order by round(score, 6) desc, prod_idx) as rank from
@@ -631,6 +659,30 @@ def t2_title_vectors(spark: SparkSession, d: str) -> DataFrame:
         .withColumn("value", _rounded("value"))
 
 
+_LEARNED_CTES = r"""title_tokens AS (select prod_no,
+    regexp_extract_all(lower(coalesce(prod_nm, '')), '[\p{L}\p{N}]+') as tokens from product_raw),
+placed AS (select prod_no, unnest(tokens) as token, unnest(range(len(tokens))) as pos, len(tokens) as n from title_tokens),
+co AS (select x.token as a, y.token as b, count(*) as c from placed x join placed y
+  on x.prod_no = y.prod_no and abs(x.pos - y.pos) between 1 and 2 group by x.token, y.token),
+occ AS (select a, sum(c) as n from co group by a),
+ppmi AS (select co.a, co.b, ln(cast(c as double) * (select cast(sum(c) as double) from co) / (cast(x.n as double) * cast(y.n as double))) as w
+  from co join occ x on x.a = co.a join occ y on y.a = co.b),
+drawn AS (select b, cast('0x' || substr(h, 4 * j + 1, 4) as int) % 64 as slot,
+    case when cast('0x' || substr(h, 17 + j, 1) as int) % 2 = 0 then 1 else -1 end as sign
+  from (select b, md5('42:' || b) as h, unnest(range(4)) as j from (select distinct b from co))),
+comp AS (select a, slot, sum(w * sign) as v from ppmi join drawn using (b) where w > 0 group by a, slot)"""
+
+
+@register("t2_learned_title_vectors", O.sql("""select t.prod_no, cast(p.j as int) as position, round(coalesce(s.v, 0.0::double), 6) + 0.0 as value
+  from title_tokens t cross join (select unnest(range(64)) as j) p
+  left join (select prod_no, slot, sum(v) / any_value(n) as v from placed join comp on comp.a = placed.token group by prod_no, slot) s
+    on s.prod_no = t.prod_no and s.slot = p.j""", _LEARNED_CTES))
+def t2_learned_title_vectors(spark: SparkSession, d: str) -> DataFrame:
+    """T2/T3 learned: title vectors from window-2 co-occurrences, one row per component."""
+    vecs = item_title_vectors(fx.product_raw(spark, d), learned=True)
+    return vecs.select(S.PRODUCT_NO, F.posexplode("vector").alias("position", "value")).withColumn("value", _rounded("value"))
+
+
 @register("p6_title_neighbours", O.sql("""select cast(query_item as bigint) as query_item, cast(prod_idx as int) as prod_idx,
     round(sim, 6) + 0.0 as similarity, cast(rank as int) as rank from (select *, row_number() over
     (partition by query_item order by round(sim, 6) desc, prod_idx) as rank from

@@ -46,7 +46,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage")
     path = tempfile.mkdtemp(prefix="basketry-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
 
