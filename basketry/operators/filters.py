@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import schemas as S
 from ..functions.glob import matches_any_glob
+from .blacklist import filter_blacklist_table
 from ..functions.time import KST_OFFSET, date_range_bounds
 
 # Action-type aliases accepted on the command line and their codes.
@@ -69,12 +70,16 @@ def select_columns(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     return df.select(*columns)
 
 
-def filter_blacklist(df: DataFrame, patterns: list[str], column: str = S.PRODUCT_NAME,
+def filter_blacklist(df: DataFrame, patterns: list[str] | DataFrame, column: str = S.PRODUCT_NAME,
                      drop_column: bool = True) -> DataFrame:
     """drop rows whose ``column`` matches any shell-glob pattern, then drop ``column``.
 
     Null names never match. Patterns are stripped like lines of a pattern file.
+    A list becomes one regex; a table (its first column) is indexed and joined.
     """
+    if isinstance(patterns, DataFrame):
+        kept = filter_blacklist_table(df, patterns, column)
+        return kept.drop(column) if drop_column else kept
     pats = [p.strip() for p in patterns]
     kept = df.where(~matches_any_glob(column, pats))
     return kept.drop(column) if drop_column else kept

@@ -167,6 +167,15 @@ def item_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.transform("embedding", lambda x: x.cast("double")).alias("vector"))
 
 
+def name_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A glob from every part: every 50th its name with a gap (these match), the others names or brands with their number."""
+    p, key = table(spark, sf_dir, "part"), F.col("p_partkey")
+    name = F.concat(F.lit("*"), F.substring("p_name", 2, 3), F.lit("?"), F.expr("substring(p_name, 6)"))
+    other = F.concat(F.lit("*"), F.substring("p_name", 1, 4), F.lit("*"), key.cast("string"))
+    glob = F.when(key % 50 == 0, name).when(key % 3 == 1, other).otherwise(F.concat("p_brand", F.lit("[0-9]*"), key.cast("string"), F.lit("?")))
+    return p.select(glob.alias("pattern"))
+
+
 def titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select(F.col("p_partkey").cast("int").alias(S.PRODUCT_NO),
                                                F.col("p_name").alias(S.PRODUCT_NAME))

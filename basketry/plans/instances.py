@@ -27,7 +27,7 @@ class InstanceTables:
     items: DataFrame      # prod_no, prod_idx
 
 
-def build_instances(orders: DataFrame, clicks: DataFrame | None, blacklist: list[str], ts_val: int, ts_test: int,
+def build_instances(orders: DataFrame, clicks: DataFrame | None, blacklist: list[str] | DataFrame, ts_val: int, ts_test: int,
                     item_cut: int = DEFAULT_ITEM_CUT, min_orders: int = DEFAULT_MIN_ORDERS,
                     max_orders: int = DEFAULT_MAX_ORDERS, max_clicks: int = DEFAULT_MAX_CLICKS,
                     tiebreak: tuple[str, ...] = (), bounds_offset: int = KST_OFFSET,

@@ -67,7 +67,7 @@ def instances_job(spark: SparkSession, orders_path: str, output_dir: str, blackl
     cols = [S.COMP_MEMBER_ID, S.TIMESTAMP, S.PRODUCT_NO, S.PRODUCT_NAME]
     orders = R.read_behaviours(spark, orders_path, cols)
     clicks = R.read_behaviours(spark, clicks_path, cols) if clicks_path else None
-    blacklist = R.read_patterns(spark, blacklist_path) if blacklist_path else []
+    blacklist = R.read_lines(spark, blacklist_path) if blacklist_path else []
     ts_val, ts_test = split_bounds(version)
     t = build_instances(orders, clicks, blacklist, ts_val, ts_test, item_cut, min_orders, max_orders, max_clicks)
     K.save_instances(t.instances, os.path.join(output_dir, "instances"))

@@ -183,6 +183,15 @@ def f6_blacklist_order_log(spark: SparkSession, d: str) -> DataFrame:
     return flt.filter_blacklist(fx.order_log(spark, d), fx.TEST_BLACKLIST)
 
 
+@register("f6_blacklist_table", O.sql("""select comp_mid, timestamp, prod_no from order_log o where not exists (
+  select 1 from hit where hit.prod_nm = o.prod_nm)""", """patterns AS (select distinct case when p_partkey % 50 = 0 then '*' || substr(p_name, 2, 3) || '?' || substr(p_name, 6)
+    when p_partkey % 3 = 1 then '*' || substr(p_name, 1, 4) || '*' || p_partkey else p_brand || '[0-9]*' || p_partkey || '?' end as pattern from part),
+hit AS (select prod_nm from (select distinct prod_nm from order_log) n where exists (select 1 from patterns where n.prod_nm glob pattern))"""))
+def f6_blacklist_table(spark: SparkSession, d: str) -> DataFrame:
+    """The order log without names that match any of a table of globs, one from every part."""
+    return flt.filter_blacklist(fx.order_log(spark, d), fx.name_patterns(spark, d))
+
+
 _F6_CTE = f"""kept_orders AS (select comp_mid, timestamp, prod_no from behaviours
   where action_type = 'O' and not coalesce({_BLACKLIST_WHERE}, false))"""
 
