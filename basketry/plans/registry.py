@@ -27,7 +27,7 @@ from ..operators.sequences import attach_yesterday_clicks, daily_last_clicks
 from ..operators.text import tokenize
 from ..operators.vectors import sequence_vectors
 from ..session import materialize
-from ..sources.readers import extract_orders, extract_search_words, union_by_name
+from ..sources.readers import csv_lines, extract_orders, extract_search_words, parse_csv_lines, union_by_name
 from . import fixtures as fx
 from . import oracles as O
 from .behaviour import aggregate_log
@@ -703,6 +703,23 @@ def p6_title_neighbours(spark: SparkSession, d: str) -> DataFrame:
     return title_neighbours(vecs, rank_decimals=RANK_DECIMALS).withColumn("similarity", _rounded("similarity"))
 
 
+@register("s1_log_records", O.sql("""select event_id,
+    case when bad is null then timestamp end as timestamp, case when bad is null then action_type end as action_type,
+    case when bad is null then prod_no end as prod_no,
+    case when bad is null then case when event_id % 5 = 0 then 'say "' || coalesce(search_keyword, '') || '", ok'
+      when event_id % 5 = 1 then 'two' || chr(10) || 'lines, ' || event_id else nullif(search_keyword, '') end end as search_keyword,
+    case when bad is null then m_id end as m_id, bad as _rejected
+  from (select *, case when event_id % 97 = 0 then 'x' || event_id || ',O,1,,u' when event_id % 101 = 0 then event_id || ',O' end as bad from useraction)"""))
+def s1_log_records(spark: SparkSession, d: str) -> DataFrame:
+    """The log written as CSV records with quotes, commas and line breaks, some of them bad, and read back with its rejects."""
+    log, key = fx.useraction(spark, d), F.col("event_id")
+    keyword = (F.when(key % 5 == 0, F.concat(F.lit('say "'), F.coalesce(S.SEARCH_KEYWORD, F.lit("")), F.lit('", ok')))
+               .when(key % 5 == 1, F.concat(F.lit("two\nlines, "), key.cast("string"))).otherwise(F.col(S.SEARCH_KEYWORD)))
+    lines = csv_lines(log.withColumn(S.SEARCH_KEYWORD, keyword), S.USERACTION.names)
+    bad = F.when(key % 97 == 0, F.concat(F.lit("x"), key.cast("string"), F.lit(",O,1,,u"))).when(key % 101 == 0, F.concat(key.cast("string"), F.lit(",O")))
+    return parse_csv_lines(lines.withColumn("value", F.coalesce(bad, "value")))
+
+
 @register("u1_union_by_name", O.sql("""select event_id, timestamp, action_type, m_id, prod_no from useraction where action_type = 'O'
   union all select event_id, timestamp, action_type, m_id, null from useraction where action_type <> 'O'"""))
 def u1_union_by_name(spark: SparkSession, d: str) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql import types as T
 
 from .. import schemas as S
@@ -48,6 +48,39 @@ def read_useraction(spark: SparkSession, path: str, multi_line: bool = False) ->
             .option("pathGlobFilter", "*.csv").schema(S.USERACTION).csv(path))
 
 
+#: the column that holds a line which does not fit the schema
+REJECTED = "_rejected"
+
+
+def csv_lines(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
+    """K1 as text: the other columns and ``value``, the CSV record of ``columns`` (default: all); breaks stay inside quotes."""
+    chosen = list(columns) if columns is not None else df.columns
+    rest = [c for c in df.columns if c not in chosen]
+    return df.select(*rest, F.to_csv(F.struct(*chosen), CSV_OPTIONS).alias("value"))
+
+
+def parse_csv_lines(lines: DataFrame, schema: T.StructType = S.USERACTION, column: str = "value") -> DataFrame:
+    """S1 on text: each record as typed columns, and ``_rejected``: the whole record where it doesn't fit ``schema``.
+
+    A record of the wrong number of fields or with a field of the wrong type
+    has nulls in every column but ``_rejected``; it is neither dropped nor
+    half read. Other columns of ``lines`` stay.
+    """
+    wanted = T.StructType([*schema.fields, T.StructField(REJECTED, T.StringType())])
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in wanted.fields)
+    record = F.from_csv(F.col(column), ddl, {**CSV_OPTIONS, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": REJECTED})
+    rest = [c for c in lines.columns if c != column]
+    parsed = lines.select(*rest, F.col(column).alias("_line"), record.alias("_r"))
+    bad = F.col(f"_r.{REJECTED}").isNotNull()
+    fields = [F.when(~bad, F.col(f"_r.{f.name}")).alias(f.name) for f in schema.fields]
+    return parsed.select(*rest, *fields, F.when(bad, F.col("_line")).alias(REJECTED))
+
+
+def read_useraction_with_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """S1 with one record a line: the log's columns and ``_rejected`` (see ``parse_csv_lines``)."""
+    return parse_csv_lines(spark.read.option("pathGlobFilter", "*.csv").text(path))
+
+
 def read_csv_with_header(spark: SparkSession, path: str, schema: T.StructType | None = None,
                          glob: str | None = None, multi_line: bool = False) -> DataFrame:
     """Header CSV file(s); columns cast by name to ``schema`` (strings when none)."""
@@ -69,20 +102,31 @@ def read_metadata(spark: SparkSession, path: str, entity: str | None = None) ->
     return spark.read.options(**CSV_OPTIONS).option("header", True).option("inferSchema", True).csv(path)
 
 
+def first_lines(spark: SparkSession, uris: Iterable[str]) -> list[tuple[str, str | None]]:
+    """(path, first line) of each file; None for an empty one. Only the first line is read, a buffer at a time."""
+    jvm, conf, out = spark._jvm, spark._jsc.hadoopConfiguration(), []
+    for uri in uris:
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri))
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(path.getFileSystem(conf).open(path), "UTF-8"))
+        try:
+            out.append((path.toString(), reader.readLine()))
+        finally:
+            reader.close()
+    return out
+
+
 def read_csv_parts(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """S3: all ``*.csv`` parts of a directory with headers, as one DataFrame.
 
-    Parts are aligned by column name: files are grouped by their header line
-    (one row per file reaches the driver, as in Spark's own file listing), each
-    group is read with its own header, and U1 puts the groups together.
+    Parts are aligned by column name: files are grouped by their header line,
+    each group is read with its own header, and U1 puts the groups together, so
+    every file is read once. Of the headers only each file's first line is
+    opened beforehand, through the same file system that Spark lists.
     """
-    lines = (spark.read.option("pathGlobFilter", "*.csv").text(path)
-             .select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at")))
-    # a file's first block is read in order by one task, so its first line comes first
-    heads = lines.where("at = 0").groupBy("file").agg(F.first("value").alias("head")).collect()
     groups: dict[str, list[str]] = {}
-    for r in heads:
-        groups.setdefault(r.head, []).append(r.file)
+    for file, head in first_lines(spark, spark.read.option("pathGlobFilter", "*.csv").text(path).inputFiles()):
+        if head is not None:  # an empty file has no columns
+            groups.setdefault(head, []).append(file)
     if len(groups) < 2:
         return read_csv_with_header(spark, path, schema, glob="*.csv")
     reader = spark.read.options(**CSV_OPTIONS).option("header", True)
@@ -153,26 +197,34 @@ def read_patterns(spark: SparkSession, path: str) -> list[str]:
     return [r.value for r in read_lines(spark, path).collect()]
 
 
-def _numbered_lines(spark: SparkSession, path: str, name: str) -> DataFrame:
-    # line numbers must be exact and aligned across files: zipWithIndex gives
-    # the position of each line in file order (one counting pass per file)
-    rdd = spark.read.text(path).rdd.zipWithIndex().map(lambda r: (r[1], r[0].value))
-    return spark.createDataFrame(rdd, f"line long, {name} string")
+def numbered_lines(spark: SparkSession, path: str, name: str = "value") -> DataFrame:
+    """(line, ``name``): every line with its 0-based number; files follow one another by path.
+
+    A block of a file is read in order by one task, so a line's place in its
+    block is its distance from the block's least id; a running sum over one
+    row per block gives each block's first number.
+    """
+    rows = spark.read.text(path).select(F.col("value").alias(name), F.col("_metadata.file_path").alias("_file"),
+                                        F.col("_metadata.file_block_start").alias("_at"), F.monotonically_increasing_id().alias("_row"))
+    blocks = rows.groupBy("_file", "_at").agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first"))
+    before = Window.orderBy("_file", "_at").rowsBetween(Window.unboundedPreceding, -1)
+    starts = blocks.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    return rows.join(starts, ["_file", "_at"]).select((F.col("_start") + F.col("_row") - F.col("_first")).alias("line"), name)
 
 
 def read_lookup(spark: SparkSession, ids_path: str, titles_path: str | None = None,
                 vectors_path: str | None = None) -> DataFrame:
     """Line-aligned ids / titles / vectors files as one keyed table.
 
-    Lines are matched by line number; when an id repeats, its last line wins.
+    Lines are matched by line number (see ``numbered_lines``); when an id repeats, its last line wins.
     Returns ``(prod_no, title?, vector?)``.
     """
-    df = _numbered_lines(spark, ids_path, "_id").select("line", F.trim("_id").cast("int").alias(S.PRODUCT_NO))
+    df = numbered_lines(spark, ids_path, "_id").select("line", F.trim("_id").cast("int").alias(S.PRODUCT_NO))
     if titles_path:
-        df = df.join(_numbered_lines(spark, titles_path, "title")
+        df = df.join(numbered_lines(spark, titles_path, "title")
                      .select("line", F.trim("title").alias("title")), on="line", how="left")
     if vectors_path:
-        vec = _numbered_lines(spark, vectors_path, "_v").select(
+        vec = numbered_lines(spark, vectors_path, "_v").select(
             "line", F.transform(F.split(F.trim("_v"), r"\s+"), lambda x: x.cast("double")).alias("vector"))
         df = df.join(vec, on="line", how="left")
     rest = [c for c in df.columns if c not in ("line", S.PRODUCT_NO)]
@@ -190,11 +242,16 @@ def read_vectors_tsv(spark: SparkSession, path: str) -> DataFrame:
         F.transform(F.slice(parts, F.lit(3), F.size(parts) - 2), lambda x: x.cast("double")).alias("vector"))
 
 
-def read_instances(spark: SparkSession, path: str, with_clicks: bool = False, split: str | None = None) -> DataFrame:
-    """Saved instances (orders, label, optionally clicks), one split pruned by partition."""
+def read_instances(spark: SparkSession, path: str, with_clicks: bool = False, split: str | None = None,
+                   first_day: str | None = None, last_day: str | None = None) -> DataFrame:
+    """Saved instances (orders, label, optionally clicks); a split, or days of incremental output, are pruned by partition."""
     df = spark.read.parquet(path)
     if split is not None:
         df = df.where(F.col("split") == split)
+    if first_day is not None:
+        df = df.where(F.col("day") >= F.lit(first_day).cast("date"))
+    if last_day is not None:
+        df = df.where(F.col("day") <= F.lit(last_day).cast("date"))
     cols = [c for c in df.columns if c not in ("clicks",)] if not with_clicks else df.columns
     return df.select(*cols)
 

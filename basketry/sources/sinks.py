@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from .. import schemas as S
+from ..functions.time import DAY_SPLIT_OFFSET, local_day
 from .readers import CSV_OPTIONS
 
 
@@ -35,6 +36,17 @@ def save_instances(instances: DataFrame, path: str, mode: str = "overwrite") ->
     instances.write.partitionBy("split").mode(mode).parquet(path)
 
 
+def save_new_instances(instances: DataFrame, path: str, ts_col: str = S.TIMESTAMP, offset: int = DAY_SPLIT_OFFSET) -> None:
+    """K4, incremental: instances partitioned by split and local day of their label; only the partitions that occur are replaced.
+
+    Give whole days: a day's new instances take the place of its old ones. Days
+    and splits that do not occur keep theirs.
+    """
+    day = F.date_from_unix_date(local_day(ts_col, offset).cast("int"))
+    (instances.withColumn("day", day).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("split", "day").parquet(path))
+
+
 def save_index(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """K5: user or item index table."""
     df.write.mode(mode).parquet(path)

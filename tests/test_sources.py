@@ -77,3 +77,51 @@ def test_union_by_name(spark):
     a = spark.createDataFrame([(1, "x")], "a int, b string")
     b = spark.createDataFrame([("y", 2)], "b string, c int")
     assert sorted(R.union_by_name([a, b]).columns) == ["a", "b", "c"]
+
+
+def test_rejected_records_are_kept_whole(spark, tmpdir_path):
+    with open(os.path.join(tmpdir_path, "log.csv"), "w") as f:
+        f.write('1,O,2,,u\nx,O,2,,u\n3,C,4,"say ""hi"", ok",u\n4,C\n5,S,,red,u,more\n')
+    got = R.read_useraction_with_rejects(spark, tmpdir_path)
+    assert got.where("_rejected is not null").count() == 3
+    rows = {(r.timestamp, r.search_keyword, r._rejected) for r in got.collect()}
+    assert rows == {(1, None, None), (3, 'say "hi", ok', None), (None, None, "x,O,2,,u"), (None, None, "4,C"), (None, None, "5,S,,red,u,more")}
+    assert R.parse_csv_lines(got.limit(0).selectExpr("_rejected as value")).count() == 0
+
+
+def test_csv_parts_read_each_file_once(spark, tmpdir_path):
+    d = os.path.join(tmpdir_path, "some parts")
+    os.makedirs(d)
+    for name, text in (("a.csv", "x,y\n1,p\n2,q\n"), ("b.csv", "y,x\nr,3\n"), ("c.csv", "x,z,y\n4,9,s\n"), ("d.csv", ""), ("e.txt", "no,csv\n")):
+        with open(os.path.join(d, name), "w") as f:
+            f.write(text)
+    df = R.read_csv_parts(spark, d)
+    assert sorted((r.x, r.y, r.z) for r in df.collect()) == [("1", "p", None), ("2", "q", None), ("3", "r", None), ("4", "s", "9")]
+    assert df._jdf.queryExecution().executedPlan().toString().count("FileScan") == 3
+    assert dict(R.first_lines(spark, df.inputFiles()))[os.path.join("file:" + d, "b.csv")] == "y,x"
+
+
+def test_lines_are_numbered_over_blocks_and_files(spark, tmpdir_path):
+    lines = [f"line {i} " + "x" * (i % 50) for i in range(3000)]
+    for name, part in (("b", lines[1200:]), ("a", lines[:1200])):
+        with open(os.path.join(tmpdir_path, name), "w") as f:
+            f.write("\n".join(part) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        got = R.numbered_lines(spark, tmpdir_path)
+        assert got.rdd.getNumPartitions() > 1
+        assert {r.line: r.value for r in got.collect()} == dict(enumerate(lines))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_new_instances_replace_their_days_only(spark, tmpdir_path):
+    p, day = os.path.join(tmpdir_path, "instances"), 86400
+    schema = "user_idx int, timestamp long, orders array<int>, label int, split string"
+    first = [(0, 100 * day, [1], 1, "training"), (1, 101 * day, [1], 2, "training"), (2, 101 * day, [1], 3, "test")]
+    K.save_new_instances(spark.createDataFrame(first, schema), p)
+    K.save_new_instances(spark.createDataFrame([(1, 101 * day, [1], 7, "training"), (3, 102 * day, [1], 8, "training")], schema), p)
+    assert sorted((r.user_idx, r.label) for r in R.read_instances(spark, p).collect()) == [(0, 1), (1, 7), (2, 3), (3, 8)]
+    one = R.read_instances(spark, p, split="training", first_day="1970-04-12", last_day="1970-04-12")
+    assert "PartitionFilters: [" in one._jdf.queryExecution().executedPlan().toString()
+    assert [(r.user_idx, r.label) for r in one.collect()] == [(1, 7)]
