@@ -10,6 +10,12 @@
 
 The labels for stage 1 are the table beside the documents. Every stage keeps
 the columns of ``documents`` but the last, which returns the packing plan.
+
+Defined cases: a null or empty text is scored as an empty one and, if kept,
+similar to nothing, uncontaminated and packed with no words; null ids stay and
+are never removed as copies; an empty table passes through every stage; other
+columns may have any name, also that of an operator's own columns, since the
+operators see them under neutral names.
 """
 
 from __future__ import annotations
@@ -21,35 +27,47 @@ from basketry.llm import decontamination, jaccard_join, packing, pii, quality_ra
 from basketry.llm.common import remainder, stored, table
 
 
+def neutral(docs: DataFrame) -> DataFrame:
+    """``docs`` with its columns but ``doc_id`` and ``text`` under names that no operator uses, by position."""
+    return docs.toDF(*[c if c in ("doc_id", "text") else f"_extra{i}" for i, c in enumerate(docs.columns)])
+
+
+def restored(kept: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs``, in its order and under its names, from rows of ``neutral(docs)``."""
+    return kept.select(*neutral(docs).columns).toDF(*docs.columns)
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     sample = quality_ranking.labelled_sample(table(spark, sf_dir, "labels"), remainder(F.col("doc_id"), 4) != 2, "quality", quality_ranking.MAX_LABELLED)
-    ranker = quality_ranking.fit(docs, sample, "doc_id", "text")
-    return quality_ranking.score(docs, ranker).where(F.col("score") >= quality_ranking.ACCEPT).select(*docs.columns)
+    rows = neutral(docs)
+    ranker = quality_ranking.fit(rows, sample, "doc_id", "text")
+    return restored(quality_ranking.score(rows, ranker).where(F.col("score") >= quality_ranking.ACCEPT), docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = jaccard_join.similar_documents(docs)
+    rows = neutral(docs)
+    found = jaccard_join.similar_documents(rows)
     gone = found.where("component_id <> doc_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    kept = rows.join(gone, "doc_id", "left_anti").select(*rows.columns)
     repeated = stored(found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated-ids")
     if repeated.isEmpty():  # else only the repeated ids' rows are compared
-        return kept
-    once = kept.join(repeated, "doc_id").select(*docs.columns).dropDuplicates(["doc_id", "text"])
-    return kept.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(once)
+        return restored(kept, docs)
+    once = kept.join(repeated, "doc_id").select(*rows.columns).dropDuplicates(["doc_id", "text"])
+    return restored(kept.join(repeated, "doc_id", "left_anti").select(*rows.columns).unionByName(once), docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = decontamination.hits(docs, table(spark, sf_dir, "benchmark"))
+    found = decontamination.hits(neutral(docs), table(spark, sf_dir, "benchmark"))
     n_hit = F.expr("aggregate(spans, 0L, (a, x) -> x - a)")
-    return found.where(~((n_hit > 0) & (decontamination.ONE_IN * n_hit >= F.col("n_words")))).select(*docs.columns)
+    return restored(found.where(~((n_hit > 0) & (decontamination.ONE_IN * n_hit >= F.col("n_words")))), docs)
 
 
 def without_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pii.masked(docs)
+    return restored(pii.masked(neutral(docs)), docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs)
+    return packing.pack(neutral(docs))
 
 
 STAGES = [
