@@ -43,7 +43,7 @@ def main(argv: list[str] | None = None) -> None:
     t.add_argument("product_path")
     t.add_argument("output_dir")
     t.add_argument("--vector-size", type=int, default=64)
-    t.add_argument("--learned", action="store_true", help="train Word2Vec instead of hashing tokens")
+    t.add_argument("--learned", action="store_true", help="token vectors from co-occurrences instead of hashes")
     t.add_argument("--window", type=int, default=2, help="of the learned model")
 
     e = sub.add_parser("evaluate", help="P7 recommend and evaluate")
