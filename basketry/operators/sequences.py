@@ -11,7 +11,8 @@ rows of one user into one task:
   spread over as many tasks as its log has chunks; one summary row per (user,
   chunk), its number of rows and last values, is scanned over the user's
   chunks and joined back on (user, chunk), where the rows already are. The
-  rows cross one hash shuffle; nothing is checkpointed or collected.
+  rows cross one hash shuffle and nothing is collected. The summaries read
+  the input a second time, so ``order_instances`` stores its few columns first.
 * per-day click lists keep the newest N per (user, day) with a partial
   WindowGroupLimit as well, so a hot day is reduced before its shuffle.
 """
@@ -24,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from .. import schemas as S
 from ..functions.arrays import PAD, left_pad
+from ..session import materialize
 from ..functions.time import KST_OFFSET, DAY_SPLIT_OFFSET, LATE_HOUR, click_day, yesterday_day
 
 # Split presets (start of validation, start of test), epoch seconds.
@@ -155,6 +157,8 @@ def order_instances(orders: DataFrame, ts_val: int, ts_test: int, min_orders: in
     """
     if min_orders > max_orders:
         raise ValueError("min_orders must not exceed max_orders")
+    # both levels of the scan read the orders: their few columns are stored once rather than computed twice
+    orders = materialize(orders.select(*dict.fromkeys([user, ts, item, *tiebreak])))
     # the item closes the order: equal (time, tiebreak) rows still get one fixed order
     ctx = sequence_context(orders, user, [ts, *tiebreak, item], item, history=max_orders, pos_col="_pos",
                            history_col="_hist", partitions=partitions)
