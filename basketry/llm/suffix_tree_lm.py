@@ -46,13 +46,15 @@ DEPTH, MIN_COUNT, DIVERGENCE, PRIOR = 5, 10, 0.02, 5.0
 CODE_POINTS = 0x110000
 PER_BUCKET = 1 << 20
 #: Text per chunk; a larger one asks fewer windows again.
-LM_BYTES = 8 << 20
+LM_BYTES = 4 << 20
 #: Windows (one per chunk) in a slot, and the slots over which those after one symbol are spread.
 PER_SLOT, SPREAD = 2 << 20, 64
 END = 10
 #: Bits of a code point.
 BITS, MASK = 21, np.uint64((1 << 21) - 1)
 MAYBE = 32.0
+#: Symbols hashed at a time.
+BLOCK = 1 << 16
 
 
 def flat(low: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: np.ndarray, offsets: np.ndarray) -> bytes:
@@ -82,28 +84,41 @@ def symbols(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     return x, np.flatnonzero(x == END)[1:]
 
 
-def windows(x: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """The window that ends at every symbol after the first, whole in two integers of three code points.
+def windows(x: np.ndarray, at: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """The windows that end at symbols ``at`` (0: the second), each whole in two integers of three code points.
 
     High: the three symbols before it, nearest first; low: the two before those, and itself. Symbols
     beyond the text's start are 0. Windows with one context lie side by side when sorted.
     """
-    n = len(x) - 1
-    high, low = np.zeros(n, dtype=np.uint64), x[1:].astype(np.uint64)
-    open_ = np.ones(n, dtype=bool)
+    high, low = np.zeros(len(at), dtype=np.uint64), x[at + 1].astype(np.uint64)
+    open_ = np.ones(len(at), dtype=bool)
     for d in range(1, depth + 1):
-        back = np.zeros(n, dtype=np.uint64)
-        back[d - 1:] = x[:len(x) - d]
-        back *= open_
+        # the first symbol of all is an END, so nothing is read beyond it
+        back = np.where(open_, x[np.maximum(at + 1 - d, 0)], 0)
         open_ &= back != END
-        back <<= np.uint64(BITS * (3 - d if d <= 3 else 6 - d))
-        if d <= 3:
-            high |= back
-        else:
-            low |= back
+        into = high if d <= 3 else low
+        into |= back.astype(np.uint64) << np.uint64(BITS * (3 - d if d <= 3 else 6 - d))
     return high, low
 
 
+def window_hashes(x: np.ndarray, depth: int) -> np.ndarray:
+    """A hash of the window that ends at every symbol after the first, made in blocks that stay in the cache."""
+    n = len(x) - 1
+    out = np.empty(n, dtype=np.uint64)
+    with np.errstate(over="ignore"):
+        for a in range(0, n, BLOCK):
+            b = min(n, a + BLOCK)
+            key = x[a + 1:b + 1] * PLACES[0]
+            open_ = np.ones(b - a, dtype=bool)
+            for d in range(1, depth + 1):
+                lack = max(0, d - 1 - a)  # places before the first symbol of all
+                back = x[max(0, a + 1 - d):max(0, b + 1 - d)] * open_[lack:]
+                open_[lack:] &= back != END
+                key[lack:] += back * PLACES[d]
+            out[a:b] = mix(key)
+    return out
+
+
 def slots_of(high: np.ndarray, slots: int) -> np.ndarray:
     """Slot by the two symbols before: contexts of two symbols and more stay whole, one symbol's spread over SPREAD slots."""
     near, next_ = high >> np.uint64(2 * BITS), (high >> np.uint64(BITS)) & MASK
@@ -112,13 +127,13 @@ def slots_of(high: np.ndarray, slots: int) -> np.ndarray:
 
 def distinct_windows(x: np.ndarray, depth: int, slots: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(number of each symbol's window, order by slot and window, and in that order slots, high, low)."""
-    high, low = windows(x, depth)
-    with np.errstate(over="ignore"):
-        got = pa.array(mix(high) + low * PLACES[0]).dictionary_encode()
+    got = pa.array(window_hashes(x, depth)).dictionary_encode()
     number, n = got.indices.to_numpy(), len(got.dictionary)
+    del got
     at = np.zeros(n, dtype=np.int64)
-    at[number[::-1]] = np.arange(len(number) - 1, -1, -1)
-    high, low = high[at], low[at]
+    for a in range(0, len(number), BLOCK):  # any of its places will do
+        at[number[a:a + BLOCK]] = np.arange(a, min(len(number), a + BLOCK))
+    high, low = windows(x, at, depth)
     slot = slots_of(high, slots)
     order = np.lexsort((low, high, slot))
     return number, order, slot[order], high[order], low[order]
