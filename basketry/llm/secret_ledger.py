@@ -9,15 +9,19 @@ means giving it a new version; only that rule is scanned again.
 Only DataFrame and SQL functions run here. Copies are reduced to one blob by a
 map-side ``first`` before the shuffle, so a text with a third of all rows
 crosses it once per task. The ledger is Parquet in the shared folder, one
-appended directory per update; an update that dies leaves no partial rows
-(Spark commits the directory as a whole) and can simply be run again.
+appended directory per update. Every attempt writes a directory of its own
+name, which counts once Spark has marked it as complete: an update that dies
+can simply be run again, and a ledger opened on an earlier one's path goes on
+from there. One process updates a ledger at a time.
 
 Defined cases: a null text is an empty blob without findings; a null path is
-kept as a path; a repeated row gives a row each; empty input appends nothing.
+kept as a path; a repeated row gives a row each; empty input appends no rows;
+only the path and text columns are read, so others may have any name.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -75,7 +79,15 @@ class Ledger:
     SCHEMA = "blob_id string, rule string, kind string, spans array<struct<s:int,e:int>>"
 
     def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path, self.parts = spark, path, []
+        self.spark, self.path = spark, path
+        self.parts = self.committed()
+
+    def committed(self) -> list[str]:
+        """The directories of completed updates, oldest first."""
+        folder = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
+        files = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        done = files.globStatus(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder, "update-*/_SUCCESS"))
+        return sorted(str(f.getPath().getParent().toString()) for f in done or [])
 
     def rows(self) -> DataFrame:
         if not self.parts:
@@ -95,7 +107,7 @@ class Ledger:
             blobs = blobs.join(seen, "blob_id", "left").withColumn("todo", F.array_except(F.array(*map(F.lit, keys)), F.coalesce("seen", F.expr("cast(array() as array<string>)"))))
         else:
             blobs = blobs.withColumn("todo", F.array(*map(F.lit, keys)))
-        part = f"{self.path}/update-{len(self.parts)}"
+        part = f"{self.path}/update-{len(self.parts):06d}-{uuid.uuid4().hex}"
         scan(blobs.where(F.size("todo") > 0), rules).write.parquet(part)
         self.parts.append(part)
         rank = F.create_map(*[F.lit(v) for i, k in enumerate(keys) for v in (k, i)])

@@ -87,6 +87,23 @@ def test_ledger_scans_only_what_is_new(spark, tmpdir_path):
     assert again.count() == 5 and {r.rule for r in spark.read.parquet(ledger.parts[2]).collect()} == {RULES[3].key}
 
 
+def test_ledger_goes_on_after_a_restart_and_a_failed_update(spark, tmpdir_path):
+    one = spark.createDataFrame([("a", "token=abcdefgh"), (None, None)], "path string, text string")
+    Ledger(spark, tmpdir_path).update(one, RULES[:2], "path").count()
+    # an update that died: rows, but no mark of completion
+    left = f"{tmpdir_path}/update-000001-dead"
+    spark.createDataFrame([("x", "assign@1", "assign", [])], Ledger.SCHEMA).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(left)
+    ledger = Ledger(spark, tmpdir_path)
+    assert len(ledger.parts) == 1 and ledger.rows().count() == 2 * 2
+    two = one.unionAll(spark.createDataFrame([("b", "secret: hunter22")], "path string, text string"))
+    assert {r.path: len(r.findings) for r in ledger.update(two, RULES[:2], "path").collect()} == {"a": 1, None: 0, "b": 1}
+    assert spark.read.parquet(ledger.parts[1]).count() == 2  # the new blob, two rules
+    again = Ledger(spark, tmpdir_path)
+    assert again.parts == ledger.committed() and {r.path: len(r.findings) for r in again.update(two, RULES[:2], "path").collect()} == {"a": 1, None: 0, "b": 1}
+    assert spark.read.parquet(again.parts[2]).isEmpty()
+    assert secret_ledger.secret_scan(one.limit(0).withColumnRenamed("path", "doc_id")).count() == 0
+
+
 def base_rules(t):
     t = t or ""
     w = WORD.findall(t)
