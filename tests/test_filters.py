@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from basketry import schemas as S
 from basketry.operators import filters as flt
-from basketry.operators.quality import all_violations
+from basketry.operators.quality import all_violations, foreign_key_violations
 
 
 def test_action_type_aliases():
@@ -83,3 +83,18 @@ def test_tag_set_ops(spark):
     ops = flt.tag_set_ops("x", "y")
     r = df.select(*[F.array_sort(c).alias(k) for k, c in ops.items()]).first()
     assert (r.intersect, r["except"], r.union) == (["b"], ["a", "c"], ["a", "b", "c", "d"])
+
+
+def test_foreign_keys_in_one_shuffle_each(spark):
+    product = spark.createDataFrame([(1,), (2,), (2,), (None,)], "prod_no long")
+    category = spark.createDataFrame([(7,)], "catg_no long")
+    deal_item = spark.createDataFrame([(1, 9), (9, 2), (9, 9), (None, 1), (3, None)], "deal_no long, item_no long")
+    prod_category = spark.createDataFrame([(1, 7), (9, 8), (None, 8), (2, None)], "prod_no long, catg_no long")
+    tables = {"product": product.toDF(S.PRODUCT_NO), "category": category.toDF(S.CATEGORY_NO),
+              "deal_item": deal_item.toDF(S.DEAL_NO, S.ITEM_NO), "prod_category": prod_category.toDF(S.PRODUCT_NO, S.CATEGORY_NO)}
+    got = foreign_key_violations(tables)
+    assert [(r.table, r.column, r.violations) for r in got.collect()] == [
+        ("deal_item", S.DEAL_NO, 3), ("deal_item", S.ITEM_NO, 2), ("prod_category", S.PRODUCT_NO, 1), ("prod_category", S.CATEGORY_NO, 2)]
+    assert got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("hashpartitioning(key") == 2
+    empty = {name: df.limit(0) for name, df in tables.items()}
+    assert {r.violations for r in foreign_key_violations(empty).collect()} == {0}
