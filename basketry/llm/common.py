@@ -66,6 +66,21 @@ def hash32(key: Column) -> Column:
     return F.pmod(F.xxhash64(key.cast("string")), F.lit(2**32))
 
 
+def let(name: str, value: str, body: str) -> str:
+    """SQL for ``body`` with ``name`` standing for ``value``, which is computed once."""
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
+
+
+def running(values: str, step: str, ahead: bool = False) -> str:
+    """SQL for the running total of an array under ``step``, an associative expression of v and {w} (null beyond the ends).
+
+    Each round doubles how far back (or ``ahead``) an element has looked, so n
+    elements take n log n steps; appending to an array would take n squared.
+    """
+    other = f"get(a, i {'+' if ahead else '-'} shiftleft(1, j))"
+    return let("vs", values, f"aggregate(sequence(0, cast(log2(size(vs) + 1) as int)), vs, (a, j) -> transform(a, (v, i) -> {step.format(w=other)}))")
+
+
 def found(text: str, pattern: str) -> str:
     """SQL for the leftmost non-overlapping matches of ``pattern``.
 
@@ -74,15 +89,25 @@ def found(text: str, pattern: str) -> str:
     (``regexp_extract_all``) alternate, so running lengths are the offsets.
     """
     p = pattern.replace("\\", "\\\\").replace("'", "\\'")
-    return f"""aggregate(
-        arrays_zip(slice(split({text}, '{p}', -1), 1, size(regexp_extract_all({text}, '{p}', 0))),
-                   regexp_extract_all({text}, '{p}', 0)),
-        named_struct('at', 0, 'out', cast(array() as array<struct<s:int,e:int,m:string>>)),
-        (a, x) -> named_struct(
-            'at', a.at + length(x.`0`) + length(x.`1`),
-            'out', concat(a.out, array(named_struct(
-                's', a.at + length(x.`0`), 'e', a.at + length(x.`0`) + length(x.`1`), 'm', x.`1`)))),
-        a -> a.out)"""
+    ends = running("transform(t.m, (x, i) -> length(t.p[i]) + length(x))", "v + coalesce({w}, 0)")
+    spans = "transform(t.m, (x, i) -> named_struct('s', ends[i] - length(x), 'e', ends[i], 'm', x))"
+    return let("t", f"named_struct('p', split({text}, '{p}', -1), 'm', regexp_extract_all({text}, '{p}', 0))", let("ends", ends, spans))
+
+
+#: Code points in a block of ``blocks``.
+BLOCK = 128
+
+
+def blocks(text: str) -> str:
+    """SQL for the text cut into blocks, in which ``part`` finds a place without reading from the start."""
+    return f"regexp_extract_all({text}, '(?s).{{1,{BLOCK}}}', 0)"
+
+
+def part(cut: str, start: str, end: str) -> str:
+    """SQL for the code points from ``start`` up to ``end`` of a text cut into ``blocks``."""
+    first = f"cast({start} div {BLOCK} as int)"
+    return (f"substring(array_join(slice({cut}, {first} + 1, cast({end} div {BLOCK} as int) - {first} + 1), ''), "
+            f"{start} % {BLOCK} + 1, {end} - {start})")
 
 
 EMPTY_SPANS = "cast(array() as array<struct<s:int,e:int,m:string>>)"

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import found, stored, whole
+from .common import blocks, found, let, part, running, stored, whole
 
 KINDS = ("email", "ip", "card", "phone")
 #: (pattern, cheap test, check of a match x). Possessive forms of the given patterns: the classes that follow
@@ -63,7 +63,7 @@ CUES = {
     "phone": r"(?i)(phone|tel|call|fax|mobile|appel|anruf)[^a-z]*$",
 }
 CUE_CHARS = 24
-ROUNDS, PRIOR, ACCEPT = 10, 0.5, 0.9
+ROUNDS, ACCEPT = 10, 0.9
 
 
 def candidates_sql() -> str:
@@ -71,12 +71,13 @@ def candidates_sql() -> str:
     parts = []
     for base, rules in ((1, BASE), (0, LOOSE)):
         for kind, (pattern, hint, check) in rules.items():
-            near = f"substring(text, greatest(x.s - {CUE_CHARS} + 1, 1), least(x.s, {CUE_CHARS}))"
+            near = part("cut", f"greatest(x.s - {CUE_CHARS}, 0)", "x.s")
             gaz = f"case when x.m rlike '{GAZETTEER[kind]}' then 1 else 0 end"
             cue = f"case when {near} rlike '{CUES[kind]}' then 1 else -1 end"
-            parts.append(
-                f"case when {hint} then transform(filter({found('text', pattern)}, x -> {check}), x -> named_struct("
-                f"'kind', {KINDS.index(kind)}, 's', x.s, 'e', x.e, 'base', {base}, 'v1', {STRICT[kind] if not base else 1}, 'v2', {gaz}, 'v3', {cue})) else {NO_CANDS} end")
+            cands = (f"transform(ms, x -> named_struct('kind', {KINDS.index(kind)}, 's', x.s, 'e', x.e, 'base', {base}, "
+                     f"'v1', {STRICT[kind] if not base else 1}, 'v2', {gaz}, 'v3', {cue}))")
+            hits = let("ms", f"filter({found('text', pattern)}, x -> {check})", f"case when size(ms) > 0 then {let('cut', blocks('text'), cands)} else {NO_CANDS} end")
+            parts.append(f"case when {hint} then {hits} else {NO_CANDS} end")
     return f"concat({', '.join(parts)})"
 
 
@@ -135,19 +136,34 @@ def classifier(labelled: DataFrame) -> str:
     return f"1D / (1D + exp(-({odds})))"
 
 
+def apart(cands: str) -> str:
+    """SQL: the base candidates of an array and the loose ones that overlap none of them.
+
+    In order of their starts, a loose candidate meets a base one before it if
+    the furthest end so far lies behind its start, and one after it if the next start
+    lies before its end.
+    """
+    before = running("transform(o, y -> if(y.x.base = 1, y.x.e, 0))", "greatest(v, {w})")
+    after = running("transform(o, y -> if(y.x.base = 1, y.x.s, 2147483647))", "least(v, {w})", ahead=True)
+    kept = "transform(filter(o, (y, i) -> y.x.base = 1 or (behind[i] <= y.s and next[i] >= y.x.e)), y -> y.x)"
+    order = f"sort_array(transform({cands}, x -> named_struct('s', x.s, 'loose', 1 - x.base, 'x', x)))"
+    return let("o", order, let("behind", before, let("next", after, kept)))
+
+
 def estimate(cands: DataFrame) -> str:
     """Vote reliabilities, then the classifier: SQL for the probability of a candidate ``x``."""
     # a loose candidate inside a base span says nothing that the base does not
-    apart = F.expr("filter(cands, x -> x.base = 1 or not exists(cands, b -> b.base = 1 and b.s < x.e and x.s < b.e))")
-    patterns = stored(cands.select(F.explode(apart).alias("c")).groupBy(*[F.col(f"c.{f}").alias(f) for f in PATTERN]).agg(F.count(F.lit(1)).alias("n")).coalesce(1), "pii-votes")
+    alone = F.expr(f"case when exists(cands, x -> x.base = 0) then {apart('cands')} else cands end")
+    patterns = stored(cands.select(F.explode(alone).alias("c")).groupBy(*[F.col(f"c.{f}").alias(f) for f in PATTERN]).agg(F.count(F.lit(1)).alias("n")).coalesce(1), "pii-votes")
     return "0D" if patterns.isEmpty() else classifier(reliabilities(patterns)[0])  # at most 4 * 27 rows
 
 
 def accepted_sql(probability: str, accept: float) -> str:
-    """SQL: the base candidates of ``cands`` and the loose ones accepted outside them, sorted."""
-    free = "not exists(cands, b -> b.base = 1 and b.kind = x.kind and b.s < x.e and x.s < b.e)"
-    return (f"sort_array(transform(filter(cands, x -> x.base = 1 or (({probability}) >= {accept}D and {free})), "
-            "x -> named_struct('kind', x.kind, 's', x.s, 'e', x.e, 'base', x.base)))")
+    """SQL: the base candidates of ``cands`` and the loose ones accepted outside those of their kind, sorted."""
+    each = apart("filter(taken, x -> x.kind = k)")
+    taken = let("taken", f"filter(cands, x -> x.base = 1 or ({probability}) >= {accept}D)",
+                f"case when exists(taken, x -> x.base = 0) then flatten(transform(sequence(0, {len(KINDS) - 1}), k -> {each})) else taken end")
+    return f"sort_array(transform({taken}, x -> named_struct('kind', x.kind, 's', x.s, 'e', x.e, 'base', x.base)))"
 
 
 def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", accept: float = ACCEPT) -> DataFrame:
@@ -179,7 +195,8 @@ def mask(text: str, spans: str) -> str:
     """SQL: ``text`` with every span of the sorted array ``spans`` replaced by its kind in brackets, overlapping ones by the first's."""
     name = f"element_at(array({', '.join(repr(k) for k in KINDS)}), x.kind + 1)"
     order = f"array_sort(transform({spans}, x -> named_struct('s', x.s, 'e', x.e, 'kind', x.kind)))"
-    return f"""aggregate({order}, named_struct('at', 0, 'out', ''),
-        (a, x) -> case when x.s < a.at then named_struct('at', greatest(a.at, x.e), 'out', a.out) else named_struct(
-            'at', x.e, 'out', concat(a.out, substring({text}, a.at + 1, x.s - a.at), '[', {name}, ']')) end,
-        a -> concat(a.out, substring({text}, a.at + 1)))"""
+    done = running("transform(o, x -> x.e)", "greatest(v, {w})")
+    at = "coalesce(get(done, i - 1), 0)"
+    pieces = f"transform(o, (x, i) -> case when x.s < {at} then '' else concat({part('cut', at, 'x.s')}, '[', {name}, ']') end)"
+    rest = part("cut", "array_max(done)", f"length({text})")
+    return let("cut", blocks(text), let("o", order, let("done", done, f"concat(array_join({pieces}, ''), {rest})")))
