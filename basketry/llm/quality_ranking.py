@@ -122,7 +122,7 @@ def labelled_sample(labels: DataFrame, learn: Column, label_col: str, max_labell
 def fit(docs: DataFrame, sample: DataFrame, id_col: str, text_col: str, **options) -> Ranker:
     """Rank the documents of a bounded labelled sample."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(small(sample)), "doc_id")
-    got = featured(rows, "text").select("x", "y").toPandas()
+    got = featured(rows, "text").select("doc_id", "x", "y").orderBy("doc_id", "x").toPandas()  # pairs are drawn by place, so the files' order must not matter
     x = np.array(got.x.tolist(), dtype=float).reshape(len(got), -1) if len(got) else np.zeros((0, 16))
     return Ranker(x, got.y.to_numpy(dtype=float) if len(got) else np.zeros(0), **options)
 
