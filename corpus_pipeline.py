@@ -1,9 +1,9 @@
 """The training-data pipeline: five stages over ``documents``, each stored and read again.
 
 1. quality: the pairwise ranking scores every document; rejected ones go.
-2. near duplicates: of each component of similar documents the one with the
-   smallest id stays. Ids identify documents: a row that repeats another's id
-   and text goes too, and a null id always stays.
+2. near duplicates: of each component of similar rows one stays, that with the
+   smallest id (a null one is the last, ties go to the first row). Rows are
+   told apart by their own key, so ids may repeat or be null.
 3. decontamination: documents that count as contaminated go.
 4. personal data: every span found is replaced by its kind in brackets.
 5. packing: every document gets its bucket, batch and place.
@@ -12,8 +12,8 @@ The labels for stage 1 are the table beside the documents. Every stage keeps
 the columns of ``documents`` but the last, which returns the packing plan.
 
 Defined cases: a null or empty text is scored as an empty one and, if kept,
-similar to nothing, uncontaminated and packed with no words; null ids stay and
-are never removed as copies; an empty table passes through every stage; other
+similar to nothing, uncontaminated and packed with no words; rows with a null or
+repeated id are documents like any other; an empty table passes through every stage; other
 columns may have any name, also that of an operator's own columns, since the
 operators see them under neutral names.
 """
@@ -22,6 +22,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from basketry.llm import decontamination, jaccard_join, packing, pii, quality_ranking
 from basketry.llm.common import remainder, stored, table
@@ -46,14 +47,15 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = neutral(docs)
-    found = jaccard_join.similar_documents(rows)
-    gone = found.where("component_id <> doc_id").select("doc_id").distinct()
-    kept = rows.join(gone, "doc_id", "left_anti").select(*rows.columns)
-    repeated = stored(found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated-ids")
-    if repeated.isEmpty():  # else only the repeated ids' rows are compared
-        return restored(kept, docs)
-    once = kept.join(repeated, "doc_id").select(*rows.columns).dropDuplicates(["doc_id", "text"])
-    return restored(kept.join(repeated, "doc_id", "left_anti").select(*rows.columns).unionByName(once), docs)
+    integral = isinstance(rows.schema["doc_id"].dataType, T.IntegralType)
+    if integral and rows.groupBy("doc_id").count().where("count > 1 or doc_id is null").isEmpty():  # the id is the row's key
+        gone = jaccard_join.similar_documents(rows).where("component_id <> doc_id").select("doc_id")
+        return restored(rows.join(gone, "doc_id", "left_anti"), docs)
+    rows = stored(rows.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    found = jaccard_join.similar_documents(rows.select(F.col("_row").alias("doc_id"), "text")).select(F.col("doc_id").alias("_row"), "component_id")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "_row")
+    first = rows.select("_row", "doc_id").join(found, "_row").groupBy("component_id").agg(F.min(order).alias("first")).select(F.col("first._row").alias("_row"))
+    return restored(rows.join(first, "_row", "left_semi"), docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

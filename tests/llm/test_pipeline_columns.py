@@ -21,3 +21,17 @@ def test_stage_keeps_clashing_columns(spark, stage):
     assert rows
     other = clash.withColumnRenamed("score", "Score").limit(0)
     assert fn(spark, other, SF001).count() == 0
+
+
+def test_near_duplicates_go_by_row(spark):
+    clean = "one two three four five six seven eight nine ten"
+    copy = " ".join(f"w{i}" for i in range(60))
+    near = copy + " more"
+    rows = [(1, copy), (2, near), (2, clean), (None, copy), (None, copy + " less"), (3, near), (None, ""), (None, None), (2, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(map(tuple, corpus_pipeline.near_duplicates(spark, docs, SF001).collect()), key=repr)
+    assert got == sorted([(1, copy), (2, clean), (None, ""), (None, None), (2, "")], key=repr)
+    unique = spark.createDataFrame([(5, near), (4, copy), (6, clean)], "doc_id long, text string")
+    assert {r.doc_id for r in corpus_pipeline.near_duplicates(spark, unique, SF001).collect()} == {4, 6}
+    named = spark.createDataFrame([("b", near), ("a", copy), ("c", clean)], "doc_id string, text string")
+    assert {r.doc_id for r in corpus_pipeline.near_duplicates(spark, named, SF001).collect()} == {"a", "c"}
