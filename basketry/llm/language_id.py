@@ -35,7 +35,7 @@ from .arrays import chunks
 from .common import remainder, ship, shipped, stored
 
 MAX_WORDS, MAX_GRAMS = 30_000, 20_000
-#: Distinct words that a task holds before it passes their counts on.
+#: Distinct words or n-grams that a task holds before it passes their counts on.
 HELD_WORDS = 300_000
 #: Text per scoring chunk; a larger one scores fewer distinct words again.
 SCORE_BYTES = 12 << 20
@@ -54,35 +54,48 @@ def grams(word: str, n: int) -> list[str]:
     return [edged[i:i + n] for i in range(len(edged) - n + 1)] if n > 1 else list(word)
 
 
-def counted(train: DataFrame) -> DataFrame:
-    """(lang, n, token, count): words (n = 0) and n-grams."""
-    def expanded(words: dict[str, Counter]) -> Iterator[pa.RecordBatch]:
-        out: Counter = Counter()
-        for lang, seen in words.items():
-            for w, c in seen.items():
-                if w.isalpha():
-                    out[lang, 0, w] += c
-                    for n in ORDERS:
-                        for g in grams(w, n):
-                            out[lang, n, g] += c
-        rows = list(out.items())
-        for at in range(0, len(rows), 50_000):
-            part = rows[at:at + 50_000]
-            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k, _ in part], pa.string()), pa.array([k[1] for k, _ in part], pa.int32()),
-                                              pa.array([k[2] for k, _ in part], pa.string()), pa.array([c for _, c in part], pa.int64())],
-                                             names=["lang", "n", "token", "count"])
+def rows_of(counts: Counter, names: list[str]) -> Iterator[pa.RecordBatch]:
+    """The keys and counts in batches."""
+    rows = list(counts.items())
+    for at in range(0, len(rows), 50_000):
+        part = rows[at:at + 50_000]
+        keys = [pa.array(column) for column in zip(*[k for k, _ in part], strict=True)]
+        yield pa.RecordBatch.from_arrays([*keys, pa.array([c for _, c in part], pa.int64())], names=names)
+
 
+def counted_words(train: DataFrame) -> DataFrame:
+    """(lang, token, count) of every word of the training rows."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: dict[str, Counter] = {}
+        passed = lambda: rows_of(Counter({(lang, w): c for lang, seen in words.items() for w, c in seen.items() if w.isalpha()}), ["lang", "token", "count"])
         for batch in chunks(batches):
             for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist(), strict=True):
                 words.setdefault(lang, Counter()).update(tokens(text))
             if sum(map(len, words.values())) > HELD_WORDS:
-                yield from expanded(words)
+                yield from passed()
                 words = {}
-        yield from expanded(words)
+        yield from passed()
+
+    return train.mapInArrow(count, "lang string, token string, count bigint").groupBy("lang", "token").agg(F.sum("count").alias("count"))
 
-    return train.mapInArrow(count, "lang string, n int, token string, count bigint").groupBy("lang", "n", "token").agg(F.sum("count").alias("count"))
+
+def counted(train: DataFrame) -> DataFrame:
+    """(lang, n, token, count): words (n = 0) and n-grams, which are cut from every distinct word once."""
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, held = ["lang", "n", "token", "count"], Counter()
+        for batch in batches:
+            for lang, word, c in zip(*[column.to_pylist() for column in batch.columns], strict=True):
+                for n in ORDERS:
+                    for g in grams(word, n):
+                        held[lang, n, g] += c
+            if len(held) > HELD_WORDS:
+                yield from rows_of(held, names)
+                held = Counter()
+        yield from rows_of(held, names)
+
+    words = stored(counted_words(train), "language-words")
+    pieces = words.mapInArrow(cut, "lang string, n long, token string, count bigint").groupBy("lang", "n", "token").agg(F.sum("count").alias("count"))
+    return words.select("lang", F.lit(0).cast("long").alias("n"), "token", "count").unionAll(pieces)
 
 
 class Model:
