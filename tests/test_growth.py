@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from basketry.functions.arrays import row_normalise, softmax, unit
 from basketry.functions.codes import code_of_index
 from basketry.operators import neighbours, scoring
 from basketry.operators.indexing import member_codes
@@ -22,3 +23,10 @@ def test_title_vectors_are_spread_and_hash_a_token_once(spark):
     byte = lambda t, j: hashlib.md5(f"{t}:{j // 16}".encode()).digest()[j % 16]
     want = lambda ts: [sum(2 * byte(t, j) - 255 for t in ts) / (len(ts) * 255.0) for j in range(20)]
     assert got == {1: want("aba"), 2: [0.0] * 20, 3: want("b"), 4: [0.0] * 20}
+
+
+@pytest.mark.parametrize("made", [lambda: attention_pool(F.col("seq"), F.col("theirs")), lambda: _mean(F.col("seq")), lambda: softmax(F.col("seq")),
+                                  lambda: row_normalise(F.col("seq")), lambda: unit(F.col("seq"))])
+def test_inputs_are_named_once(made):
+    text = made()._jc.toString()
+    assert text.count("seq") == 1 and text.count("theirs") <= 1
