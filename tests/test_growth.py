@@ -30,3 +30,16 @@ def test_title_vectors_are_spread_and_hash_a_token_once(spark):
 def test_inputs_are_named_once(made):
     text = made()._jc.toString()
     assert text.count("seq") == 1 and text.count("theirs") <= 1
+
+
+def test_taken_codes_are_passed_over(spark):
+    users = spark.createDataFrame([(f"U{i}",) for i in range(1, 6)] + [("U4",), (None,)], "m_id string")
+    code = lambda i: spark.range(1).select(code_of_index(F.lit(i), 4).alias("c")).first().c
+    # U1 holds the code of index 1, which U2 would get next, and U0 that of index 6, the first one after the new ones
+    mapping = spark.createDataFrame([("U1", code(1)), ("U0", code(6))], "m_id string, comp_mid string")
+    with pytest.raises(Exception, match="code already in use"):
+        member_codes(users, 4, spark.createDataFrame([("U1", code(1))], "m_id string, comp_mid string"), extend=True).collect()
+    mapping = mapping.union(spark.createDataFrame([("U9", code(3))], "m_id string, comp_mid string"))
+    got = member_codes(users, 4, mapping, extend=True, pass_over_taken=True).collect()
+    # three codes are used: U2 to U5 have indices 3 to 6, of which 3 and 6 are taken
+    assert sorted(map(tuple, got)) == sorted([("U1", code(1)), ("U2", code(7)), ("U3", code(4)), ("U4", code(5)), ("U4", code(5)), ("U5", code(8))])
