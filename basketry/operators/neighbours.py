@@ -142,9 +142,9 @@ def nearest_by_cells(queries: DataFrame, items: DataFrame, index: CellIndex, k:
 
     keys = ["_cell", "_ib", "_qb"]
     schema = f"{query_col} long, {item_col} int, score double, blk_max double, blk_sumexp double"
-    score = _block_scorer(query_col, item_col, k, rank_decimals, chunk, None)
+    score = _block_scorer(query_col, item_col, k, rank_decimals, chunk, None, with_lse=False)
     found = (dealt(q, query_col, "_qb", "_ib", "_nq", "_ni").groupBy(*keys)
-             .cogroup(dealt(it, item_col, "_ib", "_qb", "_ni", "_nq").groupBy(*keys)).applyInPandas(score, schema))
+             .cogroup(dealt(it, item_col, "_ib", "_qb", "_ni", "_nq").groupBy(*keys)).applyInArrow(score, schema))
     key = F.round("score", rank_decimals) if rank_decimals is not None else F.col("score")
     best = Window.partitionBy(query_col).orderBy(key.desc(), item_col)
     return found.where(F.col("blk_max").isNull()).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k) \

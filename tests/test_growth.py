@@ -32,6 +32,19 @@ def test_inputs_are_named_once(made):
     assert text.count("seq") == 1 and text.count("theirs") <= 1
 
 
+def test_best_items_by_pieces_with_ties(monkeypatch):
+    monkeypatch.setattr(scoring, "FIRST_PIECE", 5)
+    monkeypatch.setattr(scoring, "PIECE", 32)
+    rng = np.random.default_rng(2)
+    for rows in (1, 4, 90, 300):
+        q, items = rng.normal(size=(7, 3)), rng.normal(size=(rows, 3)).round(0)   # many items share a vector
+        k = min(6, rows)
+        at, score, top, total = scoring._best_of(q, items, k, 3, True)
+        s = q @ items.T
+        assert (at == np.argsort(-np.round(s, 3), axis=1, kind="stable")[:, :k]).all()
+        assert np.allclose(score, np.take_along_axis(s, at.astype(int), 1)) and np.allclose(top + np.log(total), np.log(np.exp(s).sum(1)))
+
+
 def test_taken_codes_are_passed_over(spark):
     users = spark.createDataFrame([(f"U{i}",) for i in range(1, 6)] + [("U4",), (None,)], "m_id string")
     code = lambda i: spark.range(1).select(code_of_index(F.lit(i), 4).alias("c")).first().c
