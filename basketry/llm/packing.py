@@ -6,9 +6,11 @@ padding; inside a bucket, whose rows are padded to its upper boundary, batches
 of at most ``budget`` padded tokens form.
 
 The histogram is counted by Spark over the exact distinct lengths, whatever the
-longest one is. Only where these exceed ``max_lengths`` do lengths above 4095
-that agree in their leading 12 bits share a bin (each within 1/2048), which
-counts as the longest length that occurs in it. A bucket with most of the rows is
+longest one is and however many there are: D distinct lengths need about D * D / 2
+tokens in all, so their number grows with the root of the corpus (some 100,000 at
+5e9 tokens), and no size of the input changes the method. Only a caller who sets ``max_lengths``
+lets lengths above 4095 that agree in their leading 12 bits share a bin (each within
+1/2048) where there are more, which counts as the longest length that occurs in it. A bucket with most of the rows is
 split into shards of ``SHARD_BATCHES`` batches by a hash of the id and a stored
 row number, so no bucket is numbered in one task, whatever ids repeat; each
 shard leaves at most one batch unfilled.
@@ -31,7 +33,7 @@ from pyspark.sql import types as T
 from .arrays import chunks, utf8, words
 from .common import small, stored
 
-BUCKETS, BUDGET, MAX_LENGTHS, SHARD_BATCHES = 12, 32_768, 524_288, 16
+BUCKETS, BUDGET, SHARD_BATCHES = 12, 32_768, 16
 
 
 def boundaries(histogram: list[tuple[int, int]], buckets: int) -> list[int]:
@@ -95,18 +97,18 @@ def measured(docs: DataFrame, text_col: str) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
-def choose(lengths: DataFrame, buckets: int, max_lengths: int = MAX_LENGTHS) -> list[int]:
-    """Bucket boundaries for a column ``n_tokens``."""
+def choose(lengths: DataFrame, buckets: int, max_lengths: int | None = None) -> list[int]:
+    """Bucket boundaries for a column ``n_tokens``; exact unless ``max_lengths`` is set and exceeded."""
     histogram = small(lengths.groupBy(F.col("n_tokens").alias("top")).agg(F.count(F.lit(1)).alias("rows")))
-    if histogram.count() > max_lengths:
+    if max_lengths is not None and histogram.count() > max_lengths:
         low_bits = F.expr("greatest(length(bin(top)) - 12, 0)")
         histogram = histogram.groupBy(low_bits, F.expr("shiftright(top, greatest(length(bin(top)) - 12, 0))")).agg(F.max("top").alias("top"), F.sum("rows").alias("rows"))
-    found = histogram.select("top", "rows").toPandas()  # at most max_lengths rows, or 2048 bins a power of two
+    found = histogram.select("top", "rows").toPandas()  # a row for each distinct length
     return boundaries(list(zip(found.top.tolist(), found.rows.tolist(), strict=True)), buckets)
 
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", buckets: int = BUCKETS, budget: int = BUDGET,
-         max_lengths: int = MAX_LENGTHS) -> DataFrame:
+         max_lengths: int | None = None) -> DataFrame:
     """doc_id, n_tokens, bucket, padded (the bucket's length), batch and place of every document.
 
     ``batch`` is bucket:shard:number; ``place`` counts from 0 inside it.

@@ -124,3 +124,9 @@ def test_rare_language_is_learned_from_all_its_rows(spark):
 def test_unknown_words_do_not_favour_a_rare_language():
     model = language_id.Model([("en", 0, "house", 10**6), ("en", 0, "river", 20), ("xx", 0, "dom", 3)])
     assert model.predict(["river", "dom"])[0] == ["en", "xx"]
+
+
+def test_boundaries_do_not_switch_with_the_number_of_lengths(spark):
+    n = 524_290                       # one more than the number above which lengths shared bins
+    ends = packing.choose(spark.range(n).selectExpr("if(id = 0, 9000001, id + 5000) as n_tokens"), 2)
+    assert ends[-1] == 9_000_001 and ends[0] == 5000 + n - 1
