@@ -25,6 +25,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from .. import schemas as S
+from ..functions.arrays import unit
 from ..session import materialize
 from .scoring import _block_scorer
 
@@ -32,6 +33,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 MAX_CELLS, SAMPLE_ROWS, SAMPLE_BYTES, CALIBRATION_QUERIES, ROUNDS = 4096, 20_000, 64 << 20, 256, 10
 TARGET_RECALL = 0.97
+PIECE = 1 << 21
 
 
 @dataclass
@@ -44,9 +46,7 @@ class CellIndex:
 
 def unit_vectors(vectors: DataFrame, item_col: str, vector_col: str = "vector") -> DataFrame:
     """(item, unit vector); null and zero vectors have no direction and go."""
-    norm = F.sqrt(F.aggregate(vector_col, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double")))
-    return vectors.select(item_col, F.when(norm > 0, F.transform(vector_col, lambda x: x.cast("double") / norm)).alias("_vec")) \
-        .where(F.col("_vec").isNotNull())
+    return vectors.select(item_col, unit(vector_col).alias("_vec")).where(F.col("_vec").isNotNull())
 
 
 def spherical_kmeans(x: np.ndarray, n_cells: int, seed: int, rounds: int = ROUNDS) -> np.ndarray:
@@ -72,15 +72,15 @@ def fit_cells(vectors: DataFrame, k: int, item_col: str = S.PROD_IDX, vector_col
               n_cells: int | None = None, max_cells: int = MAX_CELLS, sample_rows: int = SAMPLE_ROWS, sample_bytes: int = SAMPLE_BYTES,
               seed: int = 17) -> CellIndex:
     """Centroids and probes from a hash sample of at most about ``sample_rows`` items and ``sample_bytes`` of vectors."""
-    unit = unit_vectors(vectors, item_col, vector_col)
-    n, width = unit.agg(F.count(F.lit(1)), F.max(F.size("_vec"))).first()
+    units = unit_vectors(vectors, item_col, vector_col)
+    n, width = units.agg(F.count(F.lit(1)), F.max(F.size("_vec"))).first()
     if not n:
         return CellIndex(np.zeros((0, 0)), 0)
     bound = max(2, min(sample_rows, sample_bytes // (8 * width)))
     share = 2**32 if n <= bound else int(2**32 * bound / n)
-    sample = unit.where(F.pmod(F.xxhash64(item_col), F.lit(2**32)) < share).orderBy(item_col).select("_vec").toPandas()
+    sample = units.where(F.pmod(F.xxhash64(item_col), F.lit(2**32)) < share).orderBy(item_col).select("_vec").toPandas()
     if sample.empty:
-        sample = unit.orderBy(item_col).limit(1).select("_vec").toPandas()
+        sample = units.orderBy(item_col).limit(1).select("_vec").toPandas()
     x = np.vstack(sample["_vec"].to_numpy())
     cells = max(1, min(n_cells or math.isqrt(n), max_cells, len(x)))
     centres = spherical_kmeans(x, cells, seed)
@@ -94,23 +94,24 @@ def fit_cells(vectors: DataFrame, k: int, item_col: str = S.PROD_IDX, vector_col
     return CellIndex(centres, int(needed[math.ceil(target * len(needed)) - 1]) + 1)
 
 
-def with_cells(unit: DataFrame, index: CellIndex, n: int) -> DataFrame:
-    """Each row once for each of its ``n`` nearest cells (column ``_cell``)."""
-    shared = unit.sparkSession.sparkContext.broadcast(index.centroids)
-    schema = T.StructType([*unit.schema.fields, T.StructField("_cell", T.IntegerType())])
+def _celled(frames: Iterator[pd.DataFrame], centres: np.ndarray, n: int) -> Iterator[pd.DataFrame]:
+    """Task of ``with_cells``; PIECE bounds the similarities at a time and the numbers in a frame that is sent."""
+    step = max(1, PIECE // max(len(centres), n * centres.shape[1]))
+    for frame in frames:
+        for lo in range(0, len(frame), step):
+            part = frame.iloc[lo:lo + step]
+            sims = np.vstack(part["_vec"].to_numpy()) @ centres.T
+            cells = sims.argmax(1)[:, None] if n == 1 else np.argsort(-sims, axis=1, kind="stable")[:, :n]
+            out = part.loc[part.index.repeat(cells.shape[1])].reset_index(drop=True)
+            out["_cell"] = cells.ravel().astype(np.int32)
+            yield out
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        centres = shared.value
-        for frame in frames:
-            for lo in range(0, len(frame), 4096):
-                part = frame.iloc[lo:lo + 4096]
-                sims = np.vstack(part["_vec"].to_numpy()) @ centres.T
-                cells = sims.argmax(1)[:, None] if n == 1 else np.argsort(-sims, axis=1, kind="stable")[:, :n]
-                out = part.loc[part.index.repeat(cells.shape[1])].reset_index(drop=True)
-                out["_cell"] = cells.ravel().astype(np.int32)
-                yield out
 
-    return unit.mapInPandas(run, schema)
+def with_cells(units: DataFrame, index: CellIndex, n: int) -> DataFrame:
+    """Each row once for each of its ``n`` nearest cells (column ``_cell``)."""
+    shared = units.sparkSession.sparkContext.broadcast(index.centroids)
+    schema = T.StructType([*units.schema.fields, T.StructField("_cell", T.IntegerType())])
+    return units.mapInPandas(lambda frames: _celled(frames, shared.value, n), schema)
 
 
 def nearest_by_cells(queries: DataFrame, items: DataFrame, index: CellIndex, k: int, query_col: str = "query_item", item_col: str = S.PROD_IDX,
@@ -125,10 +126,15 @@ def nearest_by_cells(queries: DataFrame, items: DataFrame, index: CellIndex, k:
     spark = queries.sparkSession
     if not len(index.centroids):
         return spark.createDataFrame([], f"{query_col} long, {item_col} int, similarity double, rank int")
-    # the items under their cells are the index: stored once, read for its sizes and for its vectors
-    it = materialize(with_cells(unit_vectors(items.select(F.col(item_col).cast("int").alias(item_col), vector_col), item_col, vector_col), index, 1))
+    it = unit_vectors(items.select(F.col(item_col).cast("int").alias(item_col), vector_col), item_col, vector_col)
     q = unit_vectors(queries.select(F.col(query_col).cast("long").alias(query_col), vector_col), query_col, vector_col)
-    q = with_cells(q, index, min(len(index.centroids), probes or index.probes))
+    n_probes = probes or index.probes
+    if n_probes < len(index.centroids):
+        it, q = with_cells(it, index, 1), with_cells(q, index, n_probes)
+    else:  # all cells together are one: a query meets every block of items once, not every cell
+        it, q = (rows.withColumn("_cell", F.lit(0)) for rows in (it, q))
+    # the items under their cells are the index: stored once, read for its sizes and for its vectors
+    it = materialize(it)
     sizes = {}  # one row a cell
     for side, rows in (("i", it), ("q", q)):
         for r in rows.groupBy("_cell").count().collect():

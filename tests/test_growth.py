@@ -45,6 +45,21 @@ def test_best_items_by_pieces_with_ties(monkeypatch):
         assert np.allclose(score, np.take_along_axis(s, at.astype(int), 1)) and np.allclose(top + np.log(total), np.log(np.exp(s).sum(1)))
 
 
+def test_many_probes_are_sent_in_bounded_pieces_and_all_cells_as_one(spark, monkeypatch):
+    x = np.random.default_rng(4).normal(size=(400, 8))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "prod_idx int, vector array<double>")
+    index = neighbours.fit_cells(df, 5, n_cells=50)
+    monkeypatch.setattr(neighbours, "PIECE", 4000)
+    import pandas as pd
+    frames = list(neighbours._celled(iter([pd.DataFrame({"prod_idx": range(400), "_vec": list(x)})]), index.centroids, 40))
+    assert sum(map(len, frames)) == 400 * 40 and max(map(len, frames)) <= 4000 // 8
+    asked = []
+    monkeypatch.setattr(neighbours, "with_cells", lambda *a: asked.append(a))
+    queries = df.where("prod_idx % 100 = 0").selectExpr("cast(prod_idx as long) as query_item", "vector")
+    found = neighbours.nearest_by_cells(queries, df, index, 5, probes=50)
+    assert not asked and found.count() == 20
+
+
 def test_taken_codes_are_passed_over(spark):
     users = spark.createDataFrame([(f"U{i}",) for i in range(1, 6)] + [("U4",), (None,)], "m_id string")
     code = lambda i: spark.range(1).select(code_of_index(F.lit(i), 4).alias("c")).first().c
