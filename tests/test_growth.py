@@ -71,3 +71,18 @@ def test_taken_codes_are_passed_over(spark):
     got = member_codes(users, 4, mapping, extend=True, pass_over_taken=True).collect()
     # three codes are used: U2 to U5 have indices 3 to 6, of which 3 and 6 are taken
     assert sorted(map(tuple, got)) == sorted([("U1", code(1)), ("U2", code(7)), ("U3", code(4)), ("U4", code(5)), ("U4", code(5)), ("U5", code(8))])
+
+
+def test_orders_are_made_once(spark, monkeypatch):
+    made = spark.sparkContext.accumulator(0)
+
+    def count(frames):
+        for f in frames:
+            made.add(len(f))
+            yield f
+
+    rows = [("a", t, t % 7, f"item {t % 7}") for t in range(30)]
+    log = spark.createDataFrame(rows, "comp_mid string, timestamp long, prod_no int, prod_nm string").mapInPandas(count, "comp_mid string, timestamp long, prod_no int, prod_nm string")
+    from basketry.plans.behaviour import aggregate_log
+    found = instances.build_instances(aggregate_log(log, sort=False), None, [], 10, 20).instances
+    assert found.count() == 26 and made.value == 30
