@@ -13,6 +13,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 CHUNK_BYTES = 4 << 20
+#: Bytes hashed at a time.
+HASH_BLOCK = 1 << 16
 _SPACES = (0x20, 9, 10, 11, 12, 13)
 
 FOLD = np.arange(256, dtype=np.uint8)
@@ -31,14 +33,14 @@ _POWERS: dict[int, np.ndarray] = {}
 
 
 def _powers(base: int, n: int) -> np.ndarray:
-    """base ** i modulo 2 ** 64 for i up to n, kept per worker for chunk-sized n."""
+    """base ** i modulo 2 ** 64 for i up to n, kept per worker for block-sized n."""
     got = _POWERS.get(base)
     if got is None or len(got) < n:
-        size = max(n, CHUNK_BYTES + (1 << 16))
+        size = max(n, 2 * HASH_BLOCK)
         got = np.full(size, base, dtype=np.uint64)
         got[0] = 1
         got = np.cumprod(got, dtype=np.uint64)
-        if size <= 4 * CHUNK_BYTES:
+        if size <= 4 * HASH_BLOCK:
             _POWERS[base] = got
     return got
 
@@ -67,6 +69,27 @@ def chunks(batches: Iterator[pa.RecordBatch], text_col: str = "text", size: int
             start = stop
 
 
+def even_chunks(batches: Iterator[pa.RecordBatch], text_col: str = "text", size: int = CHUNK_BYTES, rows: int = 60_000) -> Iterator[pa.RecordBatch]:
+    """Like ``chunks``, but over the ends of batches: where one is cut depends on its rows alone, however Spark batches them."""
+    held, n_bytes, n_rows = [], 0, 0
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(text_col)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        ends, start = np.cumsum(sizes), 0
+        while start < batch.num_rows:
+            below = ends[start - 1] if start else 0
+            stop = min(int(np.searchsorted(ends, below + size - n_bytes, side="right")), start + rows - n_rows)
+            if not held:
+                stop = max(stop, start + 1)  # one row at least
+            if stop > start:
+                held.append(batch.slice(start, stop - start))
+                n_bytes, n_rows, start = n_bytes + int(ends[stop - 1] - below), n_rows + stop - start, stop
+            if start < batch.num_rows:
+                yield pa.concat_batches(held)
+                held, n_bytes, n_rows = [], 0, 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string column; null rows are empty."""
     column = pc.fill_null(column, "").cast(pa.large_string())
@@ -94,11 +117,20 @@ def words(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray = SPACE_WOR
 
 
 def word_hashes(low: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each run of bytes, from prefix sums of a polynomial."""
+    """A 64-bit hash of each run of bytes (in order, apart), from prefix sums of a polynomial over the runs of one block at a time."""
+    out = np.empty(len(starts), dtype=np.uint64)
+    i = 0
     with np.errstate(over="ignore"):
-        total = np.zeros(len(low) + 1, dtype=np.uint64)
-        np.cumsum(_BYTE[low] * _powers(_BASE, len(low))[:len(low)], out=total[1:])
-        return mix((total[ends] - total[starts]) * _powers(_INVERSE, len(low) + 1)[starts] + (ends - starts).astype(np.uint64))
+        while i < len(starts):
+            at = int(starts[i])
+            j = int(np.searchsorted(starts, at + HASH_BLOCK))  # the runs that start in the block
+            s, e = starts[i:j] - at, ends[i:j] - at
+            size = int(e[-1])
+            total = np.zeros(size + 1, dtype=np.uint64)
+            np.cumsum(_BYTE[low[at:at + size]] * _powers(_BASE, size)[:size], out=total[1:])
+            out[i:j] = mix((total[e] - total[s]) * _powers(_INVERSE, size + 1)[s] + (e - s).astype(np.uint64))
+            i = j
+    return out
 
 
 def shingle_hashes(hashes: np.ndarray, first: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:

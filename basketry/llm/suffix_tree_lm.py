@@ -38,8 +38,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import PLACES, blob, chunks, mix, of, runs, stretches, utf8, word_hashes, words
-from .common import remainder, stored
+from .arrays import PLACES, blob, even_chunks, mix, of, runs, stretches, utf8, word_hashes, words
+from .common import remainder, small_batches, stored
 from .jaccard_join import MESSAGE, _message
 
 DEPTH, MIN_COUNT, DIVERGENCE, PRIOR = 5, 10, 0.02, 5.0
@@ -60,10 +60,7 @@ BLOCK = 1 << 16
 def flat(low: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: np.ndarray, offsets: np.ndarray) -> bytes:
     """The chunk's words with a space between and a line feed after each document."""
     n_docs = len(offsets) - 1
-    lengths = np.diff(offsets)
-    shift = np.repeat(np.arange(n_docs), lengths)
-    out = np.zeros(len(low) + n_docs, dtype=np.uint8)
-    out[np.arange(len(low)) + shift] = low
+    out = np.insert(low, offsets[1:], END)
     stops = offsets[1:] + np.arange(n_docs)
     doc = np.repeat(np.arange(n_docs), np.diff(first))
     # word bytes, from +1 at starts and -1 at ends
@@ -225,7 +222,7 @@ def tree(high: np.ndarray, low: np.ndarray, n: np.ndarray, pairs: np.ndarray, pa
 
 def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Task: texts to (pair, n): the code points of two neighbouring symbols in one integer, with their count, once per chunk."""
-    for batch in chunks(batches, size=LM_BYTES):
+    for batch in even_chunks(batches, size=LM_BYTES):
         data, offsets = utf8(batch.column("text"))
         x, _ = symbols(flat(*words(data, offsets), offsets=offsets))
         got = pa.array(x[:-1].astype(np.int64) << BITS | x[1:]).value_counts()
@@ -251,7 +248,7 @@ def requests(bits: int, depth: int, slots: int):
     """Task: (doc_id, train, text) to messages: word hashes by bucket (slots from 0) and windows by slot (from -2 down), both with training counts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk = TaskContext.get().partitionId() << 32
-        for batch in chunks(batches, size=LM_BYTES):
+        for batch in even_chunks(batches, size=LM_BYTES):
             data, offsets = utf8(batch.column("text"))
             low, starts, ends, first = words(data, offsets)
             train = batch.column("train").to_numpy(zero_copy_only=False).astype(bool)
@@ -278,7 +275,7 @@ def requests(bits: int, depth: int, slots: int):
 def own_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Task: the chunks of ``requests`` again, with their ids and text."""
     chunk = TaskContext.get().partitionId() << 32
-    for batch in chunks(batches, size=LM_BYTES):
+    for batch in even_chunks(batches, size=LM_BYTES):
         data, offsets = utf8(batch.column("text"))
         ids = batch.column("doc_id")
         info = np.column_stack([ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64), np.array(ids.is_valid()).astype(np.int64)])
@@ -387,15 +384,16 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     size, texts = read.agg(F.sum(F.length("text")), F.sum(F.col("train").cast("long"))).first()
     bits = min(24, max(6, math.ceil(math.log2(max(1, (size or 0) / 20 / PER_BUCKET)))))
     slots = max(64, math.ceil((size or 0) / 12 / PER_SLOT))
-    two = stored(read.where("train").select("text").mapInArrow(pairs, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n")), "lm-pairs")
-    one = two.groupBy(F.expr(f"pair & {int(MASK)}").alias("code")).agg(F.sum("n").alias("n")).toArrow()  # a row for each code point that occurs
-    uni = Unigrams(one.column("code").to_numpy(), one.column("n").to_numpy(), prior)
-    asked = read.mapInArrow(requests(bits, depth, slots), MESSAGE).unionAll(two.mapInArrow(dealt_pairs(slots), MESSAGE))
-    told = stored(asked.repartition("slot").sortWithinPartitions("slot").mapInArrow(answers(depth, uni, min_count, divergence), MESSAGE), "lm-answers")
-    known, tokens, states = bucket_totals(told)
-    # first in both unions, so that chunks carry the same numbers
-    back = read.mapInArrow(own_texts, MESSAGE).unionAll(told.where("chunk >= 0"))
-    rows = stored(back.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(assembled(bits, depth, slots, uni, states), SCORED), "word-scores")
+    with small_batches(docs.sparkSession):
+        two = stored(read.where("train").select("text").mapInArrow(pairs, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n")), "lm-pairs")
+        one = two.groupBy(F.expr(f"pair & {int(MASK)}").alias("code")).agg(F.sum("n").alias("n")).toArrow()  # a row for each code point that occurs
+        uni = Unigrams(one.column("code").to_numpy(), one.column("n").to_numpy(), prior)
+        asked = read.mapInArrow(requests(bits, depth, slots), MESSAGE).unionAll(two.mapInArrow(dealt_pairs(slots), MESSAGE))
+        told = stored(asked.repartition("slot").sortWithinPartitions("slot").mapInArrow(answers(depth, uni, min_count, divergence), MESSAGE), "lm-answers")
+        known, tokens, states = bucket_totals(told)
+        # first in both unions, so that chunks carry the same numbers
+        back = read.mapInArrow(own_texts, MESSAGE).unionAll(told.where("chunk >= 0"))
+        rows = stored(back.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(assembled(bits, depth, slots, uni, states), SCORED), "word-scores")
     ends = texts or 0  # the end token, once a training text
     n, v = tokens + ends, known + (1 if ends else 0)
     return rows.select(
