@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import blob, chunks, mix, of, runs, shingle_hashes, stretches, utf8, word_hashes, words
-from .common import small, stored
+from .common import small, small_batches, stored
 from .components import components
 
 WIDTH, PERCENT, BLOCK = 5, 80, 96
@@ -368,8 +368,9 @@ def class_links(docs: DataFrame, percent: int) -> DataFrame:
 
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles and component_id (smallest id reachable by links) for every row."""
-    read = frequencies(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), width, percent)
-    known = components(class_links(read, percent))
+    with small_batches(docs.sparkSession):
+        read = frequencies(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), width, percent)
+        known = components(class_links(read, percent))
     least = read.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("rows"))
     named = least.join(known, least.sig == known.node, "left").withColumn("class", F.coalesce("root", "sig"))
     ids = named.groupBy("class").agg(F.min("least").alias("component_id"))

@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from basketry.llm import phrase_collocations, suffix_tree_lm
+from basketry.llm import jaccard_join, phrase_collocations, suffix_tree_lm
 from basketry.llm.arrays import even_chunks, word_hashes, words
 from basketry.llm.common import ARROW_BYTES, small_batches
 
@@ -74,7 +74,7 @@ def test_batches_are_bounded_by_bytes(spark):
 
 
 @pytest.mark.parametrize("module, run", [
-    (suffix_tree_lm, suffix_tree_lm.score_texts), (phrase_collocations, phrase_collocations.collocations)])
+    (suffix_tree_lm, suffix_tree_lm.score_texts), (jaccard_join, jaccard_join.similar_documents), (phrase_collocations, phrase_collocations.collocations)])
 def test_operators_bound_their_batches(spark, monkeypatch, module, run):
     seen, stored = [], module.stored
     monkeypatch.setattr(module, "stored", lambda df, name: (seen.append(spark.conf.get(ARROW_BYTES, None)), stored(df, name))[1])
