@@ -86,3 +86,89 @@ def test_orders_are_made_once(spark, monkeypatch):
     from basketry.plans.behaviour import aggregate_log
     found = instances.build_instances(aggregate_log(log, sort=False), None, [], 10, 20).instances
     assert found.count() == 26 and made.value == 30
+
+
+def test_items_stream_past_query_blocks_and_leave_only_the_best(spark, monkeypatch):
+    monkeypatch.setattr(scoring, "FIRST_PIECE", 8)
+    monkeypatch.setattr(scoring, "PIECE", 16)
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(300, 6)).round(1)
+    x[40:90] = x[7]                                    # equal vectors
+    x[90:200] = x[:110] * (1 + 1e-9 * rng.normal(size=(110, 1)))   # nearer to each other than single precision tells
+    items = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "prod_idx int, vector array<double>").repartition(5)
+    queries = items.selectExpr("cast(prod_idx as long) as instance_id", "vector as session")
+    s = x @ x.T
+    for decimals in (4, 9):
+        res = scoring.top_k_scores(queries, items, 6, rank_decimals=decimals, block_bytes=2400, least_queries=7, chunk=11, with_lse=False)
+        plan = res.top._jdf.queryExecution().executedPlan().toString()
+        assert "CoGroup" not in plan       # every block of queries met every block of items, with k rows of each query from each
+        got = {}
+        for r in res.top.collect():
+            got.setdefault(r.instance_id, []).append((r["rank"], r.prod_idx))
+        want = np.argsort(-np.round(s, decimals), axis=1, kind="stable")[:, :6]
+        assert all([p for _, p in sorted(got[i])] == want[i].tolist() for i in range(len(x)))
+
+
+def test_stream_scorer_reads_items_one_batch_after_the_other():
+    import pyarrow as pa
+    rng = np.random.default_rng(6)
+    q, x = rng.normal(size=(20, 4)), rng.normal(size=(2500, 4))
+    read = []
+
+    def batch(side, ids, items, vectors, block=3):
+        n = len(vectors)
+        return pa.RecordBatch.from_arrays([pa.array([side] * n, pa.int32()), pa.array(ids, pa.int64()), pa.array(items, pa.int32()),
+                                           pa.array([v.tolist() for v in vectors], pa.list_(pa.float64())), pa.array([block] * n, pa.int32())],
+                                          names=["_side", "instance_id", "prod_idx", "_vec", "_block"])
+
+    def batches():
+        yield batch(0, range(12), [None] * 12, q[:12])
+        yield batch(0, range(12, 20), [None] * 8, q[12:])
+        for lo in range(0, 2500, 250):
+            read.append(lo)
+            yield batch(1, [None] * 250, range(lo, lo + 250), x[lo:lo + 250])
+        yield batch(1, [None] * 2, [1, 2], x[:2], block=4)   # a block without queries has no rows
+        yield batch(0, [77], [None], q[:1], block=5)         # nor has one without items
+
+    score = scoring._stream_scorer("instance_id", "prod_idx", 5, None, 8, None, False)
+    out = pa.Table.from_batches(list(score(batches())))
+    want = np.argsort(-(q @ x.T), axis=1, kind="stable")[:, :5]
+    assert read == list(range(0, 2500, 250)) and out.num_rows == 100    # 5 rows of a query, however many batches
+    assert out.column("prod_idx").to_numpy().reshape(20, 5).tolist() == want.tolist()
+    assert out.column("instance_id").to_pylist() == np.repeat(np.arange(20), 5).tolist()
+
+
+@pytest.mark.parametrize("scale", [1.0, 1e-25, 1e-160, 1e12, 1e40, np.inf, np.nan])
+def test_single_precision_only_screens(monkeypatch, scale):
+    monkeypatch.setattr(scoring, "FIRST_PIECE", 4)
+    monkeypatch.setattr(scoring, "PIECE", 32)
+    rng = np.random.default_rng(7)
+    q, x = rng.normal(size=(9, 5)), rng.normal(size=(500, 5))
+    x[50:250] = x[50]
+    x[300:] *= 1 + 1e-12 * rng.normal(size=(200, 1))
+    if np.isfinite(scale):
+        q = q * scale
+    else:
+        x[123] = scale if np.isnan(scale) else np.abs(x[123]) * 0 + 1e308 * 10
+    with np.errstate(all="ignore"):
+        s = q @ x.T
+        at, score, _, _ = scoring._best_of(q, x, 6, None, False)
+        whole = np.where(np.isnan(s), -np.inf, s)
+    assert (np.take_along_axis(whole, at, 1) >= np.sort(whole, axis=1)[:, ::-1][:, :6] - 1e-12 * np.abs(np.nan_to_num(scale * s, posinf=0, neginf=0)).max()).all()
+    if np.isfinite(scale) and scale > 1e-100:
+        assert (at == np.argsort(-s, axis=1, kind="stable")[:, :6]).all()
+
+
+def test_similar_items_make_their_vectors_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def count(frames):
+        for f in frames:
+            made.add(len(f))
+            yield f
+
+    from basketry.plans.recommend import similar_items
+    x = np.random.default_rng(8).normal(size=(60, 4))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)] + [(60, None)], "prod_idx int, vector array<double>")
+    assert similar_items(df.mapInPandas(count, df.schema), 3).count() == 180
+    assert made.value == 61    # three times: queries, count of items, items
